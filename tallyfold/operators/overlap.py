@@ -17,6 +17,8 @@ leaf limits are; pairs that only share a leaf are removed by the exact predicate
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,7 +35,7 @@ from tallyfold.operators.joins import (
 COMPARE_ROWS = 64
 DEPTH = 14
 
-_NODE = "__node"
+_NODE, _FIRST, _LAST = "__node", "__first_leaf", "__last_leaf"
 
 
 def _tick(frame: DataFrame, name: str) -> Column:
@@ -54,22 +56,21 @@ def _tick(frame: DataFrame, name: str) -> Column:
 
 
 def _limits(sides) -> tuple[float, float]:
-    """Where most bounds lie, so that a few stray ones do not stretch the leaves."""
-    lows, highs = [], []
-    for frame, (start, stop) in sides:
-        bounds = frame.select(_tick(frame, start).alias("t")).unionAll(
-            frame.select(_tick(frame, stop).alias("t"))
-        )
-        row = bounds.agg(
-            F.percentile_approx("t", [0.001, 0.999], 10_000).alias("q"),
-            F.min("t").alias("low"),
-            F.max("t").alias("high"),
-        ).first()
-        if row["q"]:
-            margin = (row["q"][1] - row["q"][0]) * 0.1
-            lows.append(max(row["low"], row["q"][0] - margin))
-            highs.append(min(row["high"], row["q"][1] + margin))
-    return (min(lows), max(highs)) if lows else (0.0, 0.0)
+    """Where most bounds lie, so that a few stray ones do not stretch the leaves. One job."""
+    ticks = [
+        frame.select(F.explode(F.array(*[_tick(frame, name) for name in names])).alias("tick"))
+        for frame, names in sides
+    ]
+    row = reduce(DataFrame.unionAll, ticks).agg(
+        F.percentile_approx("tick", [0.001, 0.999], 10_000).alias("most"),
+        F.min("tick").alias("low"),
+        F.max("tick").alias("high"),
+    ).first()
+    if not row["most"]:
+        return 0.0, 0.0
+    first, last = row["most"]
+    margin = (last - first) * 0.1
+    return max(row["low"], first - margin), min(row["high"], last + margin)
 
 
 def _leaf(tick: Column, low: float, high: float, leaves: int) -> Column:
@@ -113,11 +114,6 @@ def _levels_in(frame: DataFrame, cover: Column, depth: int) -> list[int]:
     return [level for level in every if flags[str(level)]]
 
 
-def _tagged(above_or_cover: Column, kind: int) -> Column:
-    # Kinds A and B share one join: nodes of kind B are negative.
-    return above_or_cover if kind == 0 else F.transform(above_or_cover, lambda n: -n)
-
-
 def overlap_join(
     left: DataFrame,
     right: DataFrame,
@@ -156,29 +152,29 @@ def overlap_join(
     low, high = _limits([(left, left_range), (right, right_range)])
     last_leaf = (1 << depth) - 1
 
-    def leaves(frame, names):
-        # An open end reaches to the edge of the line.
+    def with_leaves(frame: DataFrame, names: tuple[str, str]) -> DataFrame:
+        # Columns of their own, as the nodes of all levels refer to them. An open end
+        # reaches to the edge of the line.
         start, stop = (_leaf(_tick(frame, n), low, high, last_leaf + 1) for n in names)
-        return F.coalesce(start, F.lit(0)), F.coalesce(stop, F.lit(last_leaf))
+        return frame.withColumns({
+            _FIRST: F.coalesce(start, F.lit(0)), _LAST: F.coalesce(stop, F.lit(last_leaf))
+        })
 
-    left_start, left_stop = leaves(left, left_range)
-    right_start, right_stop = leaves(right, right_range)
-    left_cover = _cover(left_start, left_stop, depth)
-    right_cover = _cover(right_start + 1, right_stop, depth)
+    left_leaves, right_leaves = with_leaves(left, left_range), with_leaves(right, right_range)
+    first, last = F.col(_FIRST), F.col(_LAST)
+    left_cover, right_cover = _cover(first, last, depth), _cover(first + 1, last, depth)
     every = list(range(depth + 1))
     # Looking up the used levels costs a pass over the bounds; it pays where rows shuffle.
-    a_levels = every if small else _levels_in(left, left_cover, depth)
-    b_levels = every if small else _levels_in(right, right_cover, depth)
-
-    def on_nodes(frame, cover_kind, cover, point, levels):
-        nodes = F.concat(
-            _tagged(cover, cover_kind),
-            _tagged(_nodes_above(point, levels, depth), 1 - cover_kind),
-        )
-        return frame.withColumn(_NODE, F.explode(nodes))
-
-    left_nodes = on_nodes(left, 0, left_cover, left_start, b_levels)
-    right_nodes = on_nodes(right, 1, right_cover, right_start, a_levels)
+    a_levels = every if small else _levels_in(left_leaves, left_cover, depth)
+    b_levels = every if small else _levels_in(right_leaves, right_cover, depth)
+
+    def on_nodes(frame: DataFrame, a_nodes: Column, b_nodes: Column) -> DataFrame:
+        # Both kinds of pairs share one join: nodes for kind B are negative.
+        nodes = F.concat(a_nodes, F.transform(b_nodes, lambda node: -node))
+        return frame.withColumn(_NODE, F.explode(nodes)).drop(_FIRST, _LAST)
+
+    left_nodes = on_nodes(left_leaves, left_cover, _nodes_above(first, b_levels, depth))
+    right_nodes = on_nodes(right_leaves, _nodes_above(first, a_levels, depth), right_cover)
 
     def pairs(a: DataFrame, b: DataFrame) -> DataFrame:
         if small:

@@ -106,9 +106,16 @@ def _(t):
     )
 
 
-@query("schema_profile")
-def _(t):
-    return aggregates.schema_profile(t.lineitem)
+@query("schema_profile", " UNION ALL ".join(f"""
+SELECT {i} AS position, '{name}' AS "column", '{kind}' AS type, true AS nullable, count(*) AS rows,
+       count(*) - count({name}) AS missing FROM customer"""
+    for i, (name, kind) in enumerate([
+        ("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"),
+        ("c_acctbal", "double"), ("c_mktsegment", "string"),
+    ])))
+def _(t):
+    figures = aggregates.column_profile(t.customer).select("column", "rows", "missing")
+    return aggregates.schema_profile(t.customer).join(figures, "column")
 
 
 # ---------------------------------------------------------------- reports on flights
