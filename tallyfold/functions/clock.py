@@ -6,6 +6,8 @@ code: no text is parsed per row except the digits of the clock cell itself.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,8 @@ LATE_AFTER_MINUTES = 15
 GROUP_MINUTES = 15
 FIRST_GROUP, LAST_GROUP = -2, 12
 
+ONE_MINUTE = dt.timedelta(minutes=1)
+
 
 def clock_number(text: Column) -> Column:
     """HHMM text of one to four digits as a number; NULL for anything else."""
@@ -22,19 +26,26 @@ def clock_number(text: Column) -> Column:
     return F.when(text.rlike("^[0-9]{1,4}$"), text.try_cast("int"))
 
 
-def _hour_and_minute(number: Column) -> tuple[Column, Column]:
-    number = number.cast("int")
-    minute = number % 100
-    return ((number - minute) / 100).cast("int"), minute
+def _minutes(number: Column) -> Column:
+    """HHMM number as minutes: 1405 is 845, as each hour counts 100 where it has 60."""
+    return number - F.call_function("div", number, F.lit(100)) * 40
+
+
+def _is_clock(number: Column) -> Column:
+    return number.between(0, 2359) & (number % 100 < 60)
+
+
+def _wall_clock(day: Column, minutes: Column) -> Column:
+    # Added without a zone and put into the session's zone at the end, so that 14:05 is
+    # 14:05 on days with a clock change too. Much cheaper than building a timestamp from
+    # its six parts.
+    without_zone = day.try_cast("date").cast("timestamp_ntz") + F.lit(ONE_MINUTE) * minutes
+    return without_zone.cast("timestamp")
 
 
 def at_clock_number(day: Column, number: Column) -> Column:
     """Date and HHMM number to timestamp; NULL unless 0000 to 2359 with minutes below 60."""
-    day = day.try_cast("date")
-    hour, minute = _hour_and_minute(number)
-    return F.try_make_timestamp(
-        F.year(day), F.month(day), F.dayofmonth(day), hour, minute, F.lit(0)
-    )
+    return F.when(_is_clock(number), _wall_clock(day, _minutes(number)))
 
 
 def at_clock_time(day: Column, text: Column) -> Column:
@@ -44,8 +55,7 @@ def at_clock_time(day: Column, text: Column) -> Column:
 
 def at_clock_number_or_midnight(day: Column, number: Column) -> Column:
     """As `at_clock_number`, with exactly 2400 as midnight of the next day."""
-    next_day = F.date_add(day.try_cast("date"), 1).cast("timestamp")
-    return F.when(number == 2400, next_day).otherwise(at_clock_number(day, number))
+    return F.when(_is_clock(number) | (number == 2400), _wall_clock(day, _minutes(number)))
 
 
 def after_day_start(day: Column, text: Column) -> Column:
@@ -53,8 +63,8 @@ def after_day_start(day: Column, text: Column) -> Column:
 
     2400 is the next midnight and 3610 is 12:10 the day after.
     """
-    hour, minute = _hour_and_minute(clock_number(text))
-    return day.try_cast("date").cast("timestamp") + F.make_dt_interval(F.lit(0), hour, minute)
+    start = day.try_cast("date").cast("timestamp")
+    return start + F.lit(ONE_MINUTE) * _minutes(clock_number(text))
 
 
 def put_clock_times(frame: DataFrame, day: str, columns: list[str]) -> DataFrame:

@@ -31,18 +31,22 @@ def most_frequent(frame: DataFrame, column: str, k: int) -> DataFrame:
     return counts.orderBy(F.desc("count"), F.asc(column)).limit(k)
 
 
-def modes(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Most frequent non-NULL value of each text column as rows (column, value, count).
+def value_counts(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Counts of the non-NULL values of some columns as text, as rows (column, value, count).
 
-    Values are counted by a hash aggregate with a map-side combine, and the best per
-    column is picked from the counts: no task holds all values of a column at once.
+    All columns in one pass. Counts combine on the map side, so no task holds all
+    cells of a frequent value.
     """
     cells = frame.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns
     ])).alias("cell")).select("cell.*")
-    counts = group_count(cells.where("value is not null"), ["column", "value"])
+    return group_count(cells.where("value is not null"), ["column", "value"])
+
+
+def modes(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Most frequent non-NULL value of each text column as rows (column, value, count)."""
     best = F.min(F.struct((-F.col("count")).alias("rank"), "value")).alias("best")
-    return counts.groupBy("column").agg(best).select(
+    return value_counts(frame, columns).groupBy("column").agg(best).select(
         "column", F.col("best.value").alias("value"), (-F.col("best.rank")).alias("count")
     )
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 import re
 from collections.abc import Collection, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyfold.operators.aggregates import modes, most_frequent
+from tallyfold.operators.aggregates import modes, value_counts
 from tallyfold.operators.quantiles import GATHER_ROWS, exact_medians
 
 # Wide encodings make one column per value; more than this is not a usable table.
@@ -24,11 +24,26 @@ def recode(column: Column, groups: Mapping[str, Collection[str]], other: str) ->
 
 
 def keep_most_frequent(
-    frame: DataFrame, column: str, k: int, other: str = "Other"
+    frame: DataFrame, kept: Mapping[str, int], other: str = "Other"
 ) -> DataFrame:
-    """Replace all but the k most frequent values of a column; NULL counts as other."""
-    top = [row[0] for row in most_frequent(frame, column, k).collect()]
-    return frame.withColumn(column, recode(F.col(column), {v: [v] for v in top}, other))
+    """Replace all but the k most frequent values of text columns, given as {column: k}.
+
+    Ties go to the lower value; NULL counts as other. One pass counts for all columns.
+    """
+    ranked = Window.partitionBy("column").orderBy(F.desc("count"), "value")
+    best = value_counts(frame, list(kept)).withColumn("rank", F.row_number().over(ranked))
+    wanted = F.lit(0)
+    for column, k in kept.items():
+        wanted = F.when(F.col("column") == column, F.lit(k)).otherwise(wanted)
+    top: dict[str, list[str]] = {column: [] for column in kept}
+    # The constant limit lets Spark rank before the shuffle; the rest depends on the column.
+    best = best.where(F.col("rank") <= max(kept.values())).where(F.col("rank") <= wanted)
+    for row in best.collect():
+        top[row["column"]].append(row["value"])
+    return frame.withColumns({
+        column: recode(F.col(column), {value: [value] for value in values}, other)
+        for column, values in top.items()
+    })
 
 
 def _indicator_values(values: DataFrame, limit: int) -> list[str]:
@@ -63,10 +78,13 @@ def add_label_indicators(
 
 
 def category_values(
-    frame: DataFrame, column: str, limit: int = MAX_INDICATORS
-) -> list[str]:
-    """Values of a text column, sorted, NULL left out."""
-    return _indicator_values(frame.select(column).where(F.col(column).isNotNull()), limit)
+    frame: DataFrame, columns: Sequence[str], limit: int = MAX_INDICATORS
+) -> dict[str, list[str]]:
+    """Values of each text column, sorted, NULL left out. One pass for all columns."""
+    rows = value_counts(frame, columns).select("column", "value").limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} values would become columns")
+    return {c: sorted(row["value"] for row in rows if row["column"] == c) for c in columns}
 
 
 def one_hot(

@@ -70,6 +70,15 @@ def _same(left: DataFrame, right: DataFrame, pairs, null_safe: bool) -> Column:
     return reduce(and_, [equal(l, r) for l, r in pairs])
 
 
+def _plain_join(left, right, on, how, condition, null_safe) -> DataFrame:
+    aliases = {name: f"__right{i}" for i, name in enumerate(on)}
+    right = right.withColumnsRenamed(aliases)
+    match = _same(left, right, list(aliases.items()), null_safe)
+    if condition is not None:
+        match = match & condition
+    return left.join(right, match, how).drop(*aliases.values())
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
@@ -77,7 +86,7 @@ def salted_join(
     how: str = "inner",
     condition: Column | None = None,
     null_safe: bool = False,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Shuffle join on `on` where keys that are hot on the left are split over tasks.
 
@@ -85,10 +94,15 @@ def salted_join(
     repeated once per salt, so every left row still meets every right row of its key
     once: exact for inner, left, left_semi and left_anti. Other keys are untouched.
     Both sides use the column names in `on`; the result has the left's.
+
+    Finding hot keys reads the left's key columns once more. Where keys are known to
+    be even, `hot_rows=None` leaves that out.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"join type {how!r} cannot be salted on the left")
     on = list(on)
+    if hot_rows is None:
+        return _plain_join(left, right, on, how, condition, null_safe)
     hot = hot_keys(left, on, hot_rows)
     salts = F.coalesce(F.col(_SALTS), F.lit(1))
 
@@ -104,14 +118,8 @@ def salted_join(
     salted_right = with_salts(right).withColumn(
         _SALT, F.explode(F.sequence(F.lit(0), salts - 1))
     ).drop(_SALTS)
-    aliases = {name: f"__right{i}" for i, name in enumerate([*on, _SALT])}
-    salted_right = salted_right.withColumnsRenamed(aliases)
-    match = _same(salted_left, salted_right, [(n, aliases[n]) for n in on], null_safe) & (
-        salted_left[_SALT] == salted_right[aliases[_SALT]]
-    )
-    if condition is not None:
-        match = match & condition
-    return salted_left.join(salted_right, match, how).drop(_SALT, *aliases.values())
+    on_salt = [*on, _SALT]
+    return _plain_join(salted_left, salted_right, on_salt, how, condition, null_safe).drop(_SALT)
 
 
 def keyed_join(
@@ -121,7 +129,7 @@ def keyed_join(
     how: str = "inner",
     null_safe: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Equality join on columns both sides have, listed once in the result.
 
@@ -130,12 +138,7 @@ def keyed_join(
     """
     if not is_small(right, broadcast_bytes):
         return salted_join(left, right, on, how, null_safe=null_safe, hot_rows=hot_rows)
-    if not null_safe:
-        return left.join(F.broadcast(right), list(on), how)
-    aliases = {name: f"__right{i}" for i, name in enumerate(on)}
-    right = right.withColumnsRenamed(aliases)
-    match = _same(left, right, list(aliases.items()), True)
-    return left.join(F.broadcast(right), match, how).drop(*aliases.values())
+    return _plain_join(left, F.broadcast(right), list(on), how, None, null_safe)
 
 
 def attach_dimension(
@@ -145,7 +148,7 @@ def attach_dimension(
     dimension_key: str,
     names: dict[str, str],
     broadcast_bytes: int = BROADCAST_BYTES,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Left join of dimension columns, chosen and named by {dimension column: new name}.
 
@@ -161,19 +164,18 @@ def attach_dimension(
 
 
 def overlapping_validity(
-    dimension: DataFrame, key: str, start: str, stop: str
+    dimension: DataFrame, keys: Sequence[str], start: str, stop: str
 ) -> DataFrame:
     """Dimension rows that begin before an earlier row of the same key has ended.
 
     Empty for a dimension fit for `valid_at_join`. The earlier rows of a key are
     compared by their latest end, one running value per key.
     """
-    earlier = Window.partitionBy(key).orderBy(F.col(start).asc_nulls_first(), F.col(stop))
+    earlier = Window.partitionBy(*keys).orderBy(F.col(start).asc_nulls_first(), F.col(stop))
     earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
-    open_end = F.max(F.col(stop).isNull()).over(earlier)
     return (
         dimension.withColumn("__latest", F.max(stop).over(earlier))
-        .withColumn("__open", open_end)
+        .withColumn("__open", F.max(F.col(stop).isNull()).over(earlier))
         .where(F.col("__open") | (F.col(start) <= F.col("__latest"))
                | (F.col(start).isNull() & F.col("__open").isNotNull()))
         .drop("__latest", "__open")
@@ -191,7 +193,7 @@ def valid_at_join(
     names: dict[str, str],
     check: bool = True,
     broadcast_bytes: int = BROADCAST_BYTES,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
     slots: int = 256,
 ) -> DataFrame:
     """Left join of the dimension row of the key that is valid at the fact's date.
@@ -206,18 +208,24 @@ def valid_at_join(
     meet all its facts in one task. Ranges of a key do not overlap, hence a key grows
     by at most `slots` rows. Facts are not repeated.
     """
-    if check and not overlapping_validity(dimension, dimension_key, start, stop).isEmpty():
-        raise ValueError("validity ranges overlap for at least one key")
     slim = dimension.select(
         F.col(dimension_key).alias("__key"),
         F.col(start).cast("date").alias("__start"),
         F.col(stop).cast("date").alias("__stop"),
         *[F.col(old).alias(new) for old, new in names.items()],
-    )
-    day = facts[fact_date].cast("date")
+    ).where(F.coalesce(F.col("__start") <= F.col("__stop"), F.lit(True)))
+
+    def refuse_overlaps(pieces: DataFrame, keys: list[str]) -> None:
+        if check and not overlapping_validity(pieces, keys, "__start", "__stop").isEmpty():
+            raise ValueError("validity ranges overlap for at least one key")
+
+    day = F.col(fact_date).cast("date")
     helpers = ["__key", "__start", "__stop"]
     if is_small(slim, broadcast_bytes):
-        match = (facts[fact_key] == slim["__key"]) & in_range(day, slim["__start"], slim["__stop"])
+        refuse_overlaps(slim, ["__key"])
+        match = (facts[fact_key] == slim["__key"]) & in_range(
+            facts[fact_date].cast("date"), slim["__start"], slim["__stop"]
+        )
         return facts.join(F.broadcast(slim), match, "left").drop(*helpers)
 
     first, last = slim.agg(
@@ -235,8 +243,9 @@ def valid_at_join(
         F.coalesce(slot(F.col("__start")), F.lit(0)),
         F.coalesce(slot(F.col("__stop")), F.lit(slots - 1)),
     )
-    usable = F.coalesce(F.col("__start") <= F.col("__stop"), F.lit(True))
-    pieces = slim.where(usable).withColumn("__slot", F.explode(touched))
+    pieces = slim.withColumn("__slot", F.explode(touched))
+    # Two ranges that overlap share the slot in which the later one begins.
+    refuse_overlaps(pieces, ["__key", "__slot"])
     pieces = pieces.withColumnRenamed("__key", fact_key)
     placed = facts.withColumn("__day", day).withColumn("__slot", slot(F.col("__day")))
     match = in_range(F.col("__day"), F.col("__start"), F.col("__stop"))

@@ -123,7 +123,7 @@ def overlap_join(
     strategy: str = "auto",
     depth: int = DEPTH,
     broadcast_bytes: int = BROADCAST_BYTES,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Pairs of rows whose closed ranges overlap (see `ranges_overlap`); inner or left.
 

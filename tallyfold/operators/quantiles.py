@@ -16,16 +16,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Rows that may be gathered to finish a search.
-GATHER_ROWS = 100_000
+GATHER_ROWS = 500_000
 ACCURACY = 10_000
 
 
 @dataclass
 class _Search:
-    """A wanted rank (from 0) among the values above `low` and below `high` (both excluded)."""
+    """A wanted rank (from 0) among the `size` values between `low` and `high` (both excluded)."""
 
     column: str
     rank: int
+    size: int
     low: float | None = None
     high: float | None = None
     value: float | None = None
@@ -47,16 +48,16 @@ def _number(column: str) -> Column:
     return F.when(~F.isnan(cell), cell)
 
 
-def _propose_pivots(frame: DataFrame, searches: list[_Search], sizes: list[int]) -> None:
+def _propose_pivots(frame: DataFrame, searches: list[_Search]) -> None:
     margin = 5.0 / ACCURACY
 
-    def shares(search: _Search, size: int) -> list[float]:
-        share = search.rank / size
+    def shares(search: _Search) -> list[float]:
+        share = search.rank / search.size
         return [max(share - margin, 0.0), min(share + margin, 1.0)]
 
     row = frame.agg(*[
-        F.percentile_approx(s.cell(), shares(s, n), ACCURACY).alias(f"p{i}")
-        for i, (s, n) in enumerate(zip(searches, sizes))
+        F.percentile_approx(s.cell(), shares(s), ACCURACY).alias(f"p{i}")
+        for i, s in enumerate(searches)
     ]).first()
     for search, pivots in zip(searches, row):
         search.pivots = tuple(pivots)
@@ -74,15 +75,17 @@ def _narrow(frame: DataFrame, searches: list[_Search]) -> None:
         below_a, upto_a, below_b, upto_b = row[4 * i: 4 * i + 4]
         a, b = search.pivots
         if search.rank < below_a:
-            search.high = a
+            search.high, search.size = a, below_a
         elif search.rank < upto_a:
             search.value = a
         elif search.rank < below_b:
-            search.low, search.high, search.rank = a, b, search.rank - upto_a
+            search.low, search.high = a, b
+            search.rank, search.size = search.rank - upto_a, below_b - upto_a
         elif search.rank < upto_b:
             search.value = b
         else:
-            search.low, search.rank = b, search.rank - upto_b
+            search.low = b
+            search.rank, search.size = search.rank - upto_b, search.size - upto_b
 
 
 def _gather(frame: DataFrame, searches: list[_Search]) -> None:
@@ -103,21 +106,20 @@ def exact_medians(
     """
     sizes = frame.agg(*[F.count(_number(c)).alias(c) for c in columns]).first().asDict()
     middle = {
-        c: [_Search(c, rank) for rank in sorted({(n - 1) // 2, n // 2})]
+        c: [_Search(c, rank, n) for rank in sorted({(n - 1) // 2, n // 2})]
         for c, n in sizes.items() if n
     }
     todo = [search for searches in middle.values() for search in searches]
-    while todo:
-        row = frame.agg(*[F.count(s.cell()).alias(f"n{i}") for i, s in enumerate(todo)]).first()
-        few = [s for s, n in zip(todo, row) if n <= gather_rows]
-        many = [(s, n) for s, n in zip(todo, row) if n > gather_rows]
+    while True:
+        few = [s for s in todo if s.size <= gather_rows]
         if few:
             _gather(frame, few)
-        if many:
-            searches = [s for s, _ in many]
-            _propose_pivots(frame, searches, [n for _, n in many])
-            _narrow(frame, searches)
-        todo = [s for s, _ in many if s.value is None]
+        todo = [s for s in todo if s.size > gather_rows]
+        if not todo:
+            break
+        _propose_pivots(frame, todo)
+        _narrow(frame, todo)
+        todo = [s for s in todo if s.value is None]
     return {
         c: sum(s.value for s in middle[c]) / len(middle[c]) if c in middle else None
         for c in columns

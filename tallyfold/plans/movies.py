@@ -51,7 +51,7 @@ EUROPE = (
 COUNTRY_GROUPS = {"USA": ("USA",), "Europe": (*EUROPE, "Europe")}
 SCORE_EDGES, SCORE_BINS = (0, 5, 6, 7, 10), ("0-5", "5-6", "6-7", "7-10")
 FEWEST_NULLS_TO_DROP = 5
-KEPT_COUNTRIES, KEPT_RATINGS = 2, 3
+KEPT_VALUES = {"content_rating": 3, "country": 2}
 UNUSED_GENRE = "Western"
 
 
@@ -98,14 +98,13 @@ def classification_features(
     after_numbers = [c for c in (*AFTER_ONLY, SCORE) if c in after.columns]
     after = impute(after, learn_fill_values(after, median_columns=after_numbers))
     before = drop_columns(before, (*ACTOR_LIKES, "language"))
-    before = keep_most_frequent(before, "country", KEPT_COUNTRIES)
-    before = keep_most_frequent(before, "content_rating", KEPT_RATINGS)
+    before = keep_most_frequent(before, KEPT_VALUES)
     genres = [g for g in label_vocabulary(before, "genres") if g != UNUSED_GENRE]
     before = drop_columns(add_label_indicators(before.distinct(), "genres", genres), ["genres"])
     movies = keyed_join(before, after.distinct(), [TITLE])
     movies = drop_columns(movies, (*PEOPLE, *AFTER_ONLY, *({TITLE} - set(extra_keys))))
     movies = standardise(movies, learn_scale(movies, NUMBERS))
-    for column in ("content_rating", "country"):
-        movies = one_hot(movies, column, category_values(movies, column))
+    for column, values in category_values(movies, list(KEPT_VALUES)).items():
+        movies = one_hot(movies, column, values)
     binned = movies.withColumn("imdb_score_bins", bins(F.col(SCORE), SCORE_EDGES, SCORE_BINS))
     return drop_columns(binned, [SCORE])

@@ -15,6 +15,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split skewed join partitions even when a later operator then needs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JVM never compiles a method beyond 8,000 bytes. A wide projection past that size
+    # is better split into many methods than fused into one that stays interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -26,7 +26,7 @@ def _(t):
 WITH top AS (SELECT p_brand FROM part GROUP BY 1 ORDER BY count(*) DESC, p_brand LIMIT 3)
 SELECT p_partkey, CASE WHEN p_brand IN (FROM top) THEN p_brand ELSE 'Other' END AS p_brand FROM part""")
 def _(t):
-    return features.keep_most_frequent(t.part.select("p_partkey", "p_brand"), "p_brand", 3)
+    return features.keep_most_frequent(t.part.select("p_partkey", "p_brand"), {"p_brand": 3})
 
 
 _GENRES = """
@@ -56,8 +56,8 @@ SELECT c_custkey, CAST(c_mktsegment = 'BUILDING' AS INTEGER) AS "c_mktsegment_BU
        CAST(c_mktsegment = 'MACHINERY' AS INTEGER) AS "c_mktsegment_MACHINERY" FROM customer""")
 def _(t):
     customers = t.customer.select("c_custkey", "c_mktsegment")
-    values = features.category_values(customers, "c_mktsegment")
-    return features.one_hot(customers, "c_mktsegment", values)
+    values = features.category_values(customers, ["c_mktsegment"])
+    return features.one_hot(customers, "c_mktsegment", values["c_mktsegment"])
 
 
 @query("bins", """

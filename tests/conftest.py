@@ -18,6 +18,7 @@ def spark():
         spark__sql__shuffle__partitions="4",
         # Generated code that does not compile is an error, not a silent slow path.
         spark__sql__codegen__fallback="false",
+        spark__sql__maxMetadataStringLength="2000",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
