@@ -56,13 +56,6 @@ def hot_keys(frame: DataFrame, on: Sequence[str], hot_rows: int) -> DataFrame:
     )
 
 
-def _row_salt(columns: Sequence[str]) -> Column:
-    # From the row and the task that holds it, not from rand() or the position within
-    # the task: a task run again after an executor is lost gives the same salts. The
-    # task's number spreads exact copies of one row.
-    return F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in columns])
-
-
 def _same(left: DataFrame, right: DataFrame, pairs, null_safe: bool) -> Column:
     def equal(l, r):
         return left[l].eqNullSafe(right[r]) if null_safe else left[l] == right[r]
@@ -93,9 +86,12 @@ def salted_join(
     Each left row of a hot key gets one salt, and the right rows of that key are
     repeated once per salt, so every left row still meets every right row of its key
     once: exact for inner, left, left_semi and left_anti. Other keys are untouched.
-    Both sides use the column names in `on`; the result has the left's.
 
-    Finding hot keys reads the left's key columns once more. Where keys are known to
+    The salt is the number of the task that holds the row. Thus exact copies of a row
+    are spread too, no column is read just for salting, and a task run again after an
+    executor is lost gives the same salts, which random ones would not.
+
+    Both sides use the column names in `on`; the result has the left's. Finding hot keys reads the left's key columns once more. Where keys are known to
     be even, `hot_rows=None` leaves that out.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
@@ -112,8 +108,8 @@ def salted_join(
         joined = frame.join(F.broadcast(keys), _same(frame, keys, pairs, True), "left")
         return joined.drop(*[name for _, name in pairs])
 
-    salted_left = with_salts(left.withColumn(_SALT, _row_salt(left.columns))).withColumn(
-        _SALT, F.pmod(F.col(_SALT), salts).cast("int")
+    salted_left = with_salts(left).withColumn(
+        _SALT, F.pmod(F.spark_partition_id(), salts)
     ).drop(_SALTS)
     salted_right = with_salts(right).withColumn(
         _SALT, F.explode(F.sequence(F.lit(0), salts - 1))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
@@ -18,10 +19,19 @@ REGRESSION_FOREST = {"numTrees": 100, "maxDepth": 10, "minInstancesPerNode": 1}
 CLASSIFICATION_FOREST = {"numTrees": 100, "maxDepth": 4, "minInstancesPerNode": 5}
 
 
-def _features(columns: Sequence[str]) -> VectorAssembler:
+def _assembler(columns: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(columns), outputCol="features", handleInvalid="error")
 
 
+def _fit(estimator, ready: DataFrame):
+    # Training goes over its rows several times, so they are kept while it runs.
+    kept = ready.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return estimator.fit(kept)
+    finally:
+        kept.unpersist()
+
+
 def fit_forest_regressor(
     train: DataFrame, label: str, features: Sequence[str], seed: int = 1, **sizes
 ) -> PipelineModel:
@@ -30,7 +40,9 @@ def fit_forest_regressor(
         featuresCol="features", labelCol=label, predictionCol="raw_prediction", seed=seed,
         **{**REGRESSION_FOREST, **sizes},
     )
-    return Pipeline(stages=[_features(features), forest]).fit(train)
+    assemble = _assembler(features)
+    model = _fit(forest, assemble.transform(train).select("features", label))
+    return PipelineModel(stages=[assemble, model])
 
 
 def _fit_classifier(classifier, train, label, features, labels) -> PipelineModel:
@@ -44,7 +56,9 @@ def _fit_classifier(classifier, train, label, features, labels) -> PipelineModel
         featuresCol="features", labelCol="label_index", predictionCol="predicted_index",
         rawPredictionCol="votes", probabilityCol="probability",
     )
-    return Pipeline(stages=[_features(features), index, classifier, name]).fit(train)
+    assemble = _assembler(features)
+    ready = index.transform(assemble.transform(train)).select("features", "label_index")
+    return PipelineModel(stages=[assemble, _fit(classifier, ready), name])
 
 
 def fit_forest_classifier(
@@ -75,7 +89,7 @@ def score_numbers(model: PipelineModel, frame: DataFrame) -> DataFrame:
 
 def score_labels(model: PipelineModel, frame: DataFrame) -> DataFrame:
     """Rows with the predicted label."""
-    helpers = ("features", "label_index", "predicted_index", "votes", "probability")
+    helpers = ("features", "predicted_index", "votes", "probability")
     return model.transform(frame).drop(*helpers)
 
 

@@ -26,6 +26,7 @@ from tallyfold.operators.shape import (
     fill_nulls,
     keep_rows_with_fewer_nulls,
 )
+from tallyfold.session import materialise
 
 # Column groups, fill values, country groups and score bins.
 TITLE, SCORE = "movie_title", "imdb_score"
@@ -71,7 +72,8 @@ def regression_features(
     """
     movies = keyed_join(typed(before), typed(after), [TITLE])
     movies = drop_columns(movies, (*AFTER_ONLY, *({TITLE} - set(extra_keys)))).distinct()
-    movies = fill_nulls(drop_columns(movies, PEOPLE), REGRESSION_FILLS)
+    movies = materialise(drop_columns(movies, PEOPLE), "movies")
+    movies = fill_nulls(movies, REGRESSION_FILLS)
     movies = movies.withColumns({
         "country": recode(F.col("country"), COUNTRY_GROUPS, "other"),
         "language": recode(F.col("language"), {"English": ("English",)}, "Other"),
@@ -103,6 +105,7 @@ def classification_features(
     before = drop_columns(add_label_indicators(before.distinct(), "genres", genres), ["genres"])
     movies = keyed_join(before, after.distinct(), [TITLE])
     movies = drop_columns(movies, (*PEOPLE, *AFTER_ONLY, *({TITLE} - set(extra_keys))))
+    movies = materialise(movies, "movies")
     movies = standardise(movies, learn_scale(movies, NUMBERS))
     for column, values in category_values(movies, list(KEPT_VALUES)).items():
         movies = one_hot(movies, column, values)

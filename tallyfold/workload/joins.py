@@ -130,17 +130,22 @@ LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN supplier ON l_suppkey = s_
 LEFT JOIN part ON l_partkey = p_partkey
 LEFT JOIN nation n1 ON s_nationkey = n1.n_nationkey LEFT JOIN nation n2 ON c_nationkey = n2.n_nationkey""")
 def _(t):
+    # Dimensions of dimensions first: what is joined to the lines is then joined once,
+    # and customers meet orders, not the many lines of each order.
+    customers = attach_dimension(t.customer, t.nation, "c_nationkey", "n_nationkey",
+                                 {"n_name": "destination"})
+    suppliers = attach_dimension(t.supplier, t.nation, "s_nationkey", "n_nationkey",
+                                 {"n_name": "origin"})
+    orders = attach_dimension(t.orders, customers, "o_custkey", "c_custkey",
+                              {"c_name": "customer", "destination": "destination"})
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_partkey", "l_suppkey")
-    view = attach_dimension(lines, t.orders, "l_orderkey", "o_orderkey",
-                            {"o_orderdate": "o_orderdate", "o_custkey": "custkey"})
-    view = attach_dimension(view, t.customer, "custkey", "c_custkey",
-                            {"c_name": "customer", "c_nationkey": "to_nation"})
-    view = attach_dimension(view, t.supplier, "l_suppkey", "s_suppkey",
-                            {"s_name": "supplier", "s_nationkey": "from_nation"})
+    view = attach_dimension(lines, orders, "l_orderkey", "o_orderkey", {
+        c: c for c in ("o_orderdate", "customer", "destination")
+    })
+    view = attach_dimension(view, suppliers, "l_suppkey", "s_suppkey",
+                            {"s_name": "supplier", "origin": "origin"})
     view = attach_dimension(view, t.part, "l_partkey", "p_partkey", {"p_name": "part"})
-    view = attach_dimension(view, t.nation, "from_nation", "n_nationkey", {"n_name": "origin"})
-    view = attach_dimension(view, t.nation, "to_nation", "n_nationkey", {"n_name": "destination"})
-    return view.drop("custkey", "from_nation", "to_nation", "l_partkey", "l_suppkey")
+    return view.drop("l_partkey", "l_suppkey")
 
 
 _VALID_AT_SQL = f"""

@@ -71,20 +71,25 @@ def test_hot_keys_are_spread(spark, sides):
     assert found == {1: 3, 2: 3}
 
 
-def test_copies_of_one_row_are_spread_over_salts(spark):
+def test_copies_of_one_row_are_spread_and_stay_complete(spark):
     copies = spark.range(0, 8000, 1, 8).select(F.lit(1).alias("k"))
     once = spark.createDataFrame([(1, "x")], "k int, w string")
-    # The salt depends on the task as well, so the copies do not all share one.
-    from tallyfold.operators.joins import _row_salt
-    salts = copies.select(F.pmod(_row_salt(["k"]), F.lit(8)).alias("s")).distinct().count()
-    assert salts > 1
-    assert salted_join(copies, once, ["k"], hot_rows=1000).count() == 8000
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = salted_join(copies, once, ["k"], hot_rows=1000)
+        sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        plain = salted_join(copies, once, ["k"], hot_rows=None)
+        assert plain.select(F.spark_partition_id()).distinct().count() == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 8000 and len(sizes) > 1
 
 
-def test_salts_do_not_change_when_a_task_runs_again(spark, sides):
-    from tallyfold.operators.joins import _row_salt
-    left = sides[0].withColumn("s", _row_salt(["k", "v"]))
-    assert sorted(map(str, left.collect())) == sorted(map(str, left.collect()))
+def test_salting_reads_no_further_columns(spark, data_dir, plan_of):
+    orders = spark.read.parquet(f"{data_dir}/orders.parquet").withColumnRenamed("o_custkey", "k")
+    customers = spark.read.parquet(f"{data_dir}/customer.parquet").withColumnRenamed("c_custkey", "k")
+    plan = plan_of(salted_join(orders, customers, ["k"]).select("o_orderkey", "c_name"))
+    assert "o_totalprice" not in plan and "c_acctbal" not in plan
 
 
 def test_size_check(spark, data_dir):
