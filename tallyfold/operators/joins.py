@@ -13,35 +13,37 @@ from tallyfold.functions.ranges import in_range
 
 # A side is broadcast only if Spark's own size estimate for it is below this.
 BROADCAST_BYTES = 16 * 1024 * 1024
+UNKNOWN_BYTES = 2**63 - 1
 # A key is hot from this many rows on; its rows are spread over tasks of that size.
 HOT_ROWS = 1_000_000
 # Most keys treated as hot, the most frequent first: bounds the broadcast of hot keys.
 # A key beyond them holds less than 1/10,000 of the rows, no more than a usual task.
 MAX_HOT_KEYS = 10_000
 
-_SALT, _SALTS, _ROWS = "__salt", "__salts", "__rows"
+_ROWS, _PARTS = "__rows", "__parts"
+_LEFT_PART, _LEFT_PARTS = "__left_part", "__left_parts"
+_RIGHT_PART, _RIGHT_PARTS = "__right_part", "__right_parts"
 
 
-def estimated_bytes(frame: DataFrame) -> int | None:
+def estimated_bytes(frame: DataFrame) -> int:
     """Spark's size estimate for a frame, taken from its plan without running a job.
 
     File sizes carry through projections and filters undiminished, and a join counts
-    as the product of its sides, so the estimate errs to the large side. None if the
-    plan cannot be asked.
+    as the product of its sides, so the estimate errs to the large side. A frame whose
+    plan cannot be asked counts as huge, as does one of unknown size.
     """
     plan = getattr(frame, "_jdf", None)
     if plan is None:
-        return None
+        return UNKNOWN_BYTES
     return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def is_small(frame: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    size = estimated_bytes(frame)
-    return size is not None and size <= limit
+    return estimated_bytes(frame) <= limit
 
 
 def hot_keys(frame: DataFrame, on: Sequence[str], hot_rows: int) -> DataFrame:
-    """Keys with at least `hot_rows` rows and the number of salts each gets.
+    """Keys with at least `hot_rows` rows and the number of parts each is split into.
 
     The count combines on the map side, so a hot key costs one row per task. At
     most MAX_HOT_KEYS rows come out.
@@ -52,7 +54,7 @@ def hot_keys(frame: DataFrame, on: Sequence[str], hot_rows: int) -> DataFrame:
         .where(F.col(_ROWS) >= hot_rows)
         .orderBy(F.desc(_ROWS))
         .limit(MAX_HOT_KEYS)
-        .select(*on, F.ceil(F.col(_ROWS) / hot_rows).cast("int").alias(_SALTS))
+        .select(*on, F.ceil(F.col(_ROWS) / hot_rows).cast("int").alias(_PARTS))
     )
 
 
@@ -72,6 +74,19 @@ def _plain_join(left, right, on, how, condition, null_safe) -> DataFrame:
     return left.join(right, match, how).drop(*aliases.values())
 
 
+def _hot_keys_of_both(left, right, on, how, hot_rows) -> DataFrame:
+    """Hot keys with the number of parts for the left and for the right rows of each."""
+    parts = hot_keys(left, on, hot_rows).withColumnRenamed(_PARTS, _LEFT_PARTS)
+    if how != "inner":
+        return parts.withColumn(_RIGHT_PARTS, F.lit(1))
+    both = parts.unionByName(
+        hot_keys(right, on, hot_rows).withColumnRenamed(_PARTS, _RIGHT_PARTS),
+        allowMissingColumns=True,
+    )
+    most = [F.coalesce(F.max(c), F.lit(1)).alias(c) for c in (_LEFT_PARTS, _RIGHT_PARTS)]
+    return both.groupBy(*on).agg(*most)
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
@@ -81,41 +96,55 @@ def salted_join(
     null_safe: bool = False,
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """Shuffle join on `on` where keys that are hot on the left are split over tasks.
+    """Shuffle join on `on` where the rows of hot keys are split over tasks.
 
-    Each left row of a hot key gets one salt, and the right rows of that key are
-    repeated once per salt, so every left row still meets every right row of its key
-    once: exact for inner, left, left_semi and left_anti. Other keys are untouched.
+    The left rows of a hot key fall into parts, and the right rows of that key are
+    repeated once per part, so every left row still meets every right row of its key
+    once. An inner join also splits keys that are hot on the right, the same way. For
+    semi and anti joins the right needs each key once only; for a left join it is taken
+    to be a dimension, whose keys are not hot. Other keys are untouched.
 
-    The salt is the number of the task that holds the row. Thus exact copies of a row
-    are spread too, no column is read just for salting, and a task run again after an
-    executor is lost gives the same salts, which random ones would not.
+    A row's part is the number of the task that holds it. Thus exact copies of a row
+    are spread too, no column is read just for splitting, and a task run again after an
+    executor is lost gives the same parts, which random ones would not.
 
-    Both sides use the column names in `on`; the result has the left's. Finding hot keys reads the left's key columns once more. Where keys are known to
-    be even, `hot_rows=None` leaves that out.
+    Both sides use the column names in `on`; the result has the left's. Finding hot keys
+    reads the key columns once more. Where keys are known to be even, `hot_rows=None`
+    leaves that out.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"join type {how!r} cannot be salted on the left")
+        raise ValueError(f"join type {how!r} cannot be split")
     on = list(on)
+    if how in ("left_semi", "left_anti") and condition is None:
+        right = right.select(*on).distinct()
     if hot_rows is None:
         return _plain_join(left, right, on, how, condition, null_safe)
-    hot = hot_keys(left, on, hot_rows)
-    salts = F.coalesce(F.col(_SALTS), F.lit(1))
+    hot = _hot_keys_of_both(left, right, on, how, hot_rows)
 
-    def with_salts(frame: DataFrame) -> DataFrame:
-        keys = hot.toDF(*[f"__hot{i}" for i in range(len(on))], _SALTS)
+    def with_parts(frame: DataFrame) -> DataFrame:
+        keys = hot.toDF(*[f"__hot{i}" for i in range(len(on))], _LEFT_PARTS, _RIGHT_PARTS)
         pairs = [(name, f"__hot{i}") for i, name in enumerate(on)]
         joined = frame.join(F.broadcast(keys), _same(frame, keys, pairs, True), "left")
         return joined.drop(*[name for _, name in pairs])
 
-    salted_left = with_salts(left).withColumn(
-        _SALT, F.pmod(F.spark_partition_id(), salts)
-    ).drop(_SALTS)
-    salted_right = with_salts(right).withColumn(
-        _SALT, F.explode(F.sequence(F.lit(0), salts - 1))
-    ).drop(_SALTS)
-    on_salt = [*on, _SALT]
-    return _plain_join(salted_left, salted_right, on_salt, how, condition, null_safe).drop(_SALT)
+    def own_part(parts: str) -> Column:
+        return F.pmod(F.spark_partition_id(), F.coalesce(F.col(parts), F.lit(1)))
+
+    def every_part(parts: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.coalesce(F.col(parts), F.lit(1)) - 1))
+
+    placed_left = with_parts(left).withColumn(_LEFT_PART, own_part(_LEFT_PARTS))
+    placed_right = with_parts(right).withColumn(_LEFT_PART, every_part(_LEFT_PARTS))
+    part_columns = [_LEFT_PART]
+    if how == "inner":
+        placed_left = placed_left.withColumn(_RIGHT_PART, every_part(_RIGHT_PARTS))
+        placed_right = placed_right.withColumn(_RIGHT_PART, own_part(_RIGHT_PARTS))
+        part_columns.append(_RIGHT_PART)
+    joined = _plain_join(
+        placed_left.drop(_LEFT_PARTS, _RIGHT_PARTS), placed_right.drop(_LEFT_PARTS, _RIGHT_PARTS),
+        [*on, *part_columns], how, condition, null_safe,
+    )
+    return joined.drop(*part_columns)
 
 
 def keyed_join(
@@ -126,13 +155,17 @@ def keyed_join(
     null_safe: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_rows: int | None = HOT_ROWS,
+    right_bytes: int | None = None,
 ) -> DataFrame:
     """Equality join on columns both sides have, listed once in the result.
 
     NULL keys match nothing, or each other with `null_safe`. A right side of known
     small size is broadcast; otherwise the join shuffles and splits hot keys.
+    `right_bytes` is a bound for the right's size where the caller knows a better one
+    than Spark's estimate, which multiplies the sides of a join.
     """
-    if not is_small(right, broadcast_bytes):
+    small = is_small(right, broadcast_bytes) if right_bytes is None else right_bytes <= broadcast_bytes
+    if not small:
         return salted_join(left, right, on, how, null_safe=null_safe, hot_rows=hot_rows)
     return _plain_join(left, F.broadcast(right), list(on), how, None, null_safe)
 
@@ -145,6 +178,7 @@ def attach_dimension(
     names: dict[str, str],
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_rows: int | None = HOT_ROWS,
+    dimension_bytes: int | None = None,
 ) -> DataFrame:
     """Left join of dimension columns, chosen and named by {dimension column: new name}.
 
@@ -155,8 +189,8 @@ def attach_dimension(
         F.col(dimension_key).alias(fact_key),
         *[F.col(old).alias(new) for old, new in names.items()],
     )
-    return keyed_join(facts, slim, [fact_key], "left",
-                      broadcast_bytes=broadcast_bytes, hot_rows=hot_rows)
+    return keyed_join(facts, slim, [fact_key], "left", broadcast_bytes=broadcast_bytes,
+                      hot_rows=hot_rows, right_bytes=dimension_bytes)
 
 
 def overlapping_validity(

@@ -23,7 +23,8 @@ def label_weekend(
     frame: DataFrame, colname: str = "date", new_colname: str = "is_weekend"
 ) -> DataFrame:
     """Add whether a date is a Saturday or Sunday."""
-    return frame.withColumn(new_colname, F.dayofweek(colname).isin(1, 7))
+    # Counted from Monday as 0.
+    return frame.withColumn(new_colname, F.weekday(F.col(colname)) >= 5)
 
 
 def _calendar(years: DataFrame, colname: str) -> DataFrame:

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 # Rows that may be gathered to finish a search.
 GATHER_ROWS = 500_000
-ACCURACY = 10_000
+# Of the sketch: pivots lie within 1/ACCURACY of the rows from where they should.
+ACCURACY = 2_000
 
 
 @dataclass
@@ -30,7 +31,6 @@ class _Search:
     low: float | None = None
     high: float | None = None
     value: float | None = None
-    pivots: tuple[float, float] | None = None
 
     def cell(self) -> Column:
         cell = _number(self.column)
@@ -48,44 +48,52 @@ def _number(column: str) -> Column:
     return F.when(~F.isnan(cell), cell)
 
 
-def _propose_pivots(frame: DataFrame, searches: list[_Search]) -> None:
+def _by_interval(searches: list[_Search]) -> list[list[_Search]]:
+    """Searches among the same values, such as those for the two middle ranks, share work."""
+    groups: dict[tuple, list[_Search]] = {}
+    for search in searches:
+        groups.setdefault((search.column, search.low, search.high), []).append(search)
+    return list(groups.values())
+
+
+def _propose_pivots(frame: DataFrame, groups: list[list[_Search]]) -> list[tuple[float, float]]:
     margin = 5.0 / ACCURACY
 
-    def shares(search: _Search) -> list[float]:
-        share = search.rank / search.size
-        return [max(share - margin, 0.0), min(share + margin, 1.0)]
+    def shares(group: list[_Search]) -> list[float]:
+        wanted = [search.rank / search.size for search in group]
+        return [max(min(wanted) - margin, 0.0), min(max(wanted) + margin, 1.0)]
 
     row = frame.agg(*[
-        F.percentile_approx(s.cell(), shares(s), ACCURACY).alias(f"p{i}")
-        for i, s in enumerate(searches)
+        F.percentile_approx(group[0].cell(), shares(group), ACCURACY).alias(f"p{i}")
+        for i, group in enumerate(groups)
     ]).first()
-    for search, pivots in zip(searches, row):
-        search.pivots = tuple(pivots)
+    return [tuple(pivots) for pivots in row]
 
 
 def _narrow(frame: DataFrame, searches: list[_Search]) -> None:
+    groups = _by_interval(searches)
+    pivots = _propose_pivots(frame, groups)
     counts = []
-    for i, search in enumerate(searches):
-        cell = search.cell()
-        a, b = search.pivots
+    for i, (group, (a, b)) in enumerate(zip(groups, pivots)):
+        cell = group[0].cell()
         tests = (cell < a, cell <= a, cell < b, cell <= b)
         counts += [F.count(F.when(test, 1)).alias(f"c{i}_{j}") for j, test in enumerate(tests)]
     row = frame.agg(*counts).first()
-    for i, search in enumerate(searches):
+    for i, (group, (a, b)) in enumerate(zip(groups, pivots)):
         below_a, upto_a, below_b, upto_b = row[4 * i: 4 * i + 4]
-        a, b = search.pivots
-        if search.rank < below_a:
-            search.high, search.size = a, below_a
-        elif search.rank < upto_a:
-            search.value = a
-        elif search.rank < below_b:
-            search.low, search.high = a, b
-            search.rank, search.size = search.rank - upto_a, below_b - upto_a
-        elif search.rank < upto_b:
-            search.value = b
-        else:
-            search.low = b
-            search.rank, search.size = search.rank - upto_b, search.size - upto_b
+        for search in group:
+            if search.rank < below_a:
+                search.high, search.size = a, below_a
+            elif search.rank < upto_a:
+                search.value = a
+            elif search.rank < below_b:
+                search.low, search.high = a, b
+                search.rank, search.size = search.rank - upto_a, below_b - upto_a
+            elif search.rank < upto_b:
+                search.value = b
+            else:
+                search.low = b
+                search.rank, search.size = search.rank - upto_b, search.size - upto_b
 
 
 def _gather(frame: DataFrame, searches: list[_Search]) -> None:
@@ -117,7 +125,6 @@ def exact_medians(
         todo = [s for s in todo if s.size > gather_rows]
         if not todo:
             break
-        _propose_pivots(frame, todo)
         _narrow(frame, todo)
         todo = [s for s in todo if s.value is None]
     return {

@@ -4,7 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyfold.operators.joins import attach_dimension, keyed_join, valid_at_join
+from tallyfold.operators.joins import (
+    attach_dimension,
+    estimated_bytes,
+    keyed_join,
+    valid_at_join,
+)
 from tallyfold.operators.overlap import overlap_join
 from tallyfold.plans.dimensions import clean_carriers
 from tallyfold.plans.offices import offices_with_reigns
@@ -136,12 +141,14 @@ def _(t):
                                  {"n_name": "destination"})
     suppliers = attach_dimension(t.supplier, t.nation, "s_nationkey", "n_nationkey",
                                  {"n_name": "origin"})
+    # Attaching keeps the number of rows, and two names about double a row's width.
     orders = attach_dimension(t.orders, customers, "o_custkey", "c_custkey",
-                              {"c_name": "customer", "destination": "destination"})
+                              {"c_name": "customer", "destination": "destination"},
+                              dimension_bytes=2 * estimated_bytes(t.customer))
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_partkey", "l_suppkey")
     view = attach_dimension(lines, orders, "l_orderkey", "o_orderkey", {
         c: c for c in ("o_orderdate", "customer", "destination")
-    })
+    }, dimension_bytes=2 * estimated_bytes(t.orders))
     view = attach_dimension(view, suppliers, "l_suppkey", "s_suppkey",
                             {"s_name": "supplier", "origin": "origin"})
     view = attach_dimension(view, t.part, "l_partkey", "p_partkey", {"p_name": "part"})

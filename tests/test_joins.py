@@ -67,7 +67,7 @@ def test_keyed_join_gives_the_same_either_way(spark, sides, how, null_safe, broa
 
 def test_hot_keys_are_spread(spark, sides):
     left, _ = sides
-    found = {row["k"]: row["__salts"] for row in hot_keys(left, ["k"], 20).collect()}
+    found = {row["k"]: row["__parts"] for row in hot_keys(left, ["k"], 20).collect()}
     assert found == {1: 3, 2: 3}
 
 
@@ -85,6 +85,22 @@ def test_copies_of_one_row_are_spread_and_stay_complete(spark):
     assert sum(sizes) == 8000 and len(sizes) > 1
 
 
+@pytest.mark.parametrize("hot_rows", [5, 40])
+def test_inner_join_with_keys_hot_on_both_sides(spark, hot_rows):
+    rng = random.Random(2)
+    keys = [1] * 40 + [2] * 30 + [None] * 20 + list(range(3, 30))
+    left = [(k, i) for i, k in enumerate(rng.sample(keys, len(keys)))]
+    right = [(k, i) for i, k in enumerate(rng.sample(keys[20:] + [5] * 50, len(keys) + 30))]
+    expected = spark.createDataFrame(
+        [(k, v, w) for k, v in left for q, w in right if k == q and k is not None], "k int, v int, w int")
+    l = spark.createDataFrame(left, "k int, v int").repartition(6)
+    r = spark.createDataFrame(right, "k int, w int").repartition(5)
+    actual = salted_join(l, r, ["k"], hot_rows=hot_rows)
+    assert_same_frames(actual, expected, check_nullability=False)
+    close = salted_join(l, r, ["k"], condition=F.abs(F.col("v") - F.col("w")) < 9, hot_rows=hot_rows)
+    assert_same_frames(close, expected.where("abs(v - w) < 9"), check_nullability=False)
+
+
 def test_salting_reads_no_further_columns(spark, data_dir, plan_of):
     orders = spark.read.parquet(f"{data_dir}/orders.parquet").withColumnRenamed("o_custkey", "k")
     customers = spark.read.parquet(f"{data_dir}/customer.parquet").withColumnRenamed("c_custkey", "k")
@@ -109,7 +125,7 @@ def test_small_side_is_broadcast_and_large_side_shuffled(spark, data_dir, plan_o
         plan = plan_of(keyed_join(orders, customers, ["k"], broadcast_bytes=0))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "SortMergeJoin" in plan and "__salt" in plan and "CartesianProduct" not in plan
+    assert "SortMergeJoin" in plan and "__left_part" in plan and "CartesianProduct" not in plan
 
 
 def test_attach_twice_keeps_all_facts(spark):

@@ -28,14 +28,12 @@ def test_all_queries_but_the_models_have_sql():
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
-def test_query_matches_sql(spark, db, data_dir, name):
-    assert compare(QUERIES[name](spark, data_dir), db.sql(ORACLES[name])) == ""
-
-
-@pytest.mark.parametrize("name", sorted(set(ORACLES) - {"udf_typed"}))
-def test_no_query_leaves_the_jvm_or_crosses_tables(spark, data_dir, plan_of, name):
-    plan = plan_of(QUERIES[name](spark, data_dir))
-    assert "Python" not in plan and "CartesianProduct" not in plan
+def test_query_matches_sql_and_stays_in_the_jvm(spark, db, data_dir, plan_of, name):
+    frame = QUERIES[name](spark, data_dir)
+    plan = plan_of(frame)
+    assert "CartesianProduct" not in plan
+    assert ("Python" in plan) == (name == "udf_typed")
+    assert compare(frame, db.sql(ORACLES[name])) == ""
 
 
 def test_entry(spark):
