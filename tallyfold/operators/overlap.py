@@ -11,8 +11,9 @@ column expressions and Spark joins them by hash or sort.
 - Pair kind B: the left range begins inside the right one, after its first leaf.
 
 Every overlapping pair is of one kind only, so no de-duplication is needed. Leaves
-are a never-decreasing function of the bound, hence no overlap is lost whatever the
-leaf limits are; pairs that only share a leaf are removed by the exact predicate.
+are a never-decreasing function of the bound, hence no overlap is lost wherever they
+end; pairs that only share a leaf are removed by the exact predicate. Leaves are
+narrow where many bounds lie, so a crowded hour does not meet as one leaf.
 """
 
 from __future__ import annotations
@@ -35,7 +36,11 @@ from tallyfold.operators.joins import (
 COMPARE_ROWS = 64
 DEPTH = 14
 
-_NODE, _FIRST, _LAST = "__node", "__first_leaf", "__last_leaf"
+# Stretches of the line, equally full, that the leaves are dealt out to.
+PIECES = 64
+
+_TICK = "__tick"
+_NODE, _FIRST, _LAST, _PIECE = "__node", "__first", "__last", "__piece"
 
 
 def _tick(frame: DataFrame, name: str) -> Column:
@@ -55,42 +60,71 @@ def _tick(frame: DataFrame, name: str) -> Column:
     raise TypeError(f"cannot place ranges of type {data_type.simpleString()} on a line")
 
 
-def _limits(sides) -> tuple[float, float]:
-    """Where most bounds lie, so that a few stray ones do not stretch the leaves. One job."""
+def _cuts(sides) -> list[float]:
+    """Ticks between which about equally many bounds of both sides lie; found in one job.
+
+    The outer pieces are thin, so that a few stray bounds take few others along.
+    """
     ticks = [
         frame.select(F.explode(F.array(*[_tick(frame, name) for name in names])).alias("tick"))
         for frame, names in sides
     ]
+    shares = [0.001, *[i / PIECES for i in range(1, PIECES)], 0.999]
     row = reduce(DataFrame.unionAll, ticks).agg(
-        F.percentile_approx("tick", [0.001, 0.999], 10_000).alias("most"),
+        F.percentile_approx("tick", shares, 2_000).alias("cuts"),
         F.min("tick").alias("low"),
         F.max("tick").alias("high"),
     ).first()
-    if not row["most"]:
-        return 0.0, 0.0
-    first, last = row["most"]
-    margin = (last - first) * 0.1
-    return max(row["low"], first - margin), min(row["high"], last + margin)
+    return sorted({*(row["cuts"] or []), row["low"] or 0.0, row["high"] or 0.0})
 
 
-def _leaf(tick: Column, low: float, high: float, leaves: int) -> Column:
-    width = (high - low) or 1.0
-    place = F.floor((tick - F.lit(low)) / F.lit(width) * (leaves - 1))
-    # least() and greatest() skip NULLs, so an open end has to be kept open here.
-    clamped = F.least(F.greatest(place, F.lit(0)), F.lit(leaves - 1)).cast("int")
-    return F.when(tick.isNotNull(), clamped)
+def _with_leaf(frame: DataFrame, name: str, leaf: str, open_leaf: int, cuts: list[float],
+               leaves: int) -> DataFrame:
+    """Add the leaf of a bound: the piece it lies in, and its place within the piece.
 
-
-def _cover(first: Column, last: Column, depth: int) -> Column:
+    Every piece gets equally many leaves, so crowded stretches have narrow ones. An
+    open end has `open_leaf`. Never decreasing in the bound, and a bound outside all
+    pieces belongs to the first or last leaf.
+    """
+    frame, tick = frame.withColumn(_TICK, _tick(frame, name)), F.col(_TICK)
+    # A line of few leaves has fewer pieces; what lies beyond the last goes to its end.
+    cuts = cuts[::-(-(len(cuts) - 1) // leaves) or 1]
+    pieces = max(len(cuts) - 1, 1)
+    per_piece = leaves // pieces
+
+    # As SQL text, since building thousands of Column objects one by one takes seconds.
+    def piece_of(first: int, last: int) -> str:
+        if first == last:
+            return str(first)
+        middle = (first + last + 1) // 2
+        lower, upper = piece_of(first, middle - 1), piece_of(middle, last)
+        return f"CASE WHEN {_TICK} < {cuts[middle]!r}D THEN {lower} ELSE {upper} END"
+
+    def numbers(values: list[float]) -> str:
+        return "array(" + ", ".join(f"{value!r}D" for value in values) + ")"
+
+    ends = [*cuts[1:], cuts[-1] + 1.0][:pieces]
+    widths = [end - begin for begin, end in zip(cuts, ends)]
+    frame = frame.withColumn(_PIECE, F.expr(piece_of(0, pieces - 1)))
+    piece = F.col(_PIECE)
+    begin, width = (F.get(F.expr(numbers(v)), piece) for v in (cuts[:pieces], widths))
+    inside = F.floor((tick - begin) / width * per_piece)
+    place = F.least(F.greatest(inside, F.lit(0)), F.lit(per_piece - 1)).cast("int")
+    # least() and greatest() skip NULLs, so an open end is told apart first.
+    found = F.when(tick.isNotNull(), piece * per_piece + place).otherwise(open_leaf)
+    return frame.withColumn(leaf, found).drop(_TICK, _PIECE)
+
+
+def _cover(first: str, last: str, depth: int) -> Column:
     """Fewest tree nodes that together hold the leaves first to last (none if first > last)."""
     size = 1 << depth
     nodes = []
     for level in range(depth + 1):
-        begin = F.shiftright(first + (size + (1 << level) - 1), level)
-        end = F.shiftright(last + (size + 1), level)
-        nodes.append(F.when((begin < end) & (begin % 2 == 1), begin))
-        nodes.append(F.when((begin < end) & (end % 2 == 1), end - 1))
-    return F.array_compact(F.array(*nodes))
+        begin = f"shiftright({first} + {size + (1 << level) - 1}, {level})"
+        end = f"shiftright({last} + {size + 1}, {level})"
+        for odd, node in ((begin, begin), (end, f"{end} - 1")):
+            nodes.append(f"CASE WHEN {begin} < {end} AND {odd} % 2 = 1 THEN {node} END")
+    return F.expr(f"array_compact(array({', '.join(nodes)}))")
 
 
 def _nodes_above(leaf: Column, levels: list[int], depth: int) -> Column:
@@ -149,20 +183,18 @@ def overlap_join(
             raise ValueError("the right side is not of known small size")
         return left.join(F.broadcast(right), exact, how)
 
-    low, high = _limits([(left, left_range), (right, right_range)])
-    last_leaf = (1 << depth) - 1
+    cuts = _cuts([(left, left_range), (right, right_range)])
+    leaves = 1 << depth
 
     def with_leaves(frame: DataFrame, names: tuple[str, str]) -> DataFrame:
         # Columns of their own, as the nodes of all levels refer to them. An open end
         # reaches to the edge of the line.
-        start, stop = (_leaf(_tick(frame, n), low, high, last_leaf + 1) for n in names)
-        return frame.withColumns({
-            _FIRST: F.coalesce(start, F.lit(0)), _LAST: F.coalesce(stop, F.lit(last_leaf))
-        })
+        frame = _with_leaf(frame, names[0], _FIRST, 0, cuts, leaves)
+        return _with_leaf(frame, names[1], _LAST, leaves - 1, cuts, leaves)
 
     left_leaves, right_leaves = with_leaves(left, left_range), with_leaves(right, right_range)
-    first, last = F.col(_FIRST), F.col(_LAST)
-    left_cover, right_cover = _cover(first, last, depth), _cover(first + 1, last, depth)
+    first = F.col(_FIRST)
+    left_cover, right_cover = _cover(_FIRST, _LAST, depth), _cover(f"{_FIRST} + 1", _LAST, depth)
     every = list(range(depth + 1))
     # Looking up the used levels costs a pass over the bounds; it pays where rows shuffle.
     a_levels = every if small else _levels_in(left_leaves, left_cover, depth)
@@ -176,21 +208,23 @@ def overlap_join(
     left_nodes = on_nodes(left_leaves, left_cover, _nodes_above(first, b_levels, depth))
     right_nodes = on_nodes(right_leaves, _nodes_above(first, a_levels, depth), right_cover)
 
-    def pairs(a: DataFrame, b: DataFrame) -> DataFrame:
+    def meet(a: DataFrame, b: DataFrame, how: str) -> DataFrame:
         if small:
             b = b.withColumnRenamed(_NODE, "__right_node")
             match = (a[_NODE] == b["__right_node"]) & exact
-            return a.join(F.broadcast(b), match, "inner").drop(_NODE, "__right_node")
-        return salted_join(a, b, [_NODE], "inner", exact, hot_rows=hot_rows).drop(_NODE)
+            return a.join(F.broadcast(b), match, how).drop(_NODE, "__right_node")
+        return salted_join(a, b, [_NODE], how, exact, hot_rows=hot_rows).drop(_NODE)
 
-    matched = pairs(left_nodes, right_nodes)
+    matched = meet(left_nodes, right_nodes, "inner")
     if how == "inner":
         return matched
 
     # A left row is without partner if its range is: rows with equal ranges have equal
-    # partners. So only ranges are looked up, and left rows need no unique key.
-    bounds = right_nodes.select(*right_range, _NODE)
-    found = pairs(left_nodes.select(*left_range, _NODE).distinct(), bounds)
+    # partners. So only ranges are looked up, each once, without listing pairs, and left
+    # rows need no unique key.
+    ranges = left_nodes.select(*left_range, _NODE).distinct()
+    partners = right_nodes.select(*right_range, _NODE)
+    found = meet(ranges, partners if small else partners.distinct(), "left_semi")
     found = found.select(*left_range).distinct()
     if is_small(found, broadcast_bytes):
         aliases = {c: f"__found{i}" for i, c in enumerate(left_range)}

@@ -5,7 +5,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyfold.operators.compare import assert_same_frames
-from tallyfold.operators.overlap import _cover, _nodes_above, overlap_join
+from tallyfold.operators.overlap import (
+    _cover,
+    _cuts,
+    _nodes_above,
+    _with_leaf,
+    overlap_join,
+)
 from tallyfold.plans.offices import offices_with_reigns
 
 
@@ -94,6 +100,21 @@ def test_one_range_holds_a_third_of_the_rows_and_one_bound_is_far_out(spark):
     assert_same_frames(overlap_join(l, r, ("a", "b"), ("c", "d"), "left", "tree", hot_rows=20), expected, False)
 
 
+def test_crowded_stretches_get_narrow_leaves(spark):
+    # A third of all ranges lies within one hour of ten years, some bounds far outside.
+    year = 365 * 86400
+    ticks = [5 * year + i for i in range(3600)] + [i * year // 720 for i in range(7200)] + [-10**9, 10**10]
+    frame = spark.createDataFrame([(t,) for t in ticks], "a bigint").withColumn("b", F.col("a"))
+    cuts = _cuts([(frame, ("a", "b"))])
+    placed = _with_leaf(frame, "a", "leaf", 0, cuts, 1 << 12)
+    top = placed.groupBy("leaf").count().agg(F.max("count")).first()[0]
+    # Only where a crowded stretch begins or ends within a piece do many share a leaf.
+    assert top <= len(ticks) / 64 + 1
+    # Never decreasing.
+    leaves = [r["leaf"] for r in placed.orderBy("a").collect()]
+    assert leaves == sorted(leaves) and leaves[0] >= 0 and leaves[-1] < 1 << 12
+
+
 def test_empty_sides(spark):
     l, r = frames(spark, [(1, 1, 2)], [(1, 1, 2)])
     none = r.where("j > 5")
@@ -125,7 +146,7 @@ def test_point_and_cover_share_one_node_exactly_inside(spark):
     frame = spark.createDataFrame(pairs, "p int, s int, e int").select(
         "p", "s", "e",
         F.size(F.array_intersect(
-            _nodes_above(F.col("p"), list(range(depth + 1)), depth), _cover(F.col("s"), F.col("e"), depth)
+            _nodes_above(F.col("p"), list(range(depth + 1)), depth), _cover("s", "e", depth)
         )).alias("shared"),
     )
     assert frame.where("shared <> int(p BETWEEN s AND e)").count() == 0
