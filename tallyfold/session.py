@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,19 +32,22 @@ def build_session(app_name: str = "tallyfold", master: str | None = None, **extr
     return builder.getOrCreate()
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path for an intermediate table, on the storage all executors share.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables, on storage that all executors share.
 
-    The cluster names the shared folder in `spark.checkpoint.dir`. Only where that
-    is unset (a local test session) is a local temporary folder used, and a
-    session that is not local is refused.
+    The cluster names it in `spark.checkpoint.dir`. Where that is unset, as in tests, a
+    folder beside the session's warehouse tables is used, which executors share as well.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="tallyfold-")
-    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch").rstrip("/")
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh path in the shared folder; what is written there goes when the session ends."""
+    name = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return name
 
 
 def materialise(frame: DataFrame, label: str) -> DataFrame:

@@ -11,9 +11,12 @@ TESTDATA = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
     session = build_session(
         "tests", "local[8]",
+        spark__checkpoint__dir=f"file://{shared}",
+        spark__sql__warehouse__dir=f"file://{shared}/warehouse",
         spark__ui__enabled="false",
         spark__sql__shuffle__partitions="4",
         # Generated code that does not compile is an error, not a silent slow path.

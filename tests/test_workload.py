@@ -10,8 +10,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 
 import __spark_entry__ as contract  # noqa: E402
 from check_queries import compare  # noqa: E402
+from tallyfold.workload import ORACLES, QUERIES  # noqa: E402
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 ROWS_ONLY = {"forest_regression", "forest_classification", "logistic_regression"}
 
 
@@ -36,6 +36,10 @@ def test_query_matches_sql_and_stays_in_the_jvm(spark, db, data_dir, plan_of, na
     assert compare(frame, db.sql(ORACLES[name])) == ""
 
 
+def test_the_contract_lists_every_query():
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
+
+
 def test_entry(spark):
     frame = contract.entry(spark)
     assert frame.count() > 0 and "carrier_name" in frame.columns
