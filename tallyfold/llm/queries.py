@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import chat, exact_dedup, sharding
+from tallyfold.llm import (
+    chat,
+    exact_dedup,
+    near_join,
+    packing,
+    sharding,
+    token_store,
+    topk,
+    toxicity,
+    warc,
+)
+from tallyfold.session import scratch_path
 
 QUERIES, ORACLES = {}, {}
 
@@ -20,6 +31,13 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public vocabulary, a parameter of the operators that encode."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -71,3 +89,61 @@ def _(spark, folder):
 def _(spark, folder):
     placed = sharding.shard_documents(table(spark, folder, "documents"))
     return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
+@query("op2_packing")
+def _(spark, folder):
+    pieces = packing.pack_documents(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query("op3_toxicity")
+def _(spark, folder):
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit(docs, table(spark, folder, "labels"))
+    scored = toxicity.score_toxicity(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
+@query("op4_exact_top_k", """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id, score FROM pairs
+WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER best <= 5""")
+def _(spark, folder):
+    vectors = topk.quantised(table(spark, folder, "embeddings"))
+    return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+@query("op7_token_store")
+def _(spark, folder):
+    path = scratch_path(spark, "token-store")
+    token_store.write_store(table(spark, folder, "documents"), path, vocabulary("word_bpe_49k.json"), 49_408)
+    return token_store.read_store(spark, path)
+
+
+@query("op9_near_join")
+def _(spark, folder):
+    found = near_join.near_classes(table(spark, folder, "documents"))
+    return found.select("doc_id", "class_id", "n_links", "class_size", "kept")
+
+
+@query("op10_warc", """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes FROM pages),
+g AS (SELECT *, row_number() OVER (PARTITION BY html ORDER BY page_id) AS place,
+        min(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, payload_bytes, sha256(html) AS payload_digest,
+       CASE WHEN payload_bytes >= 100 AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND place > 1 THEN first END AS refers_to FROM g""")
+def _(spark, folder):
+    path = scratch_path(spark, "warc")
+    warc.write_archives(table(spark, folder, "pages"), path)
+    return warc.capture_pages(warc.read_captures(spark, path))
