@@ -1,3 +1,66 @@
-STAGES=[]
-ORACLE_SQL=None
-def run(spark, sf_dir): return spark.range(1)
+"""The corpus pipeline: documents in, packed training sequences out.
+
+Each stage takes (spark, docs, sf_dir) and returns a frame that is written as Parquet and
+read again as the next stage's docs. All stages but the last return the columns of
+documents and work on every row that the stage before kept.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyfold.llm import exact_dedup, mixing, near_join, packing, toxicity
+from tallyfold.llm.queries import table, vocabulary
+from tallyfold.session import materialise
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not reject. It learns from the labels of its input."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score_toxicity(docs, model)
+    return scored.where("predicted = 0").select(*docs.columns)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts: that with the largest id."""
+    return exact_dedup.drop_copies(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies: that with the smallest id."""
+    return near_join.drop_near_copies(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A sample whose tokens have the target shares of source, language and kind of text."""
+    return mixing.mix_documents(docs).where("kept").select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents, placed in sequences of at most 2048 tokens, with their ids."""
+    return packing.pack_documents(docs, vocabulary("byte_bpe_50k.json"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("exact_dedup", drop_copies),
+    ("near_dedup", drop_near_copies),
+    ("mixing", mix),
+    ("packing", pack),
+]
+
+# A trained model, sampled paths and a tokenizer are beyond SQL: stages are tested by brute force.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`; ids come back as a checksum of each piece."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+    return docs.withColumn("ids_crc32", F.crc32("ids")).drop("ids")

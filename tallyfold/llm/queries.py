@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyfold.llm import (
     chat,
     exact_dedup,
+    mixing,
     near_join,
     packing,
     sharding,
@@ -122,6 +123,13 @@ def _(spark, folder):
     return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"))
 
 
+@query("op5_mixing", mixing.raking_sql() + """
+SELECT doc_id, source, lang, topic, tokens, round(probability, 6) AS probability, kept FROM mixed""")
+def _(spark, folder):
+    return mixing.mix_documents(table(spark, folder, "documents")).select(
+        "doc_id", "source", "lang", "topic", "tokens", F.round("probability", 6).alias("probability"), "kept")
+
+
 @query("op7_token_store")
 def _(spark, folder):
     path = scratch_path(spark, "token-store")
