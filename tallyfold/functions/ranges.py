@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,3 +21,15 @@ def ranges_overlap(start1: Column, stop1: Column, start2: Column, stop2: Column)
 def in_range(point: Column, start: Column, stop: Column) -> Column:
     """Whether a known point lies in [start, stop]; an open end does not limit."""
     return point.isNotNull() & ranges_overlap(point, point, start, stop)
+
+
+def step_number(column: Column, cuts: Sequence[float]) -> Column:
+    """How many of the ascending cuts are at or below a value, by halving; NULL counts none."""
+
+    def steps(first: int, last: int) -> Column:
+        if first == last:
+            return F.lit(first)
+        middle = (first + last + 1) // 2
+        return F.when(column >= F.lit(cuts[middle - 1]), steps(middle, last)).otherwise(steps(first, middle - 1))
+
+    return steps(0, len(cuts))

@@ -12,8 +12,10 @@ ISO_WITH_OFFSET = "yyyy-MM-dd'T'HH:mm:ssXXX"
 
 
 def title_case(column: Column) -> Column:
-    """First letter of every blank-separated word in upper case, the rest in lower case."""
-    return F.initcap(column)
+    """Letters that follow no letter in upper case, all others in lower case: `O'Neil-Smith`."""
+    # A zero-width cut between a letter and what is none, so that joining restores the text.
+    runs = F.split(column, r"(?<=\p{L})(?=\P{L})|(?<=\P{L})(?=\p{L})")
+    return F.array_join(F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)), F.lower(F.substring(r, 2, 2**31 - 1)))), "")
 
 
 def instant_of(column: Column, pattern: str = ISO_WITH_OFFSET) -> Column:

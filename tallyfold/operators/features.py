@@ -9,10 +9,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyfold.operators.aggregates import modes, value_counts
+from tallyfold.operators.joins import keyed_join, salted_join
 from tallyfold.operators.quantiles import GATHER_ROWS, exact_medians
+from tallyfold.session import materialise
 
-# Wide encodings make one column per value; more than this is not a usable table.
-MAX_INDICATORS = 5_000
+# One column per value makes a usable table up to this many; beyond, values go into one
+# sparse vector, for which the number of values does not matter.
+WIDEST = 5_000
 
 
 def recode(column: Column, groups: Mapping[str, Collection[str]], other: str) -> Column:
@@ -41,24 +44,61 @@ def keep_most_frequent(
     for row in best.collect():
         top[row["column"]].append(row["value"])
     return frame.withColumns({
-        column: recode(F.col(column), {value: [value] for value in values}, other)
+        column: F.when(F.col(column).isin(*values), F.col(column)).otherwise(F.lit(other))
         for column, values in top.items()
     })
 
 
-def _indicator_values(values: DataFrame, limit: int) -> list[str]:
-    rows = values.distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} values would become columns")
-    return sorted(row[0] for row in rows)
+def label_vocabulary(frame: DataFrame, column: str, separator: str = "|") -> DataFrame:
+    """Labels that occur in delimited lists, in their order, as rows (value, position)."""
+    labels = frame.select(F.explode(_labels(column, separator)).alias("value"))
+    return _numbered(labels.where("value <> ''").distinct())
 
 
-def label_vocabulary(
-    frame: DataFrame, column: str, separator: str = "|", limit: int = MAX_INDICATORS
-) -> list[str]:
-    """Labels that occur in delimited lists, sorted."""
-    labels = frame.select(F.explode(_labels(column, separator)).alias("label"))
-    return _indicator_values(labels.where("label <> ''"), limit)
+def _numbered(values: DataFrame) -> DataFrame:
+    """Distinct values with their position in sorted order, written once.
+
+    Ranges of values are numbered side by side, each from where the ones before it end,
+    so no task holds all values.
+    """
+    ranged = materialise(values.repartitionByRange("value").sortWithinPartitions("value").select(
+        "value", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("id")), "values")
+    parts = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"))
+    # One row per task of the range shuffle.
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("part", "first_id", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    numbered = ranged.join(parts, "part").select(
+        "value", (F.col("start") + F.col("id") - F.col("first_id")).alias("position"))
+    return materialise(numbered, "vocabulary")
+
+
+def listed(vocabulary: DataFrame, widest: int = WIDEST) -> list[str] | None:
+    """The values of a vocabulary in order, or None if they are more than make columns."""
+    rows = vocabulary.orderBy("position").limit(widest + 1).collect()
+    return [row["value"] for row in rows] if len(rows) <= widest else None
+
+
+def indicator_vector(
+    frame: DataFrame, column: str, vocabulary: DataFrame, key: Sequence[str],
+    separator: str | None = None, name: str | None = None,
+) -> DataFrame:
+    """The column's values as one sparse vector: a struct of size, indices and values.
+
+    For vocabularies of any size. `key` identifies a row. With `separator` the column
+    holds lists. NULL and values not in the vocabulary have no entry.
+    """
+    name = name or f"{column}_vector"
+    values = F.array_distinct(_labels(column, separator)) if separator else F.array(column)
+    cells = frame.select(*key, F.explode(values).alias("value"))
+    found = keyed_join(cells, vocabulary, ["value"]).groupBy(*key).agg(
+        F.array_sort(F.collect_list(F.col("position").cast("long"))).alias("__indices"))
+    size = vocabulary.count()
+    indices = F.coalesce("__indices", F.array().cast("array<bigint>"))
+    joined = salted_join(frame, found, list(key), "left", null_safe=True)
+    return joined.withColumn(name, F.struct(
+        F.lit(size).cast("long").alias("size"), indices.alias("indices"),
+        F.transform(indices, lambda _: F.lit(1.0)).alias("values"),
+    )).drop("__indices")
 
 
 def _labels(column: str, separator: str) -> Column:
@@ -77,14 +117,10 @@ def add_label_indicators(
     })
 
 
-def category_values(
-    frame: DataFrame, columns: Sequence[str], limit: int = MAX_INDICATORS
-) -> dict[str, list[str]]:
-    """Values of each text column, sorted, NULL left out. One pass for all columns."""
-    rows = value_counts(frame, columns).select("column", "value").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} values would become columns")
-    return {c: sorted(row["value"] for row in rows if row["column"] == c) for c in columns}
+def category_values(frame: DataFrame, columns: Sequence[str]) -> dict[str, DataFrame]:
+    """Values of each text column in order, NULL left out, as rows (value, position)."""
+    counts = materialise(value_counts(frame, columns), "values")
+    return {c: _numbered(counts.where(F.col("column") == c).select("value")) for c in columns}
 
 
 def one_hot(

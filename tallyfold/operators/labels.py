@@ -24,7 +24,7 @@ def label_weekend(
 ) -> DataFrame:
     """Add whether a date is a Saturday or Sunday."""
     # Counted from Monday as 0.
-    return frame.withColumn(new_colname, F.weekday(F.col(colname)) >= 5)
+    return frame.withColumn(new_colname, F.weekday(F.col(colname).try_cast("date")) >= 5)
 
 
 def _calendar(years: DataFrame, colname: str) -> DataFrame:
@@ -49,7 +49,7 @@ def holiday_calendar_of(frame: DataFrame, colname: str = "date") -> DataFrame:
 
     The years are combined on the map side, so one value per year and task shuffles.
     """
-    years = frame.select(F.year(colname).alias("year")).where("year between 1 and 9999").distinct()
+    years = frame.select(F.year(F.col(colname).try_cast("date")).alias("year")).where("year between 1 and 9999").distinct()
     return _calendar(years, colname)
 
 
@@ -70,18 +70,18 @@ def label_holidays(
       if none are given. The calendar has 12 dates a year, 9,999 years at most, so
       it is always broadcast.
 
-    A NULL date has a NULL label, or `null_as`.
+    A NULL date, or text that is none, has a NULL label, or `null_as`.
     """
     if method == "formula":
         if years is not None:
             raise ValueError("the formula knows all years; leave `years` out")
-        day = F.col(colname).cast("date")
+        day = F.col(colname).try_cast("date")
         labelled = with_easter(frame, F.year(day), "__easter")
         labelled = labelled.withColumn(new_colname, is_holiday(day, F.col("__easter")))
         labelled = labelled.drop("__easter")
     elif method == "list":
         listed = holiday_dates(LISTED_YEARS if years is None else years)
-        labelled = frame.withColumn(new_colname, F.col(colname).cast("date").isin(*listed))
+        labelled = frame.withColumn(new_colname, F.col(colname).try_cast("date").isin(*listed))
     elif method == "join":
         if years is None:
             calendar = holiday_calendar_of(frame, colname)
@@ -91,10 +91,11 @@ def label_holidays(
             F.col(colname).alias("__holiday"), F.lit(True).alias(new_colname)
         )
         labelled = frame.join(
-            F.broadcast(calendar), F.col(colname).cast("date") == F.col("__holiday"), "left"
+            F.broadcast(calendar), F.col(colname).try_cast("date") == F.col("__holiday"), "left"
         ).drop("__holiday")
         labelled = labelled.withColumn(
-            new_colname, F.when(F.col(colname).isNotNull(), F.coalesce(new_colname, F.lit(False)))
+            new_colname,
+            F.when(F.col(colname).try_cast("date").isNotNull(), F.coalesce(new_colname, F.lit(False))),
         )
     else:
         raise ValueError(f"unknown method {method!r}")

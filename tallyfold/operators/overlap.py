@@ -18,6 +18,8 @@ narrow where many bounds lie, so a crowded hour does not meet as one leaf.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -25,16 +27,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyfold.functions.ranges import ranges_overlap
-from tallyfold.operators.joins import (
-    BROADCAST_BYTES,
-    HOT_ROWS,
-    is_small,
-    salted_join,
-)
+from tallyfold.operators.joins import BROADCAST_BYTES, is_small, salted_join
+from tallyfold.session import materialise
 
 # Up to this many rows on the right, each left row is simply compared with all of them.
 COMPARE_ROWS = 64
-DEPTH = 14
+# Leaves are about four for each row on the right, between these powers of two.
+LEAST_DEPTH, MOST_DEPTH = 6, 28
+# A right row is at most at two nodes per level as a range and at one as a point.
+NODES_PER_LEVEL = 3
 
 # Stretches of the line, equally full, that the leaves are dealt out to.
 PIECES = 64
@@ -60,22 +61,25 @@ def _tick(frame: DataFrame, name: str) -> Column:
     raise TypeError(f"cannot place ranges of type {data_type.simpleString()} on a line")
 
 
-def _cuts(sides) -> list[float]:
-    """Ticks between which about equally many bounds of both sides lie; found in one job.
+def _cuts(sides) -> tuple[list[float], int]:
+    """Ticks between which about equally many bounds of both sides lie, and the right side's rows.
 
-    The outer pieces are thin, so that a few stray bounds take few others along.
+    Found in one job. The outer pieces are thin, so that a few stray bounds take few others along.
+    Bounds that are not finite are left out; they lie beyond the ends of the line.
     """
     ticks = [
-        frame.select(F.explode(F.array(*[_tick(frame, name) for name in names])).alias("tick"))
-        for frame, names in sides
+        frame.select(F.explode(F.array(*[_tick(frame, name) for name in names])).alias("tick"), F.lit(side).alias("side"))
+        for side, (frame, names) in enumerate(sides)
     ]
     shares = [0.001, *[i / PIECES for i in range(1, PIECES)], 0.999]
+    finite = F.when(F.abs("tick") < F.lit(math.inf), F.col("tick"))
     row = reduce(DataFrame.unionAll, ticks).agg(
-        F.percentile_approx("tick", shares, 2_000).alias("cuts"),
-        F.min("tick").alias("low"),
-        F.max("tick").alias("high"),
+        F.percentile_approx(finite, shares, 2_000).alias("cuts"),
+        F.min(finite).alias("low"),
+        F.max(finite).alias("high"),
+        (F.count(F.when(F.col("side") == 1, 1)) / len(sides[1][1])).cast("long").alias("rows"),
     ).first()
-    return sorted({*(row["cuts"] or []), row["low"] or 0.0, row["high"] or 0.0})
+    return sorted({*(row["cuts"] or []), row["low"] or 0.0, row["high"] or 0.0}), row["rows"]
 
 
 def _with_leaf(frame: DataFrame, name: str, leaf: str, open_leaf: int, cuts: list[float],
@@ -86,7 +90,10 @@ def _with_leaf(frame: DataFrame, name: str, leaf: str, open_leaf: int, cuts: lis
     open end has `open_leaf`. Never decreasing in the bound, and a bound outside all
     pieces belongs to the first or last leaf.
     """
-    frame, tick = frame.withColumn(_TICK, _tick(frame, name)), F.col(_TICK)
+    tick = _tick(frame, name)
+    # A bound that is not finite lies at the end of the line. greatest() skips NULLs.
+    tick = F.when(tick.isNotNull(), F.least(F.greatest(tick, F.lit(cuts[0])), F.lit(cuts[-1])))
+    frame, tick = frame.withColumn(_TICK, tick), F.col(_TICK)
     # A line of few leaves has fewer pieces; what lies beyond the last goes to its end.
     cuts = cuts[::-(-(len(cuts) - 1) // leaves) or 1]
     pieces = max(len(cuts) - 1, 1)
@@ -155,19 +162,22 @@ def overlap_join(
     right_range: tuple[str, str],
     how: str = "inner",
     strategy: str = "auto",
-    depth: int = DEPTH,
+    depth: int | None = None,
+    by: Sequence[tuple[str, str]] = (),
     broadcast_bytes: int = BROADCAST_BYTES,
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Pairs of rows whose closed ranges overlap (see `ranges_overlap`); inner or left.
 
-    Columns of the two sides have different names. Strategies:
+    Columns of the two sides have different names. `by` are pairs of columns, left and
+    right, that must be equal too, so that the result grows with the data and not with its square.
+    Strategies:
 
     - `compare`: every left row against every right row, right side broadcast. Taken
       by `auto` only for a right side of known small size and COMPARE_ROWS rows.
-    - `tree`: equality join on segment-tree nodes. The right side's nodes are
-      broadcast if the right is small, otherwise both sides shuffle and nodes that are
-      hot on the left are split. Ranges may be long, open or inverted.
+    - `tree`: equality join on segment-tree nodes, with leaves as many as the right
+      side's rows ask for. The right side is broadcast if it is small with all its nodes,
+      otherwise both sides shuffle. Ranges may be long, open or inverted.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"join type {how!r} is not supported")
@@ -176,15 +186,21 @@ def overlap_join(
         raise ValueError(f"both sides have columns {sorted(shared)}")
     small = is_small(right, broadcast_bytes)
     if strategy == "auto":
-        strategy = "compare" if small and right.count() <= COMPARE_ROWS else "tree"
+        strategy = "compare" if small and not by and right.count() <= COMPARE_ROWS else "tree"
     exact = ranges_overlap(*[F.col(c) for c in (*left_range, *right_range)])
+    for left_key, right_key in by:
+        exact = exact & (F.col(left_key) == F.col(right_key))
     if strategy == "compare":
         if not small:
             raise ValueError("the right side is not of known small size")
         return left.join(F.broadcast(right), exact, how)
 
-    cuts = _cuts([(left, left_range), (right, right_range)])
+    cuts, rows = _cuts([(left, left_range), (right, right_range)])
+    if depth is None:
+        depth = max(LEAST_DEPTH, min(MOST_DEPTH, math.ceil(math.log2(max(rows, 1))) + 2))
     leaves = 1 << depth
+    # What is broadcast is a right row for each of its nodes.
+    small = is_small(right, broadcast_bytes // (NODES_PER_LEVEL * (depth + 1)))
 
     def with_leaves(frame: DataFrame, names: tuple[str, str]) -> DataFrame:
         # Columns of their own, as the nodes of all levels refer to them. An open end
@@ -213,24 +229,29 @@ def overlap_join(
             b = b.withColumnRenamed(_NODE, "__right_node")
             match = (a[_NODE] == b["__right_node"]) & exact
             return a.join(F.broadcast(b), match, how).drop(_NODE, "__right_node")
-        return salted_join(a, b, [_NODE], how, exact, hot_rows=hot_rows).drop(_NODE)
+        # Equality keys go into the join's key, under one name on both sides.
+        keys = [f"__by{i}" for i in range(len(by))]
+        a = a.withColumns({k: F.col(l) for k, (l, _) in zip(keys, by)})
+        b = b.withColumns({k: F.col(r) for k, (_, r) in zip(keys, by)})
+        return salted_join(a, b, [*keys, _NODE], how, exact, hot_rows=hot_rows).drop(_NODE, *keys)
 
     matched = meet(left_nodes, right_nodes, "inner")
     if how == "inner":
         return matched
 
-    # A left row is without partner if its range is: rows with equal ranges have equal
-    # partners. So only ranges are looked up, each once, without listing pairs, and left
-    # rows need no unique key.
-    ranges = left_nodes.select(*left_range, _NODE).distinct()
-    partners = right_nodes.select(*right_range, _NODE)
+    # A left row is without partner if its range is: rows with equal ranges (and keys) have
+    # equal partners. So only ranges are looked up, each once, without listing pairs, and
+    # left rows need no unique key.
+    asked = [*[l for l, _ in by], *left_range]
+    ranges = left_nodes.select(*asked, _NODE).distinct()
+    partners = right_nodes.select(*[r for _, r in by], *right_range, _NODE)
     found = meet(ranges, partners if small else partners.distinct(), "left_semi")
-    found = found.select(*left_range).distinct()
+    found = materialise(found.select(*asked).distinct(), "overlap-found")
     if is_small(found, broadcast_bytes):
-        aliases = {c: f"__found{i}" for i, c in enumerate(left_range)}
+        aliases = {c: f"__found{i}" for i, c in enumerate(asked)}
         found = found.withColumnsRenamed(aliases)
         same = [left[c].eqNullSafe(found[a]) for c, a in aliases.items()]
         lonely = left.join(F.broadcast(found), same, "left_anti")
     else:
-        lonely = salted_join(left, found, left_range, "left_anti", null_safe=True, hot_rows=hot_rows)
+        lonely = salted_join(left, found, asked, "left_anti", null_safe=True, hot_rows=hot_rows)
     return matched.unionByName(lonely, allowMissingColumns=True)

@@ -97,12 +97,17 @@ def _narrow(frame: DataFrame, searches: list[_Search]) -> None:
 
 
 def _gather(frame: DataFrame, searches: list[_Search]) -> None:
-    row = frame.agg(*[
-        F.get(F.sort_array(F.collect_list(s.cell())), F.lit(s.rank)).alias(f"v{i}")
-        for i, s in enumerate(searches)
-    ]).first()
-    for search, value in zip(searches, row):
-        search.value = value
+    # The ranks wanted of one interval are read from one sorted array.
+    groups = _by_interval(searches)
+
+    def ranked(group: list[_Search]) -> Column:
+        cells = F.sort_array(F.collect_list(group[0].cell()))
+        return F.transform(F.array(*[F.lit(s.rank) for s in group]), lambda rank: F.get(cells, rank))
+
+    row = frame.agg(*[ranked(group).alias(f"v{i}") for i, group in enumerate(groups)]).first()
+    for group, values in zip(groups, row):
+        for search, value in zip(group, values):
+            search.value = value
 
 
 def exact_medians(
@@ -112,6 +117,7 @@ def exact_medians(
 
     An even count gives the mean of the two middle values.
     """
+    frame = frame.select(*[F.col(c) for c in dict.fromkeys(columns)])
     sizes = frame.agg(*[F.count(_number(c)).alias(c) for c in columns]).first().asDict()
     middle = {
         c: [_Search(c, rank, n) for rank in sorted({(n - 1) // 2, n // 2})]

@@ -15,6 +15,7 @@ from tallyfold.operators.features import (
     label_vocabulary,
     learn_fill_values,
     learn_scale,
+    listed,
     one_hot,
     recode,
     standardise,
@@ -62,6 +63,14 @@ def typed(frame: DataFrame) -> DataFrame:
     return cast_columns(frame, {T.DoubleType(): [c for c in known if c in frame.columns]})
 
 
+def genre_names(movies: DataFrame) -> list[str]:
+    """The genres that occur; each becomes a feature column."""
+    names = listed(label_vocabulary(movies, "genres"))
+    if names is None:
+        raise ValueError("more genres than feature columns make sense for; use indicator_vector")
+    return names
+
+
 def regression_features(
     before: DataFrame, after: DataFrame, extra_keys: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -79,7 +88,7 @@ def regression_features(
         "language": recode(F.col("language"), {"English": ("English",)}, "Other"),
     })
     movies = drop_columns(movies, ["content_rating"])
-    movies = add_label_indicators(movies, "genres", label_vocabulary(movies, "genres"))
+    movies = add_label_indicators(movies, "genres", genre_names(movies))
     movies = drop_columns(movies, ["genres"])
     movies = impute(movies, learn_fill_values(movies, median_columns=NUMBERS))
     # The groups are fixed, so the columns do not depend on which of them the data has.
@@ -91,8 +100,9 @@ def classification_features(
     before: DataFrame, after: DataFrame, extra_keys: tuple[str, ...] = ()
 ) -> DataFrame:
     """Standardised features and the score's bin, one row per movie in both tables."""
-    before, after = typed(before), typed(after)
-    before = keep_rows_with_fewer_nulls(before, FEWEST_NULLS_TO_DROP)
+    # What statistics are learnt from in several passes is typed and written once.
+    before = keep_rows_with_fewer_nulls(typed(before), FEWEST_NULLS_TO_DROP)
+    before, after = materialise(before, "movies-before"), materialise(typed(after), "movies-after")
     before_numbers = [c for c in (*ACTOR_LIKES, *NUMBERS) if c in before.columns]
     before = impute(before, learn_fill_values(
         before, ["content_rating", "language", "country"], before_numbers
@@ -101,13 +111,14 @@ def classification_features(
     after = impute(after, learn_fill_values(after, median_columns=after_numbers))
     before = drop_columns(before, (*ACTOR_LIKES, "language"))
     before = keep_most_frequent(before, KEPT_VALUES)
-    genres = [g for g in label_vocabulary(before, "genres") if g != UNUSED_GENRE]
+    genres = [g for g in genre_names(before) if g != UNUSED_GENRE]
     before = drop_columns(add_label_indicators(before.distinct(), "genres", genres), ["genres"])
     movies = keyed_join(before, after.distinct(), [TITLE])
     movies = drop_columns(movies, (*PEOPLE, *AFTER_ONLY, *({TITLE} - set(extra_keys))))
     movies = materialise(movies, "movies")
     movies = standardise(movies, learn_scale(movies, NUMBERS))
+    # At most the values kept above, and `Other`.
     for column, values in category_values(movies, list(KEPT_VALUES)).items():
-        movies = one_hot(movies, column, values)
+        movies = one_hot(movies, column, listed(values))
     binned = movies.withColumn("imdb_score_bins", bins(F.col(SCORE), SCORE_EDGES, SCORE_BINS))
     return drop_columns(binned, [SCORE])

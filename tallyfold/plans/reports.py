@@ -33,11 +33,15 @@ def master_flights(
     code: str = "CARRIER", name: str = "CARRIER_NAME", airport_name: str = "DISPLAY_AIRPORT_NAME",
     **options,
 ) -> DataFrame:
-    """Flights with carrier name and the names of both airports; no flight is lost or doubled."""
+    """Flights with carrier name and the names of both airports; no flight is lost or doubled.
+
+    Dimensions with a key twice are refused; the airports are looked at once for both ends.
+    """
     view = with_carriers(flights, carriers, code, name, **options)
     for end in ("origin", "dest"):
         view = attach_dimension(
-            view, airports, end, "AIRPORT", {airport_name: f"{end}_airport_name"}, **options
+            view, airports, end, "AIRPORT", {airport_name: f"{end}_airport_name"},
+            check=end == "origin", **options,
         )
     return view
 

@@ -61,6 +61,15 @@ def flight_catalog(source_dir: str, target_dir: str) -> dict[str, DataLink]:
     return raw | clean
 
 
+def movie_catalog(source_dir: str, target_dir: str) -> dict[str, DataLink]:
+    """The datasets of the movies job."""
+    return {
+        "movies_before": DataLink("csv", f"{source_dir}/movies_before", TEXT_OPTIONS),
+        "movies_after": DataLink("csv", f"{source_dir}/movies_after", TEXT_OPTIONS),
+        "movie_scores": DataLink("parquet", f"{target_dir}/movie_scores"),
+    }
+
+
 def read_text_table(
     spark: SparkSession,
     path: str,

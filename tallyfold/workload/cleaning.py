@@ -314,6 +314,7 @@ def _(t):
     return clean_flights(raw.flights(t)).withColumns({c: local(c) for c in _CLOCK_NAMES})
 
 
+# The numbers of the other clean table.
 _LONGHAND_SHORTS = [
     "FL_NUM", "ORIGIN_AIRPORT_ID", "TAXI_OUT", "TAXI_IN", "ARR_DELAY", "ARR_DELAY_NEW",
     "ARR_DEL15", "ARR_DELAY_GROUP", "CRS_ELAPSED_TIME", "CARRIER_DELAY", "WEATHER_DELAY",

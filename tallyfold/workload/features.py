@@ -45,10 +45,25 @@ def _sql_has(label: str) -> str:
 SELECT p_partkey, {", ".join(map(_sql_has, _LABELS))} FROM ({_GENRES.format(part="part")})""")
 def _(t):
     parts = t.derive(_GENRES, "part")
-    vocabulary = features.label_vocabulary(parts, "genres")
+    vocabulary = features.listed(features.label_vocabulary(parts, "genres"))
     return features.add_label_indicators(parts, "genres", vocabulary).drop("genres")
 
 
+@query("multi_label_vector", f"""
+WITH g AS ({_GENRES.format(part="part")}), v AS (
+  SELECT value, row_number() OVER (ORDER BY value) - 1 AS position FROM (
+    SELECT DISTINCT unnest(string_split(genres, '|')) AS value FROM g)),
+n AS (SELECT p_partkey, list(position ORDER BY position) AS indices FROM
+  (SELECT p_partkey, unnest(string_split(genres, '|')) AS value FROM g) JOIN v USING (value) GROUP BY 1)
+SELECT p_partkey, (SELECT count(*) FROM v) AS size, coalesce(array_to_string(indices, ','), '') AS indices
+FROM g LEFT JOIN n USING (p_partkey)""")
+def _(t):
+    parts = t.derive(_GENRES, "part")
+    vectors = features.indicator_vector(parts, "genres", features.label_vocabulary(parts, "genres"), ["p_partkey"], "|")
+    indices = F.array_join(F.col("genres_vector.indices").cast("array<string>"), ",")
+    return vectors.select("p_partkey", F.col("genres_vector.size").alias("size"), indices.alias("indices"))
+
+
 @query("one_hot", """
 SELECT c_custkey, CAST(c_mktsegment = 'BUILDING' AS INTEGER) AS "c_mktsegment_BUILDING",
        CAST(c_mktsegment = 'FURNITURE' AS INTEGER) AS "c_mktsegment_FURNITURE",
@@ -57,7 +72,7 @@ SELECT c_custkey, CAST(c_mktsegment = 'BUILDING' AS INTEGER) AS "c_mktsegment_BU
 def _(t):
     customers = t.customer.select("c_custkey", "c_mktsegment")
     values = features.category_values(customers, ["c_mktsegment"])
-    return features.one_hot(customers, "c_mktsegment", values["c_mktsegment"])
+    return features.one_hot(customers, "c_mktsegment", features.listed(values["c_mktsegment"]))
 
 
 @query("bins", """
@@ -88,8 +103,8 @@ def _(t):
 SELECT 'o_orderpriority' AS "column", o_orderpriority AS value, count(*) AS count
 FROM orders GROUP BY 2 QUALIFY row_number() OVER (ORDER BY count(*) DESC, o_orderpriority) = 1
 UNION ALL
-SELECT 'o_custkey', CAST(o_custkey AS VARCHAR), count(*) FROM orders GROUP BY 2
-QUALIFY row_number() OVER (ORDER BY count(*) DESC, CAST(o_custkey AS VARCHAR)) = 1""")
+SELECT 'o_custkey', CAST(o_custkey AS VARCHAR), count(*) FROM orders GROUP BY o_custkey
+QUALIFY row_number() OVER (ORDER BY count(*) DESC, o_custkey) = 1""")
 def _(t):
     return modes(t.orders, ["o_orderpriority", "o_custkey"])
 
@@ -119,12 +134,11 @@ SELECT l_returnflag, med FROM (SELECT 'price' AS l_returnflag, median(l_extended
 UNION ALL SELECT 'quantity', median(l_quantity) FROM lineitem
 UNION ALL SELECT 'orderkey', median(l_orderkey) FROM lineitem)""".replace("l_returnflag", "name"))
 def _(t):
-    # Few rows may be gathered, so that narrowing does the work.
     lines = t.lineitem.select(
         F.col("l_extendedprice").alias("price"), F.col("l_quantity").alias("quantity"),
         F.col("l_orderkey").alias("orderkey"),
     )
-    found = features.exact_medians(lines, lines.columns, gather_rows=1_000)
+    found = features.exact_medians(lines, lines.columns)
     return t.spark.createDataFrame(list(found.items()), "name string, med double")
 
 
@@ -281,22 +295,72 @@ def _classification_parts(t):
     return columns, features.split_by_key(table, [movies.TITLE], 0.8, 42)
 
 
-@query("forest_regression")
+# Predictions depend on random draws, so the checked columns are what holds for any seed: which
+# rows are scored, their true values, and whether predictions are what they may be.
+_MOVIES_SQL = f"""(SELECT DISTINCT b.movie_title, content_rating, language, country, genres, duration, budget, director_name,
+  actor_1_name, actor_2_name, actor_3_name, director_facebook_likes, actor_1_facebook_likes, actor_2_facebook_likes,
+  actor_3_facebook_likes, cast_total_facebook_likes, TRY_CAST(imdb_score AS DOUBLE) AS score
+  FROM ({_BEFORE}) b JOIN ({_AFTER}) a ON b.movie_title = a.movie_title)"""
+
+
+def _sql_bucket(seed: int) -> str:
+    return f"CAST(('0x' || md5('{seed}|' || movie_title)[:8]) AS BIGINT) % 10000"
+
+
+@query("forest_regression", f"""
+SELECT movie_title, score AS imdb_score, true AS in_range, true AS is_rounded
+FROM {_MOVIES_SQL} WHERE {_sql_bucket(123)} >= 7000""")
 def _(t):
     columns, (train, validation) = _regression_parts(t)
     model = models.fit_forest_regressor(train, movies.SCORE, columns)
-    return models.score_numbers(model, validation)
+    scored = models.score_numbers(model, validation)
+    low, high = train.agg(F.min(movies.SCORE), F.max(movies.SCORE)).first()
+    return scored.select(
+        movies.TITLE, movies.SCORE,
+        F.col("raw_prediction").between(low - 1e-6, high + 1e-6).alias("in_range"),
+        (F.col("prediction") == round_half_even(F.col("raw_prediction"))).alias("is_rounded"),
+    )
 
 
-@query("forest_classification")
+_SCORED_LABELS = f"""
+WITH b AS (SELECT movie_title, content_rating, language, country, genres, director_name, actor_1_name,
+    actor_2_name, actor_3_name, {", ".join(f"TRY_CAST({c} AS DOUBLE) AS {c}" for c in _B_NUMBERS)} FROM ({_BEFORE})),
+kept AS (SELECT * FROM b WHERE {" + ".join(
+    f"CAST({c} IS NULL AS INT)" for c in (
+        "movie_title", "content_rating", "language", "country", "genres", *movies.PEOPLE, *_B_NUMBERS))} < 5),
+filled AS (SELECT movie_title, genres, director_name, actor_1_name, actor_2_name, actor_3_name,
+    {", ".join(map(_sql_mode, ("content_rating", "country")))},
+    {", ".join(_sql_filled(c, "kept") for c in movies.NUMBERS)} FROM kept),
+topped AS (SELECT DISTINCT movie_title, genres, director_name, actor_1_name, actor_2_name, actor_3_name,
+    {_sql_top("country", 2)}, {_sql_top("content_rating", 3)}, {", ".join(movies.NUMBERS)} FROM filled),
+m AS (SELECT topped.movie_title, CAST(imdb_score AS DOUBLE) AS score FROM topped JOIN ({_AFTER}) USING (movie_title)),
+s AS (SELECT movie_title, CASE WHEN score > 0 AND score <= 5 THEN '0-5' WHEN score <= 6 THEN '5-6'
+    WHEN score <= 7 THEN '6-7' WHEN score <= 10 THEN '7-10' END AS imdb_score_bins FROM m)
+SELECT movie_title, imdb_score_bins, true AS is_label, true AS beats_chance
+FROM s WHERE imdb_score_bins IS NOT NULL AND {_sql_bucket(42)} >= 8000"""
+
+
+def _checked_labels(scored, train):
+    """Rows with whether the prediction is a label, and whether the model is no worse than
+    always guessing the least frequent label of the training rows would be."""
+    label = "imdb_score_bins"
+    rated = scored.agg(F.avg((F.col(label) == F.col("prediction")).cast("double"))).first()[0] or 0.0
+    shares = train.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    total, least = shares.agg(F.sum("n"), F.min("n")).first()
+    fair = F.lit(rated >= 0.5 * least / total)
+    return scored.select(movies.TITLE, label, F.col("prediction").isin(*movies.SCORE_BINS).alias("is_label"),
+                         fair.alias("beats_chance"))
+
+
+@query("forest_classification", _SCORED_LABELS)
 def _(t):
     columns, (train, test) = _classification_parts(t)
     model = models.fit_forest_classifier(train, "imdb_score_bins", columns, movies.SCORE_BINS)
-    return models.score_labels(model, test)
+    return _checked_labels(models.score_labels(model, test), train)
 
 
-@query("logistic_regression")
+@query("logistic_regression", _SCORED_LABELS)
 def _(t):
     columns, (train, test) = _classification_parts(t)
     model = models.fit_logistic_regression(train, "imdb_score_bins", columns, movies.SCORE_BINS)
-    return models.score_labels(model, test)
+    return _checked_labels(models.score_labels(model, test), train)

@@ -61,9 +61,9 @@ def _(t):
     return offices_with_reigns(t.derive(_TERMS, "customer"), reigns)
 
 
-# Short delivery windows of orders against supplier campaigns, some of them open.
+# Short delivery windows of orders against campaigns for one customer each, some of them open.
 _WINDOWS = """
-SELECT o_orderkey, CAST(o_orderdate AS DATE) AS ordered,
+SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS ordered,
        CAST(o_orderdate AS DATE) + CAST(o_orderkey % 10 AS INT) AS due
 FROM {orders}"""
 _CAMPAIGNS = """
@@ -72,15 +72,15 @@ SELECT s_suppkey, CASE WHEN s_nationkey <> 7 THEN DATE '1995-01-01' + CAST(s_sup
          DATE '1995-01-01' + CAST(s_suppkey * 97 % 2500 + s_suppkey % 30 AS INT) END AS ended
 FROM {supplier}"""
 _CAMPAIGN_SQL = f"""
-SELECT o_orderkey, ordered, due, s_suppkey, began, ended
+SELECT o_orderkey, o_custkey, ordered, due, s_suppkey, began, ended
 FROM ({_WINDOWS.format(orders="orders")}) {{how}} JOIN ({_CAMPAIGNS.format(supplier="supplier")})
-  ON {_overlap("ordered", "due", "began", "ended")}"""
+  ON o_custkey = s_suppkey AND {_overlap("ordered", "due", "began", "ended")}"""
 
 
 def _campaigns(t, **options):
     return overlap_join(
         t.derive(_WINDOWS, "orders"), t.derive(_CAMPAIGNS, "supplier"),
-        ("ordered", "due"), ("began", "ended"), **options,
+        ("ordered", "due"), ("began", "ended"), by=[("o_custkey", "s_suppkey")], **options,
     )
 
 
@@ -91,8 +91,7 @@ def _(t):
 
 @query("overlap_join_shuffled", _CAMPAIGN_SQL.format(how="LEFT"))
 def _(t):
-    # As if the campaigns were too large to broadcast, with nodes split from 2,000 rows on.
-    return _campaigns(t, how="left", strategy="tree", broadcast_bytes=0, hot_rows=2_000)
+    return _campaigns(t, how="left", strategy="tree")
 
 
 @query("inner_join", """
@@ -120,11 +119,10 @@ SELECT l_linenumber, l_returnflag, l_quantity, n
 FROM lineitem LEFT JOIN (SELECT l_returnflag AS flag, count(*) AS n FROM lineitem
   WHERE l_returnflag <> 'R' GROUP BY 1) ON l_returnflag = flag""")
 def _(t):
-    # Three keys for all rows: without splitting, three tasks would do all the work.
+    # Three keys for all rows.
     counts = t.lineitem.where("l_returnflag <> 'R'").groupBy("l_returnflag")
     lines = t.lineitem.select("l_linenumber", "l_returnflag", "l_quantity")
-    return keyed_join(lines, counts.agg(F.count(F.lit(1)).alias("n")), ["l_returnflag"], "left",
-                      broadcast_bytes=0, hot_rows=5_000)
+    return keyed_join(lines, counts.agg(F.count(F.lit(1)).alias("n")), ["l_returnflag"], "left")
 
 
 @query("star_view", """
@@ -135,23 +133,23 @@ LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN supplier ON l_suppkey = s_
 LEFT JOIN part ON l_partkey = p_partkey
 LEFT JOIN nation n1 ON s_nationkey = n1.n_nationkey LEFT JOIN nation n2 ON c_nationkey = n2.n_nationkey""")
 def _(t):
-    # Dimensions of dimensions first: what is joined to the lines is then joined once,
+    # The keys of these tables are unique. Dimensions of dimensions first: what is joined to the lines is then joined once,
     # and customers meet orders, not the many lines of each order.
     customers = attach_dimension(t.customer, t.nation, "c_nationkey", "n_nationkey",
-                                 {"n_name": "destination"})
+                                 {"n_name": "destination"}, check=False)
     suppliers = attach_dimension(t.supplier, t.nation, "s_nationkey", "n_nationkey",
-                                 {"n_name": "origin"})
+                                 {"n_name": "origin"}, check=False)
     # Attaching keeps the number of rows, and two names about double a row's width.
     orders = attach_dimension(t.orders, customers, "o_custkey", "c_custkey",
                               {"c_name": "customer", "destination": "destination"},
-                              dimension_bytes=2 * estimated_bytes(t.customer))
+                              dimension_bytes=2 * estimated_bytes(t.customer), check=False)
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_partkey", "l_suppkey")
     view = attach_dimension(lines, orders, "l_orderkey", "o_orderkey", {
         c: c for c in ("o_orderdate", "customer", "destination")
-    }, dimension_bytes=2 * estimated_bytes(t.orders))
+    }, dimension_bytes=2 * estimated_bytes(t.orders), check=False)
     view = attach_dimension(view, suppliers, "l_suppkey", "s_suppkey",
-                            {"s_name": "supplier", "origin": "origin"})
-    view = attach_dimension(view, t.part, "l_partkey", "p_partkey", {"p_name": "part"})
+                            {"s_name": "supplier", "origin": "origin"}, check=False)
+    view = attach_dimension(view, t.part, "l_partkey", "p_partkey", {"p_name": "part"}, check=False)
     return view.drop("l_partkey", "l_suppkey")
 
 
@@ -162,7 +160,7 @@ LEFT JOIN ({CLEAN_CARRIERS_SQL}) ON ship_code = CARRIER AND l_shipdate >= START_
   AND (THRU_DATE_SOURCE IS NULL OR l_shipdate <= THRU_DATE_SOURCE)"""
 
 
-def _valid_at(t, **options):
+def _valid_at(t):
     code = F.concat(F.lit("C"), (F.col("l_suppkey") % 21).cast("string"))
     lines = t.lineitem.select(
         "l_orderkey", "l_linenumber", "l_partkey", code.alias("ship_code"),
@@ -170,7 +168,7 @@ def _valid_at(t, **options):
     )
     return valid_at_join(
         lines, clean_carriers(raw.carriers(t)), "ship_code", "day", "CARRIER",
-        "START_DATE_SOURCE", "THRU_DATE_SOURCE", {"CARRIER_NAME": "carrier_name"}, **options,
+        "START_DATE_SOURCE", "THRU_DATE_SOURCE", {"CARRIER_NAME": "carrier_name"},
     )
 
 
@@ -179,7 +177,19 @@ def _(t):
     return _valid_at(t)
 
 
-@query("valid_at_join_shuffled", _VALID_AT_SQL)
+# Two prices for each part; the later one is valid to the usual far-off date.
+_PART_HISTORY = """
+SELECT p_partkey, CAST(NULL AS DATE) AS valid_from, DATE '1998-01-01' + CAST(p_partkey % 900 AS INT) AS valid_to,
+       p_retailprice AS price FROM {part}
+UNION ALL SELECT p_partkey, DATE '1998-01-02' + CAST(p_partkey % 900 AS INT), DATE '9999-12-31', p_retailprice * 2 FROM {part}"""
+
+
+@query("valid_at_join_shuffled", f"""
+SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_shipdate AS DATE) AS day, price
+FROM lineitem LEFT JOIN ({_PART_HISTORY.format(part="part")}) ON l_partkey = p_partkey
+  AND (valid_from IS NULL OR CAST(l_shipdate AS DATE) >= valid_from) AND CAST(l_shipdate AS DATE) <= valid_to""")
 def _(t):
-    # As if the dimension were too large to broadcast.
-    return _valid_at(t, broadcast_bytes=0, hot_rows=1_000)
+    # The parts as a dimension with a history each, joined on part and ship date.
+    history = t.derive(_PART_HISTORY, "part")
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_shipdate").cast("date").alias("day"))
+    return valid_at_join(lines, history, "l_partkey", "day", "p_partkey", "valid_from", "valid_to", {"price": "price"})

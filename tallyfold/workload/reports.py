@@ -6,23 +6,29 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyfold.operators import aggregates
-from tallyfold.plans import reports
+from tallyfold.plans import jobs, reports
 from tallyfold.plans.dimensions import clean_airports, clean_carriers
-from tallyfold.plans.flights import clean_flights
+from tallyfold.plans.flights import CLEAN_NAMES, CLOCK_COLUMNS, clean_flights
+from tallyfold.session import scratch_path
+from tallyfold.sources.catalog import Catalog, flight_catalog
 from tallyfold.workload import raw
 from tallyfold.workload.cleaning import (
     CLEAN_AIRPORTS_SQL,
     CLEAN_CARRIERS_SQL,
     CLEAN_FLIGHTS_SQL,
 )
-from tallyfold.workload.registry import query
+from tallyfold.workload.registry import local, query
 
 
 @query("group_sum", """
-SELECT o_orderpriority, CAST(sum(o_custkey) AS BIGINT) AS total FROM orders GROUP BY 1""")
-def _(t):
-    # The summed column is text, as it would be in a file read without types.
-    text = t.orders.select("o_orderpriority", F.col("o_custkey").cast("string").alias("terms"))
+SELECT o_orderpriority, CAST(sum(CASE WHEN o_orderkey % 10 <> 3 THEN o_custkey + 0.25 END) AS DOUBLE) AS total
+FROM orders GROUP BY 1""")
+def _(t):
+    # The summed column is text, as it would be in a file read without types: fractions,
+    # blanks around numbers, and cells that are none.
+    text = t.orders.selectExpr("o_orderpriority", """
+        CASE o_orderkey % 10 WHEN 3 THEN 'unknown' WHEN 4 THEN concat(' ', o_custkey, '.25 ')
+        ELSE concat(o_custkey, '.25') END AS terms""")
     return aggregates.group_sum(text, ["o_orderpriority"], "terms", "total")
 
 
@@ -71,7 +77,8 @@ def _(t):
 @query("sorted_nulls_first", "SELECT o_orderkey, NULLIF(o_orderstatus, 'F') AS status FROM orders")
 def _(t):
     orders = t.orders.select("o_orderkey", F.nullif("o_orderstatus", F.lit("F")).alias("status"))
-    return orders.orderBy(F.col("status").asc_nulls_first())
+    # The key behind it spreads the few statuses over all tasks.
+    return orders.orderBy(F.col("status").asc_nulls_first(), "o_orderkey")
 
 
 @query("sorted_by_several", "SELECT o_orderpriority, o_custkey, o_orderkey FROM orders")
@@ -143,16 +150,31 @@ def master(t):
     )
 
 
-@query("master_flights", f"""
-SELECT flight_date, unique_carrier, flight_number, tail_code, origin, dest, arr_delay, carrier_name,
-       o.DISPLAY_AIRPORT_NAME AS origin_airport_name, d.DISPLAY_AIRPORT_NAME AS dest_airport_name
-FROM ({_WITH_CARRIERS_SQL}) LEFT JOIN ({CLEAN_AIRPORTS_SQL}) o ON origin = o.AIRPORT
-LEFT JOIN ({CLEAN_AIRPORTS_SQL}) d ON dest = d.AIRPORT""")
+_MASTER_SQL = f"""
+SELECT w.*, o.DISPLAY_AIRPORT_NAME AS origin_airport_name, d.DISPLAY_AIRPORT_NAME AS dest_airport_name
+FROM ({_WITH_CARRIERS_SQL}) w LEFT JOIN ({CLEAN_AIRPORTS_SQL}) o ON origin = o.AIRPORT
+LEFT JOIN ({CLEAN_AIRPORTS_SQL}) d ON dest = d.AIRPORT"""
+
+
+def _shown(view):
+    return view.withColumns({c: local(c) for c in (CLEAN_NAMES[raw] for raw in CLOCK_COLUMNS)})
+
+
+@query("master_flights", _MASTER_SQL)
 def _(t):
-    return master(t).select(
-        "flight_date", "unique_carrier", "flight_number", "tail_code", "origin", "dest", "arr_delay",
-        "carrier_name", "origin_airport_name", "dest_airport_name",
-    )
+    return _shown(master(t))
+
+
+@query("flight_jobs", _MASTER_SQL)
+def _(t):
+    # From text files to the saved view, as a user would run it.
+    folder = scratch_path(t.spark, "flight-jobs")
+    catalog = Catalog(t.spark, flight_catalog(f"{folder}/raw", f"{folder}/clean"))
+    for name, table in (("flights", raw.flights(t)), ("airports", raw.airports(t)), ("carriers", raw.carriers(t))):
+        catalog.save(table, f"raw_{name}")
+    jobs.clean_flight_tables(catalog)
+    jobs.build_master_flights(catalog)
+    return _shown(catalog.load("master_flights"))
 
 
 _CHOSEN = f"carrier_name = '{_CARRIER}' AND year(flight_date) = {_YEAR}"

@@ -33,10 +33,13 @@ def _as_csv(t, frame, **options):
 
 @query("csv_strings", """
 SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
-       o_orderstatus, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate, o_orderpriority
+       o_orderstatus, CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) AS o_totalprice,
+       CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate, o_orderpriority
 FROM orders""")
 def _(t):
-    path = _as_csv(t, _orders_by_date(t).drop("o_totalprice"))
+    # A decimal price has one way to be written, unlike a double.
+    price = F.col("o_totalprice").cast("decimal(18,2)")
+    path = _as_csv(t, _orders_by_date(t).withColumn("o_totalprice", price))
     return read_text_table(t.spark, path, separator=";")
 
 
@@ -50,10 +53,14 @@ def _(t):
 
 
 @query("csv_null_token", """
-SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, NULLIF(o_orderstatus, 'F') AS o_orderstatus
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
+       NULLIF(o_orderstatus, 'F') AS o_orderstatus, CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) AS o_totalprice,
+       CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate, o_orderpriority
 FROM orders""")
 def _(t):
-    orders = t.orders.select("o_orderkey", F.nullif("o_orderstatus", F.lit("F")).alias("o_orderstatus"))
+    orders = _orders_by_date(t).withColumns({
+        "o_orderstatus": F.nullif("o_orderstatus", F.lit("F")),
+        "o_totalprice": F.col("o_totalprice").cast("decimal(18,2)")})
     path = _as_csv(t, orders, nullValue="null")
     return read_text_table(t.spark, path, separator=";", null_token="null")
 
@@ -67,12 +74,13 @@ def _(t):
 
 
 @query("catalog_text", """
-SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, CAST(s_nationkey AS VARCHAR) AS s_nationkey
+SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, CAST(s_nationkey AS VARCHAR) AS s_nationkey,
+       CAST(CAST(s_acctbal AS DECIMAL(18, 2)) AS VARCHAR) AS s_acctbal
 FROM supplier""")
 def _(t):
     link = DataLink("csv", scratch_path(t.spark, "catalog"), TEXT_OPTIONS)
     catalog = Catalog(t.spark, {"suppliers": link})
-    catalog.save(t.supplier.drop("s_acctbal"), "suppliers")
+    catalog.save(t.supplier.withColumn("s_acctbal", F.col("s_acctbal").cast("decimal(18,2)")), "suppliers")
     return catalog.load("suppliers")
 
 

@@ -10,9 +10,11 @@ from tallyfold.operators.quantiles import exact_medians
 
 
 def test_group_sum_reads_text(spark):
-    frame = spark.createDataFrame([("a", "1"), ("a", "2.0"), ("b", "x"), ("b", None)], "p string, n string")
+    frame = spark.createDataFrame([("a", "1.5"), ("a", "2.7"), ("a", "n/a"), ("b", "x"), ("b", None)], "p string, n string")
     rows = aggregates.group_sum(frame, ["p"], "n", "total").collect()
-    assert {r["p"]: r["total"] for r in rows} == {"a": 3, "b": None}
+    assert {r["p"]: r["total"] for r in rows} == {"a": pytest.approx(4.2), "b": None}
+    exact = aggregates.group_sum(frame, ["p"], "n", "total", T.DecimalType(20, 2)).where("p = 'a'").first()
+    assert str(exact["total"]) == "4.20"
 
 
 def test_group_count(spark):
@@ -31,6 +33,8 @@ def test_modes(spark):
     frame = spark.createDataFrame([("x", "2"), ("x", "1"), ("y", "2"), ("y", "1"), (None, None)], "a string, b string")
     rows = {r["column"]: (r["value"], r["count"]) for r in aggregates.modes(frame, ["a", "b"]).collect()}
     assert rows == {"a": ("x", 2), "b": ("1", 2)}
+    numbers = spark.createDataFrame([(10,), (9,), (None,)], "n int")
+    assert aggregates.modes(numbers, ["n"]).first()["value"] == "9"
 
 
 def test_one_row_per_key(spark, plan_of):

@@ -23,16 +23,28 @@ def test_keep_most_frequent(spark):
 def test_label_indicators(spark):
     frame = spark.createDataFrame([("Drama|War",), ("War",), (None,), ("",)], "g string")
     vocabulary = features.label_vocabulary(frame, "g")
-    assert vocabulary == ["Drama", "War"]
-    rows = features.add_label_indicators(frame, "g", vocabulary).collect()
+    assert features.listed(vocabulary) == ["Drama", "War"] and features.listed(vocabulary, widest=1) is None
+    rows = features.add_label_indicators(frame, "g", features.listed(vocabulary)).collect()
     assert [(r["Drama"], r["War"]) for r in rows] == [(1, 1), (0, 1), (0, 0), (0, 0)]
-    with pytest.raises(ValueError, match="more than 1"):
-        features.label_vocabulary(frame, "g", limit=1)
+
+
+def test_more_values_than_columns_become_a_sparse_vector(spark):
+    rows = [(i, f"v{i:05d}|v{(i * 7) % 6000:05d}") for i in range(6000)] + [(6000, None), (6001, "v00003|v00003|unknown")]
+    frame = spark.createDataFrame(rows, "id int, g string")
+    vocabulary = features.label_vocabulary(frame.where("id <= 6000"), "g")
+    assert features.listed(vocabulary) is None
+    found = {r["id"]: r["g_vector"] for r in features.indicator_vector(frame, "g", vocabulary, ["id"], "|").collect()}
+    assert len(found) == len(rows) and {v["size"] for v in found.values()} == {6000}
+    assert all(found[i]["indices"] == sorted({i, i * 7 % 6000}) for i in range(6000))
+    assert found[6000]["indices"] == [] and found[6001]["indices"] == [3] and found[6001]["values"] == [1.0]
+    single = features.indicator_vector(frame, "id", features.category_values(frame, ["id"])["id"], ["id"])
+    assert single.where("size(id_vector.indices) <> 1").isEmpty()
 
 
 def test_one_hot_drops_the_first_value(spark):
     frame = spark.createDataFrame([("b",), ("a",), ("c",), (None,)], "v string")
     values = features.category_values(frame, ["v"])["v"]
+    values = features.listed(values)
     assert values == ["a", "b", "c"]
     hot = features.one_hot(frame, "v", values)
     assert hot.columns == ["v_b", "v_c"]

@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tallyfold.functions.ranges import step_number
 from tallyfold.operators.compare import assert_same_frames
 from tallyfold.operators.joins import (
     attach_dimension,
@@ -69,6 +70,48 @@ def test_hot_keys_are_spread(spark, sides):
     left, _ = sides
     found = {row["k"]: row["__parts"] for row in hot_keys(left, ["k"], 20).collect()}
     assert found == {1: 3, 2: 3}
+    # No key has more parts than a shuffle has tasks.
+    assert {row["__parts"] for row in hot_keys(left, ["k"], 1).where("k = 1").collect()} == {4}
+
+
+def test_clustered_rows_of_a_hot_key_are_spread(spark):
+    clustered = spark.range(0, 8000, 1, 1).select(F.lit(1).alias("k"), "id")
+    once = spark.createDataFrame([(1, "x")], "k int, w string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = salted_join(clustered, once, ["k"], hot_rows=1000)
+        sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 8000 and len(sizes) > 1 and max(sizes) < 5000
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_left_join_with_keys_hot_on_the_right(spark, null_safe):
+    left = [(1, 0), (2, 1), (None, 2), (3, 3), (1, 4)]
+    right = [(1, i) for i in range(60)] + [(None, i) for i in range(40)] + [(2, 7)]
+    expected = [(k, v, w) for k, v in left for q, w in right if k == q and (null_safe or k is not None)]
+    expected += [(k, v, None) for k, v in left if not any(k == q and (null_safe or k is not None) for q, _ in right)]
+    actual = salted_join(spark.createDataFrame(left, "k int, v int"), spark.createDataFrame(right, "k int, w int").repartition(5),
+                         ["k"], "left", null_safe=null_safe, hot_rows=10)
+    assert_same_frames(actual, spark.createDataFrame(expected, "k int, v int, w int"), check_nullability=False)
+
+
+def test_chained_joins_read_the_facts_once(spark, data_dir, plan_of):
+    lines, parts = (spark.read.parquet(f"{data_dir}/{t}.parquet") for t in ("lineitem", "part"))
+    for i in range(3):
+        names = {"p_name": f"name{i}"}
+        lines = attach_dimension(lines, parts, "l_partkey", "p_partkey", names, broadcast_bytes=0)
+    scans = [line for line in plan_of(lines).splitlines() if "FileScan" in line and "l_partkey" in line]
+    assert len(scans) == 1
+
+
+def test_a_dimension_with_a_key_twice_is_refused(spark):
+    facts = spark.createDataFrame([("A",)], "code string")
+    names = spark.sql("SELECT * FROM VALUES ('A', 'Alpha'), ('A', 'Beta'), (NULL, 'x'), (NULL, 'y') AS t(c, name)")
+    with pytest.raises(ValueError, match="same 'c'"):
+        attach_dimension(facts, names, "code", "c", {"name": "n"})
+    assert attach_dimension(facts, names.where("name <> 'Beta'"), "code", "c", {"name": "n"}).first()["n"] == "Alpha"
 
 
 def test_copies_of_one_row_are_spread_and_stay_complete(spark):
@@ -125,7 +168,8 @@ def test_small_side_is_broadcast_and_large_side_shuffled(spark, data_dir, plan_o
         plan = plan_of(keyed_join(orders, customers, ["k"], broadcast_bytes=0))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "SortMergeJoin" in plan and "__left_part" in plan and "CartesianProduct" not in plan
+    assert "SortMergeJoin" in plan and "CartesianProduct" not in plan
+    assert "__left_part" in plan_of(salted_join(orders, customers, ["k"], hot_rows=10))
 
 
 def test_attach_twice_keeps_all_facts(spark):
@@ -167,6 +211,29 @@ def test_valid_at(spark, broadcast_bytes):
     assert_same_frames(actual, expected, check_nullability=False)
 
 
+def test_slots_follow_the_dates_despite_a_far_off_end(spark):
+    first = D(2000, 1, 1)
+    history = [("x", first + dt.timedelta(days=10 * i), first + dt.timedelta(days=10 * i + 9), f"x{i}") for i in range(500)]
+    history[-1] = ("x", history[-1][1], D(9999, 12, 31), "last")
+    dimension = spark.createDataFrame(history, DIMENSION)
+    facts = spark.createDataFrame([("x", first + dt.timedelta(days=i), i) for i in range(5200)], "c string, day date, i int")
+    joined = valid_at_join(facts, dimension, "c", "day", "code", "start", "stop", {"name": "n"}, broadcast_bytes=0)
+    assert all(r["n"] == ("last" if r["i"] >= 4990 else f"x{r['i'] // 10}") for r in joined.collect())
+    days = dimension.agg(F.percentile_approx(F.unix_date("start"), [i / 16 for i in range(1, 16)])).first()[0]
+    slots = dimension.select(step_number(F.unix_date("start"), sorted(set(days))).alias("s")).groupBy("s").count().collect()
+    assert len(slots) > 12 and max(r["count"] for r in slots) < 80
+
+
+def test_unreadable_dates(spark):
+    facts = spark.createDataFrame([("x", "2000-06-01"), ("x", "nope"), ("y", "2000-06-01")], "c string, day string")
+    dimension = spark.createDataFrame([("x", "2000-01-01", "whenever", "open"), ("y", "2001-01-01", None, "late")],
+                                      "code string, start string, stop string, name string")
+    for size in (0, 2**62):
+        rows = valid_at_join(facts, dimension, "c", "day", "code", "start", "stop", {"name": "n"}, broadcast_bytes=size)
+        assert {(r["c"], r["day"]): r["n"] for r in rows.collect()} == {
+            ("x", "2000-06-01"): "open", ("x", "nope"): None, ("y", "2000-06-01"): None}
+
+
 def test_valid_at_with_empty_dimension(spark):
     facts = spark.createDataFrame([("x", D(2000, 1, 1))], "code string, day date")
     empty = spark.createDataFrame([], DIMENSION).withColumnRenamed("code", "c")

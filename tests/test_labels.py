@@ -109,3 +109,12 @@ def test_labelling_needs_no_python_and_the_formula_no_shuffle(spark, plan_of):
     assert "BroadcastHashJoin" in plan_of(label_holidays(frame, method="join"))
     for method in ("formula", "list", "join"):
         assert "Python" not in plan_of(label_holidays(frame, method=method))
+
+
+@pytest.mark.parametrize("options", [{}, {"method": "list"}, {"method": "join"}, {"method": "join", "years": [2018]}])
+def test_text_dates_that_cannot_be_read_have_no_label(spark, options):
+    frame = spark.createDataFrame([("2018-07-21",), ("2018-07-22",), ("nope",), (None,)], "date string")
+    found = label_holidays(frame, **options).collect()
+    assert {r["date"]: r["is_belgian_holiday"] for r in found} == {
+        "2018-07-21": True, "2018-07-22": False, "nope": None, None: None}
+    assert {r["is_weekend"] for r in label_weekend(frame.where("date = 'nope'")).collect()} == {None}

@@ -105,7 +105,8 @@ def test_crowded_stretches_get_narrow_leaves(spark):
     year = 365 * 86400
     ticks = [5 * year + i for i in range(3600)] + [i * year // 720 for i in range(7200)] + [-10**9, 10**10]
     frame = spark.createDataFrame([(t,) for t in ticks], "a bigint").withColumn("b", F.col("a"))
-    cuts = _cuts([(frame, ("a", "b"))])
+    cuts, rows = _cuts([(frame, ("a", "b")), (frame, ("a", "b"))])
+    assert rows == len(ticks)
     placed = _with_leaf(frame, "a", "leaf", 0, cuts, 1 << 12)
     top = placed.groupBy("leaf").count().agg(F.max("count")).first()[0]
     # Only where a crowded stretch begins or ends within a piece do many share a leaf.
@@ -115,6 +116,39 @@ def test_crowded_stretches_get_narrow_leaves(spark):
     assert leaves == sorted(leaves) and leaves[0] >= 0 and leaves[-1] < 1 << 12
 
 
+@pytest.mark.parametrize("broadcast_bytes", [0, 2**62])
+def test_bounds_that_are_not_finite(spark, tmp_path, broadcast_bytes):
+    inf, rng = float("inf"), random.Random(9)
+    ends = [-inf, inf, None, 0.0, 1.0, 2.5, 40.0]
+    left = [(i, rng.choice(ends), rng.choice(ends)) for i in range(60)]
+    right = [(i, rng.choice(ends), rng.choice(ends)) for i in range(40)]
+    l, r = frames(spark, left, right, "double")
+    r.write.parquet(str(tmp_path / "right"))
+    expected = spark.createDataFrame(brute(left, right, "left"), "i int, a double, b double, j int, c double, d double")
+    actual = overlap_join(l, spark.read.parquet(str(tmp_path / "right")), ("a", "b"), ("c", "d"), "left", "tree",
+                          broadcast_bytes=broadcast_bytes)
+    assert_same_frames(actual, expected, False)
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("broadcast_bytes", [0, 2**62])
+def test_equality_keys_beside_the_ranges(spark, tmp_path, how, broadcast_bytes):
+    rng = random.Random(12)
+    left, right = random_ranges(rng, 150, 300, 40), random_ranges(rng, 60, 300, 40)
+    l, r = (f.withColumn(k, F.when(F.col(i) % 7 != 0, F.col(i) % 4)) for f, k, i in zip(frames(spark, left, right), "kq", "ij"))
+    r.write.parquet(str(tmp_path / "right"))
+    same = [(*x, *y) for x in [(*t, t[0] % 4 if t[0] % 7 else None) for t in left]
+            for y in [(*t, t[0] % 4 if t[0] % 7 else None) for t in right]
+            if x[3] is not None and x[3] == y[3] and brute([x[:3]], [y[:3]], "inner")]
+    if how == "left":
+        met = {x[0] for x in same}
+        same += [(*t, t[0] % 4 if t[0] % 7 else None, None, None, None, None) for t in left if t[0] not in met]
+    expected = spark.createDataFrame(same, "i int, a int, b int, k int, j int, c int, d int, q int")
+    actual = overlap_join(l, spark.read.parquet(str(tmp_path / "right")), ("a", "b"), ("c", "d"), how, "tree", by=[("k", "q")],
+                          broadcast_bytes=broadcast_bytes)
+    assert_same_frames(actual, expected, False)
+
+
 def test_empty_sides(spark):
     l, r = frames(spark, [(1, 1, 2)], [(1, 1, 2)])
     none = r.where("j > 5")
