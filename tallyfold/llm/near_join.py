@@ -6,7 +6,8 @@ Jaccard similarity of their sets is 0.8 or more, and a class is what links conne
 
 Chosen path: in each of several runs all sets begin in one node. A set goes on to the
 child nodes of the few of its tokens that the node's hash chooses, so sets that
-share many tokens share children. Nodes with one set are dropped, small ones are compared
+share many tokens share children. All sets take two steps, as sets with a passage in common
+would often meet after one. Nodes with one set are dropped, small ones are compared
 by brute force, others are split again. Every run finds a linked pair with a known chance,
 and the number of runs follows from the target recall. Runs are independent and made together.
 
@@ -37,16 +38,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.operators.joins import BROADCAST_BYTES, estimated_bytes, keyed_join
+from tallyfold.operators.joins import is_small, keyed_join
 from tallyfold.session import materialise
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.9999
-# Tokens that a node chooses of a set, on average.
-CHOSEN = 2.5
+# Tokens that a node chooses of a set, on average: at the first step, the second, and further ones.
+FIRST, SECOND, FURTHER = 6.0, 0.5, 2.5
 # Nodes up to this size are compared by brute force; larger ones are split, at most to this depth.
-SMALL, DEPTH = 64, 4
+SMALL, DEPTH = 64, 3
 # Members of a block of a node or class that stays large; two blocks make a cell.
-BLOCK = 1024
+BLOCK = 2048
 # Sets that one group of small nodes or classes holds, as an order of magnitude.
 GROUP = 1000
 
@@ -74,21 +75,22 @@ def shingle_tokens(text: str | None, words: int = WORDS) -> np.ndarray:
     return np.unique((total >> np.uint64(32)).astype(np.uint32))
 
 
-def children(tokens: np.ndarray, nodes: np.ndarray, chosen: float = CHOSEN) -> np.ndarray:
+def children(tokens: np.ndarray, nodes: np.ndarray, chosen: float = FURTHER) -> np.ndarray:
     """Child nodes of a set in each of `nodes`, by the tokens that the node's hash chooses."""
     drawn = _mixed(tokens.astype(np.uint64)[None, :] ^ nodes.astype(np.uint64)[:, None])
     limit = min(chosen / max(1, len(tokens)), 1.0) * 2.0**32
     return np.unique(_mixed(drawn[(drawn >> np.uint64(32)) < limit])).astype(np.int64)
 
 
-def runs_for(recall: float, threshold: float = THRESHOLD, chosen: float = CHOSEN, depth: int = DEPTH) -> int:
+def runs_for(recall: float, threshold: float = THRESHOLD) -> int:
     """Runs until a pair at the threshold is met with the target recall.
 
     Two linked sets share at least `threshold` of the larger one's tokens, so a node
-    chooses that share of its tokens for both of them on average.
+    chooses that share of its tokens for both of them on average. Reckoned for pairs whose
+    nodes are large after two steps and are split once more.
     """
     met = 1.0
-    for _ in range(depth):
+    for chosen in (FURTHER, SECOND, FIRST):
         met = 1 - math.exp(-chosen * threshold * met)
     return math.ceil(math.log(1 - recall) / math.log(1 - met))
 
@@ -107,7 +109,7 @@ def document_sets(docs: DataFrame, id: str, text: str, recall: float, threshold:
                     part.column(0), part.column(1),
                     pa.array([hashlib.blake2b(r, digest_size=16).digest() for r in raw], pa.binary()),
                     pa.array(raw, pa.binary()),
-                    pa.array([children(s, roots) for s in sets], pa.list_(pa.int64())),
+                    pa.array([children(s, children(s, roots, FIRST), SECOND) for s in sets], pa.list_(pa.int64())),
                 ], schema=_SETS)
 
     slim = docs.select(F.col(id).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
@@ -242,11 +244,14 @@ def candidate_links(sets: DataFrame, threshold: float = THRESHOLD) -> tuple[Data
 
     def met(members: DataFrame) -> DataFrame:
         sizes = members.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        return members.join(sizes, "node")
+        return keyed_join(members, materialise(sizes, "near-sizes"), ["node"])
 
-    first = sets.select("set_id", F.explode("nodes").alias("node")).distinct()
+    # Equal sets have equal nodes, and are one member from here on.
+    unique = materialise(sets.groupBy("set_id").agg(F.first("nodes").alias("nodes")), "near-unique")
+    first = unique.select("set_id", F.explode("nodes").alias("node"))
     members = materialise(met(first).withColumn("parent_n", F.lit(2**62)), "near-members")
-    tokens = sets.select("set_id", "tokens").join(members.select("set_id").distinct(), "set_id", "left_semi")
+    needed = materialise(members.select("set_id").distinct(), "near-needed")
+    tokens = keyed_join(sets.select("set_id", "tokens"), needed, ["set_id"])
     tokens = materialise(tokens.dropDuplicates(["set_id"]), "near-tokens")
     links = []
     for depth in range(1, DEPTH + 1):
@@ -257,7 +262,7 @@ def candidate_links(sets: DataFrame, threshold: float = THRESHOLD) -> tuple[Data
         if large.isEmpty():
             break
         links.append(_large_links(large.where(stuck), tokens, exact))
-        members = materialise(met(_split(large.where(~stuck), tokens)), "near-members")
+        members = materialise(met(materialise(_split(large.where(~stuck), tokens), "near-split")), "near-members")
     found = links[0]
     for more in links[1:]:
         found = found.unionByName(more)
@@ -363,7 +368,7 @@ def drop_near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text",
     dropped = materialise(found.where(~F.col("kept")).select(
         F.coalesce("doc_id", F.lit(0)).alias("__id"), F.col("doc_id").isNull().alias("__unknown"),
         F.col("text_hash").alias("__hash")).distinct(), "near-dropped")
-    if estimated_bytes(dropped) <= BROADCAST_BYTES:
+    if is_small(dropped):
         dropped = F.broadcast(dropped)
     key = F.col(id).cast("long")
     same = (F.coalesce(key, F.lit(0)) == F.col("__id")) & (key.isNull() == F.col("__unknown")) & (
