@@ -14,16 +14,25 @@ import re
 
 import numpy as np
 
-# Letters and digits that every version of Unicode puts in the same class.
-_PLAIN = "0-9A-Za-zÀ-ÖØ-öø-ÿ"
-# A piece that may be cut around each run of plain letters.
-_SIMPLE = re.compile(rf" ?[{_PLAIN}]+(?:(?:[.,]\n?|\n)[{_PLAIN}]+)*[.,]?\n?")
-_PARTS = re.compile(rf" ?[{_PLAIN}]+|[.,\n]")
+# Letters that every version of Unicode takes for letters.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+# A piece that may be cut around each run of plain letters, and each of its parts is then
+# what the vocabulary's own rules would cut off: a word of its model.
+_SIMPLE = re.compile(rf" ?[{_LETTERS}]+(?:(?:[.,]\n?|\n)[{_LETTERS}]+)*[.,]?\n?")
+_PARTS = re.compile(rf" ?[{_LETTERS}]+|[.,\n]")
 # White space before a space: such a space does not begin a piece.
 _WIDE = re.compile(r"\s ")
 _AFTER_TEXT = re.compile(r"(?<=\S) ")
 # Pieces and parts that a worker keeps; beyond that, new ones are encoded anew each time.
-KEPT_PIECES, KEPT_PARTS = 300_000, 250_000
+KEPT_PIECES, KEPT_PARTS = 800_000, 500_000
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: itself if it can be seen,
+    else the next one from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
 class _Known(dict):
@@ -46,6 +55,7 @@ class Encoder:
         self.dtype = dtype
         # A vocabulary that treats all white space alike drops it, and ignores case.
         self._spaceless = self._encode(["a \n b"])[0] == self._encode(["A b"])[0]
+        self._model, self._letters = self._tokenizer.model, _byte_letters()
         self._pieces, self._parts = _Known(), _Known()
 
     def _encode(self, texts: list[str]) -> list[bytes]:
@@ -63,19 +73,27 @@ class Encoder:
         return [first, *[" " + piece for piece in others]]
 
     def _learn(self, known: _Known, keys: set[str], limit: int, ids) -> None:
-        new = list(keys.difference(known))
+        new = [key for key in keys if key not in known]
         known.rest = dict(zip(new, ids(new)))
         if len(known) < limit:
             known.update(known.rest)
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of the model, which needs none of the tokenizer's other steps."""
+        tokenize, letters = self._model.tokenize, self._letters
+        written = [w.encode().decode("latin-1").translate(letters) for w in words]
+        return [np.array([t.id for t in tokenize(w)], self.dtype).tobytes() for w in written]
+
     def _part_ids(self, pieces: list[str]) -> list[bytes]:
-        cut = []
-        for piece in pieces:
-            parts = _PARTS.findall(piece) if _SIMPLE.fullmatch(piece) else [piece]
-            cut.append([p.lower() for p in parts] if self._spaceless and len(parts) > 1 else parts)
-        self._learn(self._parts, set().union(*cut), KEPT_PARTS, self._encode)
+        simple = [_SIMPLE.fullmatch(piece) is not None for piece in pieces]
+        odd = iter(self._encode([p for p, plain in zip(pieces, simple) if not plain]))
+        if self._spaceless:
+            cut = [[w for w in _PARTS.findall(p.lower()) if w != "\n"] if plain else None for p, plain in zip(pieces, simple)]
+        else:
+            cut = [_PARTS.findall(p) if plain else None for p, plain in zip(pieces, simple)]
+        self._learn(self._parts, set().union(*[c for c in cut if c]), KEPT_PARTS, self._encode_words)
         fetch = self._parts.__getitem__
-        return [b"".join(map(fetch, parts)) for parts in cut]
+        return [next(odd) if parts is None else b"".join(map(fetch, parts)) for parts in cut]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as bytes, a null text as an empty one."""
