@@ -56,16 +56,43 @@ def _record(kind: str | Column, id: Column, headers: list[str | Column], block:
 
 
 def _repeats(pages: DataFrame) -> DataFrame:
-    """One row per payload that several pages have: its digest and the page that is the response."""
-    slim = pages.where(F.octet_length("html") >= LEAST_REVISIT).select(
-        "digest", F.struct(F.col("page_id").isNull().alias("unknown"), "page_id", "row").alias("page"))
-    groups = slim.groupBy("digest").agg(F.min("page").alias("page"), F.count(F.lit(1)).alias("n"))
-    return groups.where("n > 1").select(
-        "digest", F.col("page.row").alias("first_row"), _capture_id(F.col("page.page_id"), F.col("page.row")).alias("first"))
+    """One row per payload that several pages have: its digest and `first`, the page that is the response.
+
+    Only what a page holds decides, no row number, so the answer is the same whenever the
+    pages are read. `first.copies` counts rows that are alike in all three columns.
+    """
+    slim = pages.where(F.octet_length("html") >= LEAST_REVISIT)
+    alike = slim.groupBy("digest", "page_id", "url_hash").agg(F.count(F.lit(1)).alias("copies"))
+    page = F.struct(F.col("page_id").isNull().alias("unknown"), "page_id", "url_hash", "copies")
+    groups = alike.groupBy("digest").agg(F.min(page).alias("first"), F.sum("copies").alias("n"))
+    return groups.where("n > 1").drop("n")
+
+
+def _capture_id(page_id: Column, rest: Column) -> Column:
+    return _text("urn:capture:", F.coalesce(page_id.cast("string"), F.lit("")), ":", rest)
 
 
-def _capture_id(page_id: Column, row: Column) -> Column:
-    return _text("urn:capture:", F.coalesce(page_id.cast("string"), F.lit("")), ":", row.cast("string"))
+def _with_roles(rows: DataFrame) -> DataFrame:
+    """Rows with `revisit`, `main` (their capture's identifier) and `target` (that of the response).
+
+    A response that others refer to is named by its payload, any other capture by a number
+    of its row. Rows alike in all columns come from one of them, so that exactly one is the response.
+    """
+    placed = keyed_join(rows, materialise(_repeats(rows), "warc-repeats"), ["digest"], "left")
+    first = F.col("first")
+    leads = F.coalesce(F.col("page_id").eqNullSafe(first["page_id"]) & (F.col("url_hash") == first["url_hash"]), F.lit(False))
+    placed = placed.withColumn("leads", first.isNotNull() & leads)
+    alone = placed.where(~F.col("leads") | (first["copies"] == 1)).withColumn("copy", F.lit(0).cast("long"))
+    alike = placed.where(F.col("leads") & (first["copies"] > 1)).dropDuplicates(["digest", "page_id", "url_hash"])
+    alike = alike.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), first["copies"] - 1)))
+    rows = alone.unionByName(alike)
+    leads = F.col("leads") & (F.col("copy") == 0)
+    number = F.concat_ws("-", F.monotonically_increasing_id().cast("string"), F.col("copy").cast("string"))
+    return rows.withColumns({
+        "revisit": first.isNotNull() & ~leads,
+        "main": _capture_id(F.col("page_id"), F.when(leads, F.col("digest")).otherwise(number)),
+        "target": _capture_id(first["page_id"], F.col("digest")),
+    })
 
 
 def write_archives(pages: DataFrame, path: str, id: str = "page_id", url: str = "url", html: str = "html") -> None:
@@ -73,11 +100,9 @@ def write_archives(pages: DataFrame, path: str, id: str = "page_id", url: str =
     rows = pages.select(
         F.col(id).cast("long").alias("page_id"), F.coalesce(F.col(html), F.lit("")).alias("html"),
         F.replace(F.replace(F.coalesce(F.col(url), F.lit("")), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A")).alias("url"),
-        F.monotonically_increasing_id().alias("row"),
-    ).withColumn("digest", F.sha2("html", 256))
-    placed = keyed_join(rows, materialise(_repeats(rows), "warc-repeats"), ["digest"], "left")
-    revisit = F.col("first_row").isNotNull() & (F.col("first_row") != F.col("row"))
-    main = _capture_id(F.col("page_id"), F.col("row"))
+    ).withColumns({"digest": F.sha2("html", 256), "url_hash": F.xxhash64("url")})
+    placed = _with_roles(rows)
+    main, revisit = F.col("main"), F.col("revisit")
     target = [f"{NEWLINE}WARC-Target-URI: ", F.col("url")]
     together = [f"{NEWLINE}WARC-Concurrent-To: <", main, ">"]
     http = f"{NEWLINE}Content-Type: application/http; msgtype="
@@ -87,7 +112,7 @@ def write_archives(pages: DataFrame, path: str, id: str = "page_id", url: str =
     size = F.octet_length("html").cast("string")
     response = _record("response", main, [*target, *digest], _text(HTTP_OK, size, BLANK, F.col("html")))
     again = _record("revisit", main, [*target, *digest, f"{NEWLINE}WARC-Profile: {REVISIT_PROFILE}",
-                                      f"{NEWLINE}WARC-Refers-To: <", F.col("first"), ">"],
+                                      f"{NEWLINE}WARC-Refers-To: <", F.col("target"), ">"],
                     _text(HTTP_OK, size, BLANK))
     metadata = _record("metadata", _text(main, ":metadata"),
                        [*target, *together, f"{NEWLINE}Content-Type: application/warc-fields"],
