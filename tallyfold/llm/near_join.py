@@ -31,6 +31,7 @@ import hashlib
 import math
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -196,7 +197,7 @@ def _small_links(nodes: DataFrame, sets: DataFrame, threshold: Fraction) -> Data
     return lists.groupBy("at").cogroup(needed.groupBy("group")).applyInArrow(compare, "a binary, b binary")
 
 
-def _cells(members: DataFrame, key: str) -> DataFrame:
+def _cells(members: DataFrame, key: str, *kept: str) -> DataFrame:
     """Members of keys of `n` members, dealt into blocks, and each sent to the cells of its block.
 
     Adds `i`, `j` (the cell's blocks, i <= j) and `own` (the member's block).
@@ -204,7 +205,7 @@ def _cells(members: DataFrame, key: str) -> DataFrame:
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     dealt = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
     return dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        key, "set_id", "own", F.least("own", "other").cast("int").alias("i"), F.greatest("own", "other").cast("int").alias("j"))
+        key, "set_id", *kept, "own", F.least("own", "other").cast("int").alias("i"), F.greatest("own", "other").cast("int").alias("j"))
 
 
 def _large_links(nodes: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame:
@@ -253,20 +254,23 @@ def candidate_links(sets: DataFrame, threshold: float = THRESHOLD) -> tuple[Data
     needed = materialise(members.select("set_id").distinct(), "near-needed")
     tokens = keyed_join(sets.select("set_id", "tokens"), needed, ["set_id"])
     tokens = materialise(tokens.dropDuplicates(["set_id"]), "near-tokens")
-    links = []
+    small, large = [], []
     for depth in range(1, DEPTH + 1):
-        links.append(_small_links(members.where(F.col("n") <= SMALL), tokens, exact))
+        small.append(members.where(F.col("n") <= SMALL))
         # A node that its parent's split did not halve would not fall apart later either.
         stuck = (F.col("n") * 2 > F.col("parent_n")) | F.lit(depth == DEPTH)
-        large = members.where(F.col("n") > SMALL)
-        if large.isEmpty():
+        crowded = members.where(F.col("n") > SMALL)
+        if crowded.isEmpty():
             break
-        links.append(_large_links(large.where(stuck), tokens, exact))
-        members = materialise(met(materialise(_split(large.where(~stuck), tokens), "near-split")), "near-members")
-    found = links[0]
-    for more in links[1:]:
-        found = found.unionByName(more)
-    return materialise(found, "near-links"), tokens
+        large.append(crowded.where(stuck))
+        if depth < DEPTH:
+            split = materialise(_split(crowded.where(~stuck), tokens), "near-split")
+            members = materialise(met(split), "near-members")
+    links = _small_links(reduce(DataFrame.unionByName, [m.select("node", "set_id") for m in small]), tokens, exact)
+    if large:
+        nodes = reduce(DataFrame.unionByName, [m.select("node", "set_id", "n") for m in large])
+        links = links.unionByName(_large_links(nodes, tokens, exact))
+    return materialise(links, "near-links"), tokens
 
 
 def connected_classes(links: DataFrame) -> DataFrame:
@@ -280,11 +284,12 @@ def connected_classes(links: DataFrame) -> DataFrame:
         F.col("a").alias("set_id"), F.least("a", "b").alias("class"))
     classes = materialise(classes, "near-classes")
     while True:
-        around = both.join(classes.select(F.col("set_id").alias("b"), "class"), "b").groupBy("a").agg(F.min("class").alias("near"))
-        lower = classes.join(around, classes["set_id"] == around["a"]).select(
+        around = keyed_join(both, classes.withColumnRenamed("set_id", "b"), ["b"])
+        around = around.groupBy(F.col("a").alias("set_id")).agg(F.min("class").alias("near"))
+        lower = keyed_join(around, classes, ["set_id"]).select(
             "set_id", F.col("class").alias("old"), F.least("class", "near").alias("class"))
         jump = classes.select(F.col("set_id").alias("class"), F.col("class").alias("further"))
-        moved = lower.join(jump, "class", "left").select(
+        moved = keyed_join(lower, jump, ["class"], "left").select(
             "set_id", "old", F.least("class", "further").alias("class"))
         moved = materialise(moved, "near-classes")
         classes = moved.select("set_id", "class")
@@ -299,9 +304,10 @@ def count_links(classes: DataFrame, tokens: DataFrame, threshold: float = THRESH
     cells; a set's own copies are not counted here.
     """
     exact = Fraction(threshold).limit_denominator(1000)
-    sized = classes.join(classes.groupBy("class").agg(F.count(F.lit(1)).alias("n")), "class")
-    groups = max(1, math.ceil(sized.count() / GROUP))
-    cells = _cells(sized, "class").join(classes.select("set_id", "copies"), "set_id").join(tokens, "set_id")
+    sizes = materialise(classes.groupBy("class").agg(F.count(F.lit(1)).alias("n")), "near-sizes")
+    sized = keyed_join(classes, sizes, ["class"])
+    groups = max(1, math.ceil(classes.count() / GROUP))
+    cells = keyed_join(tokens, materialise(_cells(sized, "class", "copies"), "near-cells"), ["set_id"])
     alone = (F.col("i") == 0) & (F.col("j") == 0)
     # Cells of large classes are groups of their own, classes of one block share groups.
     at = F.when(alone, F.pmod(F.xxhash64("class"), F.lit(groups))).otherwise(F.xxhash64("class", "i", "j"))
@@ -341,10 +347,10 @@ def near_classes(docs: DataFrame, id: str = "doc_id", text: str = "text",
     by_set = sets.groupBy("set_id").agg(F.count(F.lit(1)).alias("copies"), F.min(first).alias("first"))
     by_set = materialise(by_set, "near-copies")
     classes = connected_classes(links)
-    classed = materialise(classes.join(by_set, "set_id"), "near-classed")
+    classed = materialise(keyed_join(by_set, classes, ["set_id"]), "near-classed")
     counted = count_links(classed.select("set_id", "class", "copies"), tokens, threshold)
     of_class = classed.groupBy("class").agg(F.min("first").alias("class_first"), F.sum("copies").alias("class_size"))
-    linked = classed.join(counted, "set_id").join(of_class, "class").select(
+    linked = keyed_join(counted.join(classed, "set_id"), materialise(of_class, "near-firsts"), ["class"]).select(
         "set_id", "class_first", "class_size", (F.col("links") + F.col("copies") - 1).alias("n_links"))
     copied = by_set.where("copies > 1").join(classed.select("set_id"), "set_id", "left_anti").select(
         "set_id", F.col("first").alias("class_first"), F.col("copies").alias("class_size"), (F.col("copies") - 1).alias("n_links"))
