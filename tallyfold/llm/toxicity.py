@@ -38,7 +38,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 MOST_TOXIC, MOST_CLEAN, LONGEST = 3_000, 6_000, 40_000
 PASSAGE, TOP = 16, 1 / 8
 BUCKETS, DIMENSIONS = 2**19, 4
-EPOCHS, RATE, DECAY, SEED = 40, 0.1, 1e-7, 7
+EPOCHS, RATE, DECAY, SEED = 100, 0.1, 1e-7, 7
 FOLDS = 5
 KEPT_WORDS = 300_000
 # Words longer than this are not kept in the worker's table.
