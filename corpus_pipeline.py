@@ -38,7 +38,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample whose tokens have the target shares of source, language and kind of text."""
-    return mixing.mix_documents(docs).where("kept").select(*docs.columns)
+    return mixing.mix_documents(docs, unmet=mixing.UNMET).where("kept").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,12 @@ targets. A document is then kept with the probability of its cell, raked weight
 tokens present, on the one scale at which no cell needs more than it has. The expected
 tokens of the sample thus have the target margins.
 
+That scale is set by the neediest cell, however small. With `unmet`, as in the pipeline, it
+is not: the sample is the largest of which cells lack at most that share, cells that run
+out are kept whole, and what they lack is raked over the other cells. A value with fewer
+tokens than its target asks for is kept whole where the other margins allow, and its rest
+goes to the other values. A row of its own cell thus leaves the other cells as they are.
+
 Sampling draws a number from a hash of the id, so a run repeats and a larger target keeps
 what a smaller one kept.
 
@@ -22,6 +28,8 @@ the input's columns are kept, those named as results are replaced.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,6 +46,14 @@ KINDS = (("note", 50), ("page", 400), ("article", 2000))
 LONGEST_KIND = "book"
 # Two rounds are written at a time, which keeps plans short.
 ROUNDS_PER_WRITE = 2
+# Share of the sample that cells may lack because they run out of tokens.
+UNMET = 0.01
+# Raking within what cells have ends when all margins are this near their goals, as a share
+# of the goal, or come no nearer.
+TOLERANCE = 0.001
+MOST_ROUNDS = 100
+# The largest sample is looked for on so many totals at a time, so many times.
+TOTALS, LOOKS = 32, 3
 
 
 def word_count(text: str = "text") -> Column:
@@ -75,12 +91,7 @@ def _with_targets(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
     return cells
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
-    """Cells with `weight`, whose margins meet the targets: iterative proportional fitting.
-
-    Cells are as many as combinations of values that occur, however many documents
-    there are; they stay in Spark, and a step sorts them by one dimension.
-    """
+def _raked(cells: DataFrame, targets: dict[str, DataFrame], rounds: int) -> DataFrame:
     raked = materialise(_with_targets(cells, targets).withColumn("weight", F.col("tokens").cast("double")), "mix-cells")
     for round in range(rounds):
         for d in DIMENSIONS:
@@ -88,7 +99,16 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
             raked = raked.withColumn("weight", F.col("weight") * F.col(f"target_{d}") / present)
         if round % ROUNDS_PER_WRITE == ROUNDS_PER_WRITE - 1 or round == rounds - 1:
             raked = materialise(raked, "mix-cells")
-    return raked.select(*DIMENSIONS, "tokens", "weight")
+    return raked
+
+
+def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
+    """Cells with `weight`, whose margins meet the targets: iterative proportional fitting.
+
+    Cells are as many as combinations of values that occur, however many documents
+    there are; they stay in Spark, and a step sorts them by one dimension.
+    """
+    return _raked(cells, targets, rounds).select(*DIMENSIONS, "tokens", "weight")
 
 
 def calibrated(raked: DataFrame) -> DataFrame:
@@ -97,6 +117,75 @@ def calibrated(raked: DataFrame) -> DataFrame:
     return raked.select(*DIMENSIONS, (F.col("weight") / F.col("tokens") / F.lit(float(most))).alias("probability"))
 
 
+def largest_total(raked: DataFrame, unmet: float = UNMET) -> float:
+    """Tokens of the largest sample of which the cells lack at most the share `unmet`."""
+    need = F.col("weight") / F.col("tokens")
+    most, weight, tokens = raked.agg(F.max(need), F.sum("weight"), F.sum("tokens")).first()
+    if not most:
+        return float(tokens or 0)
+    low, high = weight / most, float(tokens)
+    for _ in range(LOOKS):
+        totals = [low * (high / low) ** (i / TOTALS) for i in range(TOTALS + 1)]
+        lacks = raked.agg(*[
+            F.sum(F.greatest(F.col("weight") / F.lit(weight) - F.col("tokens") / F.lit(t), F.lit(0.0))).alias(f"t{i}")
+            for i, t in enumerate(totals)]).first()
+        last = max((i for i, lack in enumerate(lacks) if lack <= unmet), default=0)
+        low, high = totals[last], totals[min(last + 1, TOTALS)]
+    return low
+
+
+def _goal_scale(cells: DataFrame, dimension: str, total: float) -> float:
+    """What targets are scaled by so that they reach `total` although some values run out."""
+    margins = cells.groupBy(dimension).agg(F.sum("tokens").alias("present"), F.first(f"target_{dimension}").alias("target"))
+    scale = total
+    while True:
+        runs_out = F.col("present") <= F.col("target") * F.lit(scale)
+        full, free = margins.agg(F.sum(F.when(runs_out, F.col("present"))), F.sum(F.when(~runs_out, F.col("target")))).first()
+        higher = (total - (full or 0)) / free if free else scale
+        if higher <= scale * (1 + 1e-9):
+            return scale
+        scale = higher
+
+
+def margin_error(cells: DataFrame) -> float:
+    """The largest distance of a value's tokens from its goal, as a share of the goal."""
+    off = []
+    for d in DIMENSIONS:
+        held = F.sum(F.least("weight", "tokens")).over(Window.partitionBy(d))
+        off.append(F.coalesce(F.try_divide(F.abs(held - F.col(f"goal_{d}")), F.col(f"goal_{d}")), F.lit(0.0)))
+    return cells.select(F.greatest(*off).alias("off")).agg(F.max("off")).first()[0] or 0.0
+
+
+def rake_within(cells: DataFrame, targets: dict[str, DataFrame], unmet: float = UNMET, rounds: int = ROUNDS) -> DataFrame:
+    """Cells with `probability`, of the largest sample of which cells lack at most `unmet`.
+
+    Each value's goal is its target share of the sample, or all its tokens. Cells are
+    scaled as in `rake`, but count with no more than they have, so what a full cell lacks
+    goes to the others of its margin. Targets that contradict each other are warned of.
+    """
+    cells = _raked(cells, targets, rounds)
+    total = largest_total(cells, unmet)
+    for d in DIMENSIONS:
+        present = F.sum("tokens").over(Window.partitionBy(d))
+        cells = cells.withColumn(f"goal_{d}", F.least(present.cast("double"), F.col(f"target_{d}") * F.lit(_goal_scale(cells, d, total))))
+    sum_of_weights = cells.agg(F.sum("weight")).first()[0] or 1.0
+    cells = materialise(cells.withColumn("weight", F.col("weight") * F.lit(total / sum_of_weights)), "mix-cells")
+    off = margin_error(cells)
+    for done in range(0, MOST_ROUNDS, ROUNDS_PER_WRITE):
+        if off <= TOLERANCE:
+            break
+        for d in DIMENSIONS * ROUNDS_PER_WRITE:
+            held = F.sum(F.least("weight", "tokens")).over(Window.partitionBy(d))
+            cells = cells.withColumn("weight", F.col("weight") * F.coalesce(F.try_divide(F.col(f"goal_{d}"), held), F.lit(1.0)))
+        cells = materialise(cells, "mix-cells")
+        before, off = off, margin_error(cells)
+        if done >= rounds and off > 0.99 * before:
+            break
+    if off > TOLERANCE:
+        warnings.warn(f"targets contradict each other: a margin stays {off:.2%} off its goal", stacklevel=2)
+    return cells.select(*DIMENSIONS, (F.least("weight", "tokens") / F.col("tokens")).alias("probability"))
+
+
 def uniform(id: str) -> Column:
     """A number in [0, 1) from the id."""
     digest = F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col(id).cast("string"), F.lit(""))).cast("binary"))
@@ -104,11 +193,13 @@ def uniform(id: str) -> Column:
 
 
 def mix_documents(docs: DataFrame, topic: Column | None = None, targets: dict[str, DataFrame] | None = None,
-                  rounds: int = ROUNDS, temper: float = TEMPER, id: str = "doc_id", text: str = "text") -> DataFrame:
+                  rounds: int = ROUNDS, temper: float = TEMPER, id: str = "doc_id", text: str = "text",
+                  unmet: float | None = None) -> DataFrame:
     """The rows of `docs` with topic, tokens, probability and kept.
 
     `targets` gives tables (value, target) by dimension; without it, the tempered shares
-    of the documents themselves are the targets.
+    of the documents themselves are the targets. With `unmet`, the neediest cells do not set
+    the scale, see `rake_within`.
     """
     plain = docs.drop("topic", "tokens", "probability", "kept")
     words = word_count(text)
@@ -116,7 +207,8 @@ def mix_documents(docs: DataFrame, topic: Column | None = None, targets: dict[st
                                  "tokens": F.greatest(words, F.lit(1)).cast("long")})
     cells = materialise(counted.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "mix-cells")
     wanted = targets or {d: tempered_targets(cells, d, temper) for d in DIMENSIONS}
-    chances = materialise(calibrated(rake(cells, wanted, rounds)), "mix-chances")
+    found = calibrated(rake(cells, wanted, rounds)) if unmet is None else rake_within(cells, wanted, unmet, rounds)
+    chances = materialise(found, "mix-chances")
     joined = keyed_join(counted, chances, list(DIMENSIONS), "left", null_safe=True)
     return joined.withColumn("kept", uniform(id) < F.col("probability"))
 

@@ -187,6 +187,30 @@ def test_mixing_keeps_rows_and_draws_by_probability(spark):
     assert mixing.mix_documents(docs.limit(0)).isEmpty()
 
 
+def test_an_odd_row_changes_only_its_own_cell(spark):
+    rng = random.Random(3)
+    rows = [(i, "word " * rng.choice([10, 100, 500]), rng.choice(["en", "en", "en", "de"]), rng.choice("aaab")) for i in range(4000)]
+    schema = "doc_id long, text string, lang string, source string"
+    plain = spark.createDataFrame(rows, schema)
+    kept = {r.doc_id for r in corpus_pipeline.mix(spark, plain, "").collect()}
+    odd = spark.createDataFrame([*rows, (5000, "one", None, None)], schema)
+    assert len(kept ^ ({r.doc_id for r in corpus_pipeline.mix(spark, odd, "").collect()} - {5000})) < 0.01 * len(kept)
+    mixed = mixing.mix_documents(spark.createDataFrame([*rows, (5000, "one", "en", "new")], schema), unmet=mixing.UNMET).collect()
+    assert len(kept ^ ({r.doc_id for r in mixed if r.kept} - {5000})) < 0.01 * len(kept)
+    assert all(0 < r.probability <= 1 for r in mixed)
+    expected = {d: Counter() for d in mixing.DIMENSIONS}
+    present = {d: Counter() for d in mixing.DIMENSIONS}
+    for r in mixed:
+        for d in mixing.DIMENSIONS:
+            expected[d][r[d]] += r.tokens * r.probability
+            present[d][r[d]] += r.tokens
+    for d in mixing.DIMENSIONS:
+        goal = {v: (n / sum(present[d].values())) ** mixing.TEMPER for v, n in present[d].items()}
+        scale = sum(expected[d].values()) / sum(goal.values())
+        for v, n in expected[d].items():
+            assert n == pytest.approx(min(goal[v] * scale, present[d][v]), rel=0.01)
+
+
 def test_toxicity_on_rows_held_out(spark):
     folder = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
