@@ -89,7 +89,7 @@ def _(spark, folder):
 @query("op8_sharding")
 def _(spark, folder):
     placed = sharding.shard_documents(table(spark, folder, "documents"))
-    return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+    return placed.drop("text").withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
 @query("op2_packing")

@@ -1,11 +1,15 @@
 """Chat formatting, exact dedup and sharding against plain Python."""
 
 import hashlib
+import re
+import zlib
 from collections import Counter, defaultdict
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from tallyfold.llm import chat, exact_dedup, sharding
+from tallyfold.llm.queries import QUERIES
 
 EVENTS = "conv_id long, slot long, seq long, kind string, role string, text string"
 
@@ -101,3 +105,36 @@ def test_few_rows_and_none(spark):
 def test_written_shards_hold_all_rows(spark, tmp_path):
     sharding.write_shards(documents(spark), f"{tmp_path}/shards", shards=3)
     assert spark.read.parquet(f"{tmp_path}/shards").count() == len(DOCS)
+
+
+def test_shards_hold_the_documents_in_order(spark, tmp_path):
+    rows = [(i * 7919 - 10**6, "x" * (i * i % 997), i) for i in range(3000)] + [(5, "hot", 0)] * 1500 + [(None, None, 0)]
+    docs = documents(spark, rows)
+    placed = sharding.shard_documents(docs, shards=7).collect()
+    wanted = sorted((-2**63 if i is None else i, t or "") for i, t, _ in rows)
+    by_slot = sorted(placed, key=lambda r: (r.shard, r.slot))
+    assert [(-2**63 if r.doc_id is None else r.doc_id, r.text or "") for r in by_slot] == wanted
+    assert all(r.size == 8 + len(r.text or "") and r.text_crc32 == zlib.crc32((r.text or "").encode()) for r in placed)
+    sharding.write_shards(docs, f"{tmp_path}/shards", shards=7)
+    written = spark.read.parquet(f"{tmp_path}/shards")
+    assert set(docs.columns) < set(written.columns)
+    read = sorted(written.collect(), key=lambda r: (r.shard, r.slot))
+    assert [(-2**63 if r.doc_id is None else r.doc_id, r.text or "") for r in read] == wanted
+    assert Counter(r.shard for r in read) == Counter(r.shard for r in placed)
+    for file in (tmp_path / "shards").glob("*/*.parquet"):
+        slots = pq.read_table(file, columns=["slot"], partitioning=None)["slot"].to_pylist()
+        assert slots == sorted(slots)
+
+
+def test_keys_far_off_leave_pieces_small(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "PIECE_ROWS", 64)
+    ids = [None, -5, 2**62, *range(65_000, 67_000)]
+    placed = sharding.keyed_documents(documents(spark, [(i, "x", 0) for i in ids])).withColumn("shard", F.lit(0))
+    digits = sharding._piece_digits(placed, 1)
+    sizes = placed.groupBy(sharding._piece_of(digits)).count().collect()
+    assert sum(r["count"] for r in sizes) == len(ids) and max(r["count"] for r in sizes) <= 64
+
+
+def test_the_query_moves_texts(spark, data_dir, plan_of):
+    plan = plan_of(QUERIES["op8_sharding"](spark, data_dir))
+    assert re.search(r"Exchange hashpartitioning\(shard.*\n.*Project \[.*\btext#", plan)
