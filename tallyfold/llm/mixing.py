@@ -2,8 +2,8 @@
 
 Documents are counted by cell: source, language and topic. The token weights of the
 cells are raked: in each round, the cells of every source are scaled so that the source gets
-its target, then those of every language, then of every topic, until all margins meet their
-targets. A document is then kept with the probability of its cell, raked weight over
+its target, then those of every language, then of every topic, for a fixed number of rounds; a
+margin that is then off its target is warned of. A document is then kept with the probability of its cell, raked weight over
 tokens present, on the one scale at which no cell needs more than it has. The expected
 tokens of the sample thus have the target margins.
 
@@ -106,9 +106,15 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
     """Cells with `weight`, whose margins meet the targets: iterative proportional fitting.
 
     Cells are as many as combinations of values that occur, however many documents
-    there are; they stay in Spark, and a step sorts them by one dimension.
+    there are; they stay in Spark, and a step sorts them by one dimension. If a margin is
+    off its target after these rounds, it is warned of.
     """
-    return _raked(cells, targets, rounds).select(*DIMENSIONS, "tokens", "weight")
+    raked = _raked(cells, targets, rounds)
+    goals = raked.withColumns({f"goal_{d}": F.col(f"target_{d}") for d in DIMENSIONS})
+    off = margin_error(goals, F.col("weight"))
+    if off > TOLERANCE:
+        warnings.warn(f"after {rounds} rounds a margin is {off:.2%} off its target", stacklevel=2)
+    return raked.select(*DIMENSIONS, "tokens", "weight")
 
 
 def calibrated(raked: DataFrame) -> DataFrame:
@@ -147,12 +153,16 @@ def _goal_scale(cells: DataFrame, dimension: str, total: float) -> float:
         scale = higher
 
 
-def margin_error(cells: DataFrame) -> float:
-    """The largest distance of a value's tokens from its goal, as a share of the goal."""
+def margin_error(cells: DataFrame, held: Column | None = None) -> float:
+    """The largest distance from its goal of what a value holds, as a share of the goal.
+
+    A cell holds its weight, but no more than it has, or `held`.
+    """
+    held = F.least("weight", "tokens") if held is None else held
     off = []
     for d in DIMENSIONS:
-        held = F.sum(F.least("weight", "tokens")).over(Window.partitionBy(d))
-        off.append(F.coalesce(F.try_divide(F.abs(held - F.col(f"goal_{d}")), F.col(f"goal_{d}")), F.lit(0.0)))
+        present = F.sum(held).over(Window.partitionBy(d))
+        off.append(F.coalesce(F.try_divide(F.abs(present - F.col(f"goal_{d}")), F.col(f"goal_{d}")), F.lit(0.0)))
     return cells.select(F.greatest(*off).alias("off")).agg(F.max("off")).first()[0] or 0.0
 
 

@@ -177,6 +177,19 @@ def test_raked_margins_meet_their_targets(spark):
     assert np.allclose(kinds, 1 / len(kinds), atol=1e-6)
 
 
+def test_contradicting_targets_are_told(spark):
+    cells = spark.createDataFrame([("a", "en", "note", 100), ("b", "de", "note", 100)], "source string, lang string, topic string, tokens long")
+    targets = {
+        "source": spark.createDataFrame([("a", 0.7), ("b", 0.3)], "source string, target double"),
+        "lang": spark.createDataFrame([("en", 0.3), ("de", 0.7)], "lang string, target double"),
+        "topic": spark.createDataFrame([("note", 1.0)], "topic string, target double"),
+    }
+    with pytest.warns(UserWarning, match="off its target"):
+        mixing.rake(cells, targets, rounds=2)
+    with pytest.warns(UserWarning, match="contradict"):
+        mixing.rake_within(cells, targets, rounds=2)
+
+
 def test_mixing_keeps_rows_and_draws_by_probability(spark):
     docs = mixed_documents(spark)
     rows = mixing.mix_documents(docs).collect()
