@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tallyfold.llm import (
     chat,
+    collocation,
+    divergence,
     exact_dedup,
     mixing,
     near_join,
@@ -15,6 +17,7 @@ from tallyfold.llm import (
     token_store,
     topk,
     toxicity,
+    urls,
     warc,
 )
 from tallyfold.session import scratch_path
@@ -155,3 +158,80 @@ def _(spark, folder):
     path = scratch_path(spark, "warc")
     warc.write_archives(table(spark, folder, "pages"), path)
     return warc.capture_pages(warc.read_captures(spark, path))
+
+
+# Fixed values of the two queries below: A-Z and their lower case.
+_LOWERED = f"translate(coalesce(text, ''), '{urls.UPPER}', '{urls.LOWER}')"
+
+
+@query("op11_collocations", rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWERED}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+grams AS ({" UNION ALL ".join(
+    f"SELECT lang, {k} AS k, unnest(list_transform(range(1, len(w) - {k} + 2), lambda s: array_to_string(w[s:s + {k} - 1], ' '))) AS phrase FROM words WHERE len(w) >= {k}"
+    for k in (1, 2, 3, 4))}),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30),
+candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS p FROM f WHERE k > 1),
+parted AS (SELECT *, unnest(range(1, k)) AS c FROM candidates),
+cuts AS (SELECT x.lang, x.k, x.phrase, x.a, x.p, x.c, l.f AS l, r.f AS r,
+           CAST(2000000::HUGEINT * x.a // (l.f + r.f) AS BIGINT) AS score
+  FROM parted x JOIN f l ON l.lang = x.lang AND l.phrase = array_to_string(x.p[1:x.c], ' ')
+    JOIN f r ON r.lang = x.lang AND r.phrase = array_to_string(x.p[x.c + 1:x.k], ' ')),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+inner_parts AS (
+  SELECT lang, a, array_to_string(p[s:s + z - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(range(1, k - z + 2)) AS s FROM (SELECT *, unnest(range(2, k)) AS z FROM candidates WHERE k > 2))),
+covered AS (SELECT lang, phrase, max(a) AS longer FROM inner_parts GROUP BY lang, phrase),
+best AS (SELECT o.*, row_number() OVER (PARTITION BY o.lang ORDER BY score DESC, a DESC, o.phrase) AS rank
+  FROM lowest o LEFT JOIN covered USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 80 * a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM best JOIN totals USING (lang) WHERE rank <= 2000""")
+def _(spark, folder):
+    return collocation.mine_collocations(table(spark, folder, "documents"))
+
+
+@query("op12_divergence", rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all({_LOWERED}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+o AS (SELECT i, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS whole FROM o GROUP BY lang, term HAVING count(DISTINCT i) >= 10),
+langs AS (SELECT lang, count(*) AS v, sum(whole) AS n FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+counts AS (SELECT lang, source, term, count(*) AS c FROM o JOIN kept USING (lang, term) GROUP BY ALL),
+sums AS (SELECT lang, source, sum(c) AS n FROM counts GROUP BY lang, source),
+cells AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c,
+         CAST(1 + 1000000000::HUGEINT * (coalesce(c.c, 0) + 2) // (coalesce(s.n, 0) + 2 * l.v) AS BIGINT) AS p,
+         CAST(1 + 1000000000::HUGEINT * (k.whole + 2) // (l.n + 2 * l.v) AS BIGINT) AS q
+  FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang)
+    LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+    LEFT JOIN sums s ON s.lang = g.lang AND s.source = g.source),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS BIGINT) AS value
+  FROM cells a JOIN cells b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+every AS (
+  SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(p.value, 0) AS value
+  FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+    LEFT JOIN pairs p ON p.lang = g.lang AND p.source = g.source AND p.item = h.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM cells WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM every QUALIFY part = 'pair' OR rank <= 10""")
+def _(spark, folder):
+    return divergence.audit_sources(table(spark, folder, "documents"))
+
+
+# Fixed values of the query: its rules.
+URL_RULES = (
+    urls.Rule("com", "/", "allow"), urls.Rule("example.com", "/en/", "block"), urls.Rule("www.example.com", "/en/", "allow"),
+    urls.Rule("net", "/es/", "block"), urls.Rule("net", "/fr/", "block"),
+)
+
+
+@query("op13_url_filter")
+def _(spark, folder):
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    model = urls.fit(urls.labels_by_rules(pages, URL_RULES))
+    return urls.judge_urls(pages, URL_RULES, model).select("page_id", "host", "path", "rule", "verdict", "score")
