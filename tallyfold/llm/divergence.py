@@ -31,7 +31,6 @@ repeated rows count each; an empty table gives no rows; other columns of the inp
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,8 +45,8 @@ LEAST_DOCS = 10
 TOP_TERMS = 10
 # Sources whose bitsets meet in one task.
 TILE = 256
-# Entries that a worker counts up before it hands them on.
-COUNTED = 200_000
+# Words that a worker counts up before it hands them on.
+COUNTED = 500_000
 # Bitsets of one side that are compared at a time with all of the other.
 STRIP = 512
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
@@ -55,6 +54,36 @@ TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
 
 
+def _lowered(term: str) -> str:
+    return term.lower() if term.isascii() else term.translate(LOWER)
+
+
+def _combined(terms: list[str], ends: list[int], groups: list[tuple[str, str]]) -> Iterator[pa.RecordBatch]:
+    """Rows of `term_counts` for some documents: their terms one after the other, where each ends, its group."""
+    numbers: dict[str, int] = {"": 0}
+    place = dict.fromkeys(terms)
+    for t in place:
+        place[t] = numbers.setdefault(_lowered(t), len(numbers))
+    term = np.fromiter(map(place.__getitem__, terms), np.int64, len(terms))
+    places: dict[tuple[str, str], int] = {}
+    group = np.array([places.setdefault(g, len(places)) for g in groups], np.int64)
+    doc = np.repeat(np.arange(len(ends)), np.diff([0, *ends]))
+    # The empty term is in every document once.
+    term, doc = np.append(term, np.zeros(len(ends), np.int64)), np.append(doc, np.arange(len(ends)))
+    width = len(numbers)
+    key, n = np.unique(group[doc] * width + term, return_counts=True)
+    once = np.unique(doc * width + term)
+    _, docs = np.unique(group[once // width] * width + once % width, return_counts=True)
+    names = [pa.array([g[i] for g in places], pa.string()) for i in (0, 1)]
+    known = pa.array(list(numbers), pa.string())
+    for at in range(0, len(key), 20_000):
+        some = key[at:at + 20_000]
+        yield pa.RecordBatch.from_arrays(
+            [*[x.take(pa.array(some // width)) for x in names], known.take(pa.array(some % width)),
+             pa.array(n[at:at + 20_000], pa.int64()), pa.array(docs[at:at + 20_000], pa.int64())],
+            names=["lang", "source", "term", "n", "docs"])
+
+
 def term_counts(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
     """Rows (lang, source, term, n, docs): occurrences, and documents with the term.
 
@@ -64,30 +93,16 @@ def term_counts(docs: DataFrame, lang: str = "lang", source: str = "source", tex
                           for c, a in ((lang, "lang"), (source, "source"), (text, "text"))])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, seen = {}, 0
-
-        def rows() -> Iterator[pa.RecordBatch]:
-            for (of_lang, of_source), (occurrences, documents) in n.items():
-                terms = list(occurrences)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([of_lang] * len(terms)), pa.array([of_source] * len(terms)), pa.array(terms),
-                     pa.array([occurrences[t] for t in terms], pa.int64()),
-                     pa.array([documents[t] for t in terms], pa.int64())],
-                    names=["lang", "source", "term", "n", "docs"])
-
+        terms, ends, groups = [], [], []
         for batch in batches:
-            for of_lang, of_source, words in zip(*[batch.column(i).to_pylist() for i in range(3)]):
-                found = Counter(TERM.findall(words.translate(LOWER)))
-                found[""] = 1
-                occurrences, documents = n.setdefault((of_lang, of_source), (Counter(), Counter()))
-                before = len(occurrences)
-                occurrences.update(found)
-                documents.update(found.keys())
-                seen += len(occurrences) - before
-                if seen >= COUNTED:
-                    yield from rows()
-                    n, seen = {}, 0
-        yield from rows()
+            for of_lang, of_source, words in zip(*batch.columns):
+                terms += TERM.findall(words.as_py())
+                ends.append(len(terms))
+                groups.append((of_lang.as_py(), of_source.as_py()))
+                if len(terms) + len(ends) >= COUNTED:
+                    yield from _combined(terms, ends, groups)
+                    terms, ends, groups = [], [], []
+        yield from _combined(terms, ends, groups)
 
     counted = plain.mapInArrow(count, "lang string, source string, term string, n bigint, docs bigint")
     return counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
