@@ -7,12 +7,13 @@ ROLLUP then sums them over ever shorter prefixes, which gives the occurrences of
 4, 3, 2 and 1 words, and of all words of a language, in one aggregation: no phrase length is
 exploded or counted by itself.
 
-Before that, windows are cut where no frequent phrase can go on. Pairs of neighbouring words
-are counted by hash, in a table of cells of which each holds many pairs. A cell that stays below
-`LEAST` proves that none of its pairs reaches it, hence no phrase that contains one; windows end
-there. Cells are summed in tasks that hold one range of cells at a time, and come to the workers as one
-bit each, at most `MOST_CELLS` bits. With more text than that is made for, more cells reach the
-limit and fewer windows are cut: the result is the same, as every phrase is counted from its windows.
+Before that, windows are cut where no frequent phrase can go on. What begins at a word is counted
+by hash, words and pairs first, then what these leave of longer phrases, in tables of cells of which
+each holds many. A cell that stays below `LEAST` proves that none of its phrases reaches it, hence no phrase
+that contains one; windows end there, and a window of a rare word is all padding, which only the language's total counts. Cells are
+summed in tasks that hold one range of cells at a time, and come to the workers as one bit each, at most
+`MOST_CELLS` bits for each number of words. With more text than that is made for, more cells reach the limit
+and fewer windows are cut: the result is the same, as every phrase is counted from its windows.
 
 A candidate is a phrase of 2 to 4 words with a >= `LEAST` occurrences. Cut after its first
 k words it scores floor(2,000,000 a / (l + r)), l and r being the occurrences of the two parts,
@@ -32,7 +33,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -47,8 +48,8 @@ ORDER = 4
 LEAST, SHARE, TOP = 30, 80, 2000
 UNKNOWN = "und"
 # Words that a worker counts up before it hands them on.
-BUFFER = 1_000_000
-# Cells for the pairs: one for so many characters, and between these bounds, as powers of two.
+BUFFER = 500_000
+# Cells of each number of words: one for so many characters, and between these bounds, as powers of two.
 CHARACTERS_PER_CELL, FEWEST_CELLS, MOST_CELLS = 24, 2**18, 2**26
 # Cells of one row of the exchange.
 RANGE = 2**14
@@ -61,61 +62,84 @@ WORDS = tuple(f"w{i}" for i in range(1, ORDER + 1))
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _Ids(defaultdict):
-    """Numbers words, lower-cased, by their first occurrence; what ends a piece is 0."""
+def _lowered(word: str) -> str:
+    return word.lower() if word.isascii() else word.translate(LOWER)
 
-    def __init__(self):
-        super().__init__(None, dict.fromkeys(ENDS, 0))
-        self.words = [None]
 
-    def __missing__(self, word: str) -> int:
-        lower = word.translate(LOWER)
-        if lower != word:
-            self[word] = number = self[lower]
-            return number
-        self[word] = number = len(self.words)
-        self.words.append(word)
-        return number
+def numbered(tokens: list[str]) -> tuple[list, np.ndarray]:
+    """The distinct words, lower-cased, by their numbers from 1 on, and the number of each token; a mark has 0."""
+    place = dict.fromkeys(tokens)
+    numbers = dict.fromkeys(ENDS, 0)
+    for token in place:
+        place[token] = numbers.setdefault(_lowered(token), len(numbers) - len(ENDS) + 1)
+    ids = np.fromiter(map(place.__getitem__, tokens), np.int32, len(tokens))
+    return [None, *list(numbers)[len(ENDS):]], ids
 
 
 def _buffers(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list, np.ndarray]]:
-    """Language, words by id and ids in text order, a piece's end being 0, of so many words at a time."""
-    held: dict[str, tuple[_Ids, list]] = {}
-    sizes: dict[str, int] = defaultdict(int)
-
-    def take(lang: str) -> tuple[str, list, np.ndarray]:
-        ids, parts = held.pop(lang)
-        sizes.pop(lang)
-        return lang, ids.words, np.concatenate(parts)
-
+    """Language, words by number and numbers in text order, a piece's end being 0, of so many words at a time."""
+    held: dict[str, list[str]] = defaultdict(list)
+    size = 0
     for batch in batches:
         for lang, text in zip(batch.column(0), batch.column(1)):
-            lang = lang.as_py()
-            if lang not in held:
-                held[lang] = (_Ids(), [])
-            ids, parts = held[lang]
-            found = TOKEN.findall(text.as_py())
-            parts.append(np.fromiter(map(ids.__getitem__, found), np.int32, len(found)))
-            parts.append(np.zeros(1, np.int32))
-            sizes[lang] += len(found) + 1
-            if sum(sizes.values()) >= BUFFER:
-                yield take(max(sizes, key=sizes.get))
+            tokens = held[lang.as_py()]
+            size -= len(tokens)
+            tokens += TOKEN.findall(text.as_py())
+            tokens.append("\n")
+            size += len(tokens)
+            if size >= BUFFER:
+                lang = max(held, key=lambda x: len(held[x]))
+                size -= len(held[lang])
+                yield lang, *numbered(held.pop(lang))
     for lang in list(held):
-        yield take(lang)
-
-
-def pair_cells(lang: str, words: list, ids: np.ndarray, cells: int) -> np.ndarray:
-    """The cell of the pair that begins at each place; a place whose pair a piece's end breaks has none (-1)."""
-    known = np.array([hash_of(lang, w) for w in words], np.uint64)
-    first, second = known[ids[:-1]], known[ids[1:]]
-    mixed = (first * SPREAD) ^ (second + (first >> np.uint64(31)))
-    mixed = (mixed ^ (mixed >> np.uint64(32))) * SPREAD
-    cell = ((mixed >> np.uint64(32)) % np.uint64(cells)).astype(np.int64)
-    return np.append(np.where((ids[:-1] > 0) & (ids[1:] > 0), cell, -1), -1)
-
-
-def hash_of(lang: str, word: str | None) -> int:
-    return 0 if word is None else xxhash.xxh64_intdigest(f"{lang} {word}".encode("utf-8", "surrogatepass"))
+        yield lang, *numbered(held.pop(lang))
+
+
+def prefix_hashes(lang: str, words: list, ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For 1 word, 2 words and so on to `ORDER`: the hash of the words that begin at each place, and whether no end breaks them."""
+    seed = xxhash.xxh32_intdigest(lang)
+    known = np.array([0, *[xxhash.xxh64_intdigest(w, seed) for w in words[1:]]], np.uint64)
+    whole, mixed = ids > 0, known[ids]
+    for step in range(ORDER):
+        if step:
+            later = np.zeros_like(ids)
+            later[:-step] = ids[step:]
+            whole = whole & (later > 0)
+            mixed = (mixed ^ (mixed >> np.uint64(29))) * SPREAD + known[later]
+        yield mixed, whole
+
+
+def cells_of(hashes: np.ndarray, cells: int) -> np.ndarray:
+    mixed = (hashes ^ (hashes >> np.uint64(32))) * SPREAD
+    return ((mixed >> np.uint64(20)) % np.uint64(cells)).astype(np.uint32)
+
+
+class Filter:
+    """A bit for each cell, by the number of words a phrase has: whether the cell's phrases reach the limit together."""
+
+    def __init__(self, cells: int, bits: dict[int, bytes]):
+        self.cells = cells
+        self.bits = {order: np.frombuffer(b, np.uint8) for order, b in bits.items()}
+
+    def may_be_frequent(self, order: int, hashes: np.ndarray) -> np.ndarray:
+        if order not in self.bits:
+            return np.ones(len(hashes), bool)
+        cell = cells_of(hashes, self.cells)
+        return ((self.bits[order][cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1).astype(bool)
+
+    def prefixes(self, lang: str, words: list, ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """As `prefix_hashes`, each with whether all that the phrase contains may be frequent."""
+        last = None
+        for order, (hashes, whole) in enumerate(prefix_hashes(lang, words, ids), 1):
+            good = whole
+            if last is not None:
+                # What begins one place later, of one word less, must go on as well.
+                good = good & last & np.append(last[1:], False)
+            places = np.flatnonzero(good)
+            good = np.zeros(len(ids), bool)
+            good[places[self.may_be_frequent(order, hashes[places])]] = True
+            last = good
+            yield hashes, good
 
 
 def plain_texts(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
@@ -129,76 +153,87 @@ def cells_for(texts: DataFrame) -> int:
     return int(np.clip(2 ** int(size // CHARACTERS_PER_CELL).bit_length(), FEWEST_CELLS, MOST_CELLS))
 
 
-def frequent_cells(texts: DataFrame, cells: int, least: int = LEAST) -> np.ndarray:
-    """A bit for each cell: whether the pairs in it occur `least` times together.
+def frequent_cells(texts: DataFrame, known: Filter, orders: Sequence[int], least: int = LEAST) -> dict[int, bytes]:
+    """Bits for phrases of these numbers of words: whether those of a cell occur `least` times together.
 
-    A task counts up to `least` in one byte per cell (four where it is over 255). Rows of the exchange hold the cells of a range that are
-    not zero; after it, a task reads them range by range, so memory is one range whatever their number.
+    Phrases that the bits known before rule out are not counted. A task counts up to `least` in one byte per
+    cell (four where it is over 255). Rows of the exchange hold the cells of a range that are not zero;
+    after it, a task reads them range by range, so memory is one range whatever their number.
     """
+    cells = known.cells
     width = min(RANGE, cells)
     kind = np.uint8 if least < 2**8 else np.uint32
+    bits = texts.sparkSession.sparkContext.broadcast({o: b.tobytes() for o, b in known.bits.items()})
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(cells, kind)
-        for lang, words, ids in _buffers(batches):
-            found = pair_cells(lang, words, ids, cells)
-            cell, n = np.unique(found[found >= 0], return_counts=True)
-            counts[cell] = np.minimum(counts[cell] + np.minimum(n, least), least)
-        for at in np.flatnonzero(counts.reshape(-1, width).any(axis=1)):
-            part = counts[at * width:(at + 1) * width]
-            place = np.flatnonzero(part)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([at], pa.int64()), pa.array([place.astype("<u2").tobytes()], pa.binary()),
-                 pa.array([part[place].tobytes()], pa.binary())], names=["range", "places", "sizes"])
+        rule = Filter(cells, bits.value)
+        counts = {order: np.zeros(cells, kind) for order in orders}
+        for buffer in _buffers(batches):
+            for order, (hashes, good) in zip(range(1, max(orders) + 1), rule.prefixes(*buffer)):
+                if order in counts:
+                    cell, n = np.unique(cells_of(hashes[good], cells), return_counts=True)
+                    counts[order][cell] = np.minimum(counts[order][cell] + np.minimum(n, least), least)
+        for order, of_order in counts.items():
+            for at in np.flatnonzero(of_order.reshape(-1, width).any(axis=1)):
+                part = of_order[at * width:(at + 1) * width]
+                place = np.flatnonzero(part)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([order], pa.int32()), pa.array([at], pa.int64()),
+                     pa.array([place.astype("<u2").tobytes()], pa.binary()), pa.array([part[place].tobytes()], pa.binary())],
+                    names=["words", "range", "places", "sizes"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, total = None, None
 
         def done() -> pa.RecordBatch:
-            bits = np.packbits(total >= least).tobytes()
-            return pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([bits], pa.binary())],
-                                              names=["range", "bits"])
+            return pa.RecordBatch.from_arrays(
+                [pa.array([at[0]], pa.int32()), pa.array([at[1]], pa.int64()),
+                 pa.array([np.packbits(total >= least).tobytes()], pa.binary())], names=["words", "range", "bits"])
 
         for batch in batches:
-            for r, p, s in zip(*[batch.column(i).to_pylist() for i in range(3)]):
-                if r != at:
+            for order, r, p, s in zip(*[batch.column(i).to_pylist() for i in range(4)]):
+                if (order, r) != at:
                     if at is not None:
                         yield done()
-                    at, total = r, np.zeros(width, np.int64)
+                    at, total = (order, r), np.zeros(width, np.int64)
                 place = np.frombuffer(p, "<u2")
                 total[place] = np.minimum(total[place] + np.frombuffer(s, kind), least)
         if at is not None:
             yield done()
 
-    counted = texts.mapInArrow(count, "range bigint, places binary, sizes binary")
-    dealt = counted.repartition("range").sortWithinPartitions("range")
-    # One bit per cell reaches the driver: 8 MB at most.
-    bits = np.zeros((cells // width, width), bool)
-    for row in dealt.mapInArrow(add, "range bigint, bits binary").collect():
-        bits[row["range"]] = np.unpackbits(np.frombuffer(row["bits"], np.uint8))[:width]
-    return bits.reshape(-1)
+    counted = texts.mapInArrow(count, "words int, range bigint, places binary, sizes binary")
+    dealt = counted.repartition("words", "range").sortWithinPartitions("words", "range")
+    # One bit per cell reaches the driver: 8 MB at most for each number of words.
+    found = {order: np.zeros((cells // width, width // 8), np.uint8) for order in orders}
+    for row in dealt.mapInArrow(add, "words int, range bigint, bits binary").collect():
+        found[row["words"]][row["range"]] = np.frombuffer(row["bits"], np.uint8)
+    return {order: b.tobytes() for order, b in found.items()}
+
 
+def phrase_filter(texts: DataFrame, least: int = LEAST) -> Filter:
+    """What can be frequent: first by words and pairs, then by the longer phrases that these leave."""
+    cells, bits = cells_for(texts), {}
+    for orders in ((1, 2), range(3, ORDER + 1)):
+        bits |= frequent_cells(texts, Filter(cells, bits), orders, least)
+    return Filter(cells, bits)
 
-def windows(texts: DataFrame, cells: int, frequent: np.ndarray) -> DataFrame:
+
+def windows(texts: DataFrame, known: Filter) -> DataFrame:
     """Rows (lang, w1 to w4, n): the longest windows, padded with nulls where they are cut, with how often they occur."""
-    bits = texts.sparkSession.sparkContext.broadcast(np.packbits(frequent).tobytes())
+    cells = known.cells
+    bits = texts.sparkSession.sparkContext.broadcast({o: b.tobytes() for o, b in known.bits.items()})
     names = ["lang", *WORDS, "n"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed = np.frombuffer(bits.value, np.uint8)
+        rule = Filter(cells, bits.value)
         for lang, words, ids in _buffers(batches):
-            cell = pair_cells(lang, words, ids, cells)
-            goes_on = (cell >= 0) & ((packed[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1).astype(bool)
-            columns, open_ = [ids], goes_on
-            for step in range(1, ORDER):
-                later = np.zeros_like(ids)
-                later[:-step] = ids[step:]
-                columns.append(np.where(open_, later, 0))
-                shifted = np.zeros_like(goes_on)
-                shifted[:-step] = goes_on[step:]
-                open_ = open_ & shifted
             begins = ids > 0
-            first, last = ((columns[i][begins].astype(np.int64) << 32) | columns[i + 1][begins] for i in (0, 2))
+            columns = []
+            for step, (_, good) in enumerate(rule.prefixes(lang, words, ids)):
+                later = np.zeros_like(ids)
+                later[:len(ids) - step] = ids[step:]
+                columns.append(np.where(good, later, 0)[begins])
+            first, last = ((columns[i].astype(np.int64) << 32) | columns[i + 1] for i in (0, 2))
             order = np.lexsort((last, first))
             first, last = first[order], last[order]
             starts = np.flatnonzero(np.append(True, (first[1:] != first[:-1]) | (last[1:] != last[:-1])))[:len(first)]
@@ -219,18 +254,17 @@ def windows(texts: DataFrame, cells: int, frequent: np.ndarray) -> DataFrame:
 def phrase_counts(docs: DataFrame, least: int = LEAST, lang: str = "lang", text: str = "text") -> DataFrame:
     """Rows (lang, words, phrase, f) of all phrases of up to `ORDER` words with f >= `least`; words 0: all of the language."""
     texts = plain_texts(docs, lang, text)
-    cells = cells_for(texts)
-    counted = windows(texts, cells, frequent_cells(texts, cells, least))
+    counted = windows(texts, phrase_filter(texts, least)).groupBy("lang", *WORDS).agg(F.sum("n").alias("n"))
     rolled = counted.rollup("lang", *WORDS).agg(F.sum("n").alias("f"), F.grouping_id().alias("rolled"))
     # The lowest bits of the grouping number are ones for the words that are rolled up.
-    kept = F.lit(False)
-    words = F.lit(0)
+    whole, words = F.lit(False), F.lit(0)
     for size in range(ORDER + 1):
         here = F.col("rolled") == 2 ** (ORDER - size) - 1
-        ends = F.col(WORDS[size - 1]).isNotNull() & (F.col("f") >= least) if size else F.lit(True)
-        kept = kept | (here & ends)
+        whole = whole | (here & F.col(WORDS[size - 1]).isNotNull() if size else here)
         words = F.when(here, F.lit(size)).otherwise(words)
-    return rolled.where(kept).select("lang", words.alias("words"), F.concat_ws(" ", *WORDS).alias("phrase"), "f")
+    # Prefixes that end in padding are dropped by their columns alone, which Spark does before it sums.
+    found = rolled.where(whole).select("lang", words.alias("words"), F.concat_ws(" ", *WORDS).alias("phrase"), "f")
+    return found.where((F.col("words") == 0) | (F.col("f") >= least))
 
 
 def _quotient(above: Column, below: Column) -> Column:
