@@ -6,12 +6,14 @@ words' vectors, each distinct word once, and a linear softmax over two classes s
 trained together on passages that carry their document's label, so an unseen misspelling is
 scored by the n-grams it shares. A few words among hundreds would vanish in the mean
 of a whole text, hence a text's evidence is the mean logit of the highest `TOP` of its
-passages, all of which are scored; a logistic curve fitted to the training documents
-turns it into the score.
+passages, all of which are scored; a text of more than `SECTION` passages has the evidence of its
+worst section of that length, so a toxic part is not averaged away however long the text around it.
+A logistic curve fitted to the training documents turns evidence into the score.
 
 Only text is an input. The model is fitted on the driver on a bounded sample of labelled
-rows: those that `held_out` does not name, by hash of the id at most `MOST_TOXIC` toxic and
-`MOST_CLEAN` clean ones, of at most `LONGEST` characters each. Scoring reads every row and whole
+rows: of those that `held_out` does not name and of at most `LONGEST` characters, the `MOST_TOXIC` toxic and
+`MOST_CLEAN` clean ones with the smallest hash of the id. The executors cut their texts and hash their
+n-grams; what reaches the driver are arrays of numbers. Scoring reads every row and whole
 text; the trained model is a table of fixed size.
 
 Defined cases: a null or empty text, or one without words, gets the score of the bias; labels
@@ -25,22 +27,26 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
+from tallyfold.session import materialise
+
 MOST_TOXIC, MOST_CLEAN, LONGEST = 3_000, 6_000, 40_000
-PASSAGE, TOP = 16, 1 / 8
+PASSAGE, TOP, SECTION = 16, 1 / 8, 32
 BUCKETS, DIMENSIONS = 2**19, 4
 EPOCHS, RATE, DECAY, SEED = 100, 0.1, 1e-7, 7
 FOLDS = 5
 KEPT_WORDS = 300_000
+# Parts of the labelled rows that are ranked side by side before the last ranking.
+PARTS = 64
 # Words longer than this are not kept in the worker's table.
 LONG_WORD = 64
 _WORDS = re.compile(r"[^\W_]+")
@@ -70,9 +76,18 @@ def features(word: str) -> list[int]:
 
 
 def evidence(logits: np.ndarray) -> float:
-    """Mean of the highest share of a text's passage logits, of one passage at least."""
-    top = max(1, round(len(logits) * TOP))
-    return float(np.sort(logits)[-top:].mean())
+    """Mean of the highest share of the passage logits, one at least, of the text or of its worst section.
+
+    Sections of a long text begin at every half section, and one ends with the text.
+    """
+    n = len(logits)
+    if n <= SECTION:
+        sections = logits[None, :]
+    else:
+        every = np.lib.stride_tricks.sliding_window_view(logits, SECTION)
+        sections = every[np.unique([*range(0, n - SECTION + 1, SECTION // 2), n - SECTION])]
+    top = max(1, round(sections.shape[1] * TOP))
+    return float(np.sort(sections, axis=1)[:, -top:].mean(axis=1).max())
 
 
 @dataclass
@@ -125,23 +140,61 @@ def _adam(parts: dict[str, np.ndarray], steps: int, rate: float, slopes_of) -> N
             parts[k] -= rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-10)
 
 
-def train(texts: list[str], labels: list[int]) -> Model:
+@dataclass
+class Sample:
+    """Training texts as numbers, in text order.
+
+    `words` holds the words of all passages, as places in the table of distinct words, `sizes` the number of
+    words of each passage, `passages` the number of passages of each text. `grams` holds the
+    buckets of the distinct words one after the other and `ends` where each word's begin and end.
+    """
+
+    words: np.ndarray
+    sizes: np.ndarray
+    passages: np.ndarray
+    labels: np.ndarray
+    grams: np.ndarray
+    ends: np.ndarray
+
+
+def word_hash(word: str) -> int:
+    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+
+
+def encoded(text: str | None) -> tuple[bytes, bytes, list[str]]:
+    """The hashes of a text's words by passage, the passages' sizes, and the words."""
+    passages = passages_of(text)
+    words = [w for p in passages for w in p]
+    hashes = np.fromiter(map(word_hash, words), np.uint64, len(words))
+    return hashes.tobytes(), np.array([len(p) for p in passages], np.int32).tobytes(), words
+
+
+def sample_of(rows: list[tuple[bytes, bytes, int]], hashes: np.ndarray, grams: list[bytes]) -> Sample:
+    """The sample of encoded texts (hashes, sizes, label), given the sorted hashes of their words and each one's buckets."""
+    words = np.concatenate([np.searchsorted(hashes, np.frombuffer(r[0], np.uint64)).astype(np.int32) for r in rows])
+    ends = np.append(0, np.cumsum([len(g) // 4 for g in grams])).astype(np.int64)
+    return Sample(words, np.frombuffer(b"".join(r[1] for r in rows), np.int32),
+                  np.array([len(r[1]) // 4 for r in rows]), np.array([r[2] for r in rows], np.float64),
+                  np.frombuffer(b"".join(grams), np.int32), ends)
+
+
+def sample_from_texts(texts: list[str], labels: list[int]) -> Sample:
+    """The sample made here, for texts that are at hand."""
+    rows, known = [], {}
+    for text, label in zip(texts, labels):
+        hashes, sizes, words = encoded(text)
+        known |= {word_hash(w): np.array(features(w), np.int32).tobytes() for w in words}
+        rows.append((hashes, sizes, label))
+    order = sorted(known)
+    return sample_of(rows, np.array(order, np.uint64), [known[h] for h in order])
+
+
+def train(sample: Sample) -> Model:
     """Full-batch descent on the cross-entropy of the softmax over passages, then of the curve over texts."""
-    numbers: dict[str, int] = {}
-    word, passage, text_of = array("i"), array("i"), array("i")
-    for d, text in enumerate(texts):
-        for words in passages_of(text):
-            word.extend(numbers.setdefault(w, len(numbers)) for w in words)
-            passage.extend([len(text_of)] * len(words))
-            text_of.append(d)
-    word, passage = np.array(word, np.int32), np.array(passage, np.int32)
-    text_of = np.array(text_of)
-    y, by_text = np.array(labels, np.float64)[text_of], np.array(labels, np.float64)
-    grams, ends = array("i"), array("q", [0])
-    for w in numbers:
-        grams.extend(features(w))
-        ends.append(len(grams))
-    gram, starts, sizes = np.array(grams, np.int32), np.array(ends[:-1], np.int64), np.diff(ends)
+    word, gram, starts, sizes = sample.words, sample.grams, sample.ends[:-1], np.diff(sample.ends)
+    passage = np.repeat(np.arange(len(sample.sizes), dtype=np.int32), sample.sizes)
+    text_of = np.repeat(np.arange(len(sample.passages)), sample.passages)
+    y, by_text = sample.labels[text_of], sample.labels
 
     def logits(parts):
         across = parts["weights"][:, 1] - parts["weights"][:, 0]
@@ -165,7 +218,7 @@ def train(texts: list[str], labels: list[int]) -> Model:
     _adam(parts, EPOCHS, RATE, slopes)
 
     found = logits(parts)
-    edges = np.searchsorted(text_of, np.arange(len(texts) + 1))
+    edges = np.searchsorted(text_of, np.arange(len(by_text) + 1))
     offset = parts["bias"][1] - parts["bias"][0]
     x = np.array([evidence(found[a:b]) if b > a else offset for a, b in zip(edges, edges[1:])])
     middle, spread = x.mean(), x.std() or 1.0
@@ -180,24 +233,66 @@ def train(texts: list[str], labels: list[int]) -> Model:
     return Model(**parts, slope=slope, shift=float(line["line"][1] - slope * middle))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text",
-                    label: str = "toxic") -> tuple[list[str], list[int]]:
-    """A bounded sample of labelled training rows, in the order of their ids."""
-    usable = labels.where(F.col(label).isin(0, 1) & ~held_out(id)).select(id, label)
-    counts = dict(usable.groupBy(label).count().collect())
-    shares = [(kind, max(1, math.ceil(counts.get(kind, 0) / most))) for kind, most in ((0, MOST_CLEAN), (1, MOST_TOXIC))]
-    drawn = [usable.where((F.col(label) == kind) & (F.pmod(F.xxhash64(id), F.lit(share)) == 0)).limit(2 * MOST_CLEAN)
-             for kind, share in shares]
-    # Bounded by the limits above, whatever the size of the tables.
-    chosen = F.broadcast(drawn[0].unionByName(drawn[1]).select(F.col(id).alias("__id"), F.col(label).alias("__label")))
+def training_rows(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text",
+                  label: str = "toxic") -> DataFrame:
+    """The labelled training rows (id, text, label), at most the bounds of each label, by smallest hash of the id."""
+    kind = F.col(label).cast("int")
+    usable = labels.where(kind.isin(0, 1) & ~held_out(id)).select(F.col(id).alias("__id"), kind.alias("__label"))
+    usable = usable.withColumn("__hash", F.xxhash64("__id"))
+    for keys in (["__label", F.pmod("__hash", F.lit(PARTS))], ["__label"]):
+        first = Window.partitionBy(*keys).orderBy("__hash", "__id")
+        usable = usable.withColumn("__place", F.row_number().over(first)).where(F.col("__place") <= MOST_CLEAN)
+    bound = F.when(F.col("__label") == 1, F.lit(MOST_TOXIC)).otherwise(F.lit(MOST_CLEAN))
+    # Bounded by the places, whatever the size of the tables.
+    chosen = F.broadcast(usable.where(F.col("__place") <= bound).select("__id", "__label"))
     rows = docs.where(F.length(text) <= LONGEST).join(chosen, F.col(id) == F.col("__id"))
-    found = sorted(rows.select(id, text, "__label").limit(4 * MOST_CLEAN).collect())
-    return [r[1] for r in found], [r[2] for r in found]
+    return rows.select("__id", F.col(text).alias("__text"), "__label")
+
+
+def training_sample(docs: DataFrame, labels: DataFrame, **names: str) -> Sample | None:
+    """The training rows as numbers; None without rows of both labels.
+
+    Rows with the same id are all of the sample if there are few, so they are bounded once more
+    by the number of rows.
+    """
+    rows = training_rows(docs, labels, **names)
+    by_id = rows.orderBy("__id", "__text", "__label").limit(MOST_TOXIC + MOST_CLEAN)
+    held = materialise(by_id.select("__id", "__text", "__label"), "toxicity-sample")
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [encoded(t.as_py())[:2] for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).cast(pa.string()), pa.array([f[0] for f in found], pa.binary()),
+                 pa.array([f[1] for f in found], pa.binary()), batch.column(2).cast(pa.int32())],
+                names=["id", "words", "sizes", "label"])
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            known = {w: None for t in batch.column(1) for w in words_of(t.as_py())}
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.fromiter(map(word_hash, known), np.uint64, len(known)).astype(np.int64)),
+                 pa.array([np.array(features(w), np.int32).tobytes() for w in known], pa.binary())],
+                names=["hash", "grams"])
+
+    table = held.mapInArrow(encode, "id string, words binary, sizes binary, label int").orderBy(
+        "id", "words", "label").toArrow()
+    marks = table["label"].to_pylist()
+    if not 0 < sum(marks) < len(marks):
+        return None
+    rows = list(zip(table["words"].to_pylist(), table["sizes"].to_pylist(), marks))
+    del table
+    words = held.mapInArrow(spell, "hash bigint, grams binary").groupBy("hash").agg(F.min("grams").alias("grams")).toArrow()
+    hashes = words["hash"].to_numpy().astype(np.uint64)
+    order = np.argsort(hashes)
+    spelled = words["grams"].take(pa.array(order)).to_pylist()
+    del words
+    return sample_of(rows, hashes[order], spelled)
 
 
 def fit(docs: DataFrame, labels: DataFrame, **names: str) -> Model | None:
-    texts, marks = training_sample(docs, labels, **names)
-    return train(texts, marks) if 0 < sum(marks) < len(marks) else None
+    sample = training_sample(docs, labels, **names)
+    return train(sample) if sample else None
 
 
 def score_toxicity(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
