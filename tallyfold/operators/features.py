@@ -78,6 +78,52 @@ def listed(vocabulary: DataFrame, widest: int = WIDEST) -> list[str] | None:
     return [row["value"] for row in rows] if len(rows) <= widest else None
 
 
+def few_values(values: DataFrame, widest: int = WIDEST) -> list[str] | None:
+    """The distinct values of a frame's column `value` in order, or None if they are more than make columns.
+
+    One job, which stops at one value more; no vocabulary is written for columns that need none.
+    """
+    rows = values.select("value").distinct().limit(widest + 1).collect()
+    return sorted(r["value"] for r in rows) if len(rows) <= widest else None
+
+
+def label_indicators(frame: DataFrame, column: str, key: Sequence[str], separator: str = "|",
+                     prefix: str = "", without: Collection[str] = (), widest: int = WIDEST) -> DataFrame:
+    """One 0/1 column per label of a delimited list; more labels than `widest` go into one sparse vector instead.
+
+    The vector is `<column>_vector`, see `indicator_vector`; `key` identifies a row for it. Labels named
+    in `without` have no column or entry.
+    """
+    labels = frame.select(F.explode(_labels(column, separator)).alias("value")).where("value <> ''")
+    labels = labels.where(~F.col("value").isin(*without)) if without else labels
+    found = few_values(labels, widest)
+    if found is not None:
+        return add_label_indicators(frame, column, found, separator, prefix)
+    return indicator_vector(frame, column, _numbered(labels.distinct()), key, separator)
+
+
+def one_hot_columns(frame: DataFrame, columns: Sequence[str], key: Sequence[str], drop_first: bool = True,
+                    widest: int = WIDEST) -> DataFrame:
+    """Replace each column by 0/1 columns, or by a sparse vector `<column>_vector` if it has more values than `widest`.
+
+    The first value is left out either way, so all zeros or no entry stand for it. All values are found in one job.
+    """
+    counts = value_counts(frame, columns).select("column", "value")
+    ranked = counts.withColumn("place", F.row_number().over(Window.partitionBy("column").orderBy("value")))
+    found: dict[str, list[str]] = {c: [] for c in columns}
+    # The limit lets Spark drop what is beyond it before the shuffle.
+    for row in ranked.where(F.col("place") <= widest + 1).collect():
+        found[row["column"]].append(row["value"])
+    for column, values in found.items():
+        if len(values) <= widest:
+            frame = one_hot(frame, column, sorted(values), drop_first)
+        else:
+            own = counts.where(F.col("column") == column).select("value")
+            own = own.where(F.col("value") > min(values)) if drop_first else own
+            frame = indicator_vector(frame, column, _numbered(own), key).drop(column)
+    return frame
+
+
 def indicator_vector(
     frame: DataFrame, column: str, vocabulary: DataFrame, key: Sequence[str],
     separator: str | None = None, name: str | None = None,

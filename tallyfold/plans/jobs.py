@@ -26,11 +26,12 @@ def build_master_flights(catalog: Catalog, compression: str = "snappy", **column
 
 
 def train_and_score_movies(catalog: Catalog, train_share: float = 0.7, seed: int = 123) -> PipelineModel:
-    """Train the score's forest on one part of the movies, score the other and save the scores."""
+    """Train the score's forest on one part of the movies, score the other and save title, score and prediction."""
     table = movies.regression_features(
         catalog.load("movies_before"), catalog.load("movies_after"), extra_keys=(movies.TITLE,))
     train, validation = split_by_key(table, [movies.TITLE], train_share, seed)
     features = [c for c in table.columns if c not in (movies.TITLE, movies.SCORE)]
     model = models.fit_forest_regressor(train, movies.SCORE, features)
-    catalog.save(models.score_numbers(model, validation), "movie_scores")
+    scored = models.score_numbers(model, validation).select(movies.TITLE, movies.SCORE, "prediction")
+    catalog.save(scored, "movie_scores")
     return model

@@ -8,15 +8,21 @@ from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StringIndexerModel, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.functions.numeric import round_half_even
+from tallyfold.plans.trees import Tree, votes
 
 # Sizes of the forests.
 REGRESSION_FOREST = {"numTrees": 100, "maxDepth": 10, "minInstancesPerNode": 1}
 CLASSIFICATION_FOREST = {"numTrees": 100, "maxDepth": 4, "minInstancesPerNode": 5}
+MOST_LEAVES = 8
+PENALTY = 0.01
+# A fit ends when a step changes the loss by less than this share.
+NARROW = 1e-8
 
 
 def _assembler(columns: Sequence[str]) -> VectorAssembler:
@@ -72,11 +78,11 @@ def fit_forest_classifier(
 
 def fit_logistic_regression(
     train: DataFrame, label: str, features: Sequence[str], labels: Sequence[str],
-    penalty: float = 0.01, iterations: int = 100,
+    penalty: float = PENALTY, iterations: int = 100,
 ) -> PipelineModel:
     """Multinomial logistic regression without intercept."""
     model = LogisticRegression(
-        family="multinomial", fitIntercept=False, regParam=penalty, maxIter=iterations
+        family="multinomial", fitIntercept=False, regParam=penalty, maxIter=iterations, tol=NARROW,
     )
     return _fit_classifier(model, train, label, features, labels)
 
@@ -93,6 +99,15 @@ def score_labels(model: PipelineModel, frame: DataFrame) -> DataFrame:
     return model.transform(frame).drop(*helpers)
 
 
+def votes_differ(model: PipelineModel, trees: Sequence[Tree], frame: DataFrame, features: Sequence[str]) -> float:
+    """The largest distance between a forest's votes and those of its trees as column expressions, over all rows."""
+    classes = model.stages[1].numClasses
+    voted = frame.withColumn("__compiled", votes(trees, features, classes))
+    both = PipelineModel(stages=model.stages[:2]).transform(voted).withColumn("__model", vector_to_array("probability"))
+    apart = [F.abs(F.col("__compiled")[k] - F.col("__model")[k]) for k in range(classes)]
+    return both.agg(F.max(F.greatest(*apart))).first()[0] or 0.0
+
+
 def confusion(scored: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
     """Rows per pair of true and predicted label."""
     pairs = scored.groupBy(F.col(label).alias("label"), F.col(prediction).alias("predicted"))

@@ -8,15 +8,13 @@ from pyspark.sql import types as T
 
 from tallyfold.functions.numeric import bins
 from tallyfold.operators.features import (
-    add_label_indicators,
-    category_values,
     impute,
     keep_most_frequent,
-    label_vocabulary,
+    label_indicators,
     learn_fill_values,
     learn_scale,
-    listed,
     one_hot,
+    one_hot_columns,
     recode,
     standardise,
 )
@@ -63,14 +61,6 @@ def typed(frame: DataFrame) -> DataFrame:
     return cast_columns(frame, {T.DoubleType(): [c for c in known if c in frame.columns]})
 
 
-def genre_names(movies: DataFrame) -> list[str]:
-    """The genres that occur; each becomes a feature column."""
-    names = listed(label_vocabulary(movies, "genres"))
-    if names is None:
-        raise ValueError("more genres than feature columns make sense for; use indicator_vector")
-    return names
-
-
 def regression_features(
     before: DataFrame, after: DataFrame, extra_keys: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -88,7 +78,7 @@ def regression_features(
         "language": recode(F.col("language"), {"English": ("English",)}, "Other"),
     })
     movies = drop_columns(movies, ["content_rating"])
-    movies = add_label_indicators(movies, "genres", genre_names(movies))
+    movies = label_indicators(movies, "genres", key=[TITLE])
     movies = drop_columns(movies, ["genres"])
     movies = impute(movies, learn_fill_values(movies, median_columns=NUMBERS))
     # The groups are fixed, so the columns do not depend on which of them the data has.
@@ -111,14 +101,12 @@ def classification_features(
     after = impute(after, learn_fill_values(after, median_columns=after_numbers))
     before = drop_columns(before, (*ACTOR_LIKES, "language"))
     before = keep_most_frequent(before, KEPT_VALUES)
-    genres = [g for g in genre_names(before) if g != UNUSED_GENRE]
-    before = drop_columns(add_label_indicators(before.distinct(), "genres", genres), ["genres"])
+    before = label_indicators(before.distinct(), "genres", key=[TITLE], without=(UNUSED_GENRE,))
+    before = drop_columns(before, ["genres"])
     movies = keyed_join(before, after.distinct(), [TITLE])
     movies = drop_columns(movies, (*PEOPLE, *AFTER_ONLY, *({TITLE} - set(extra_keys))))
     movies = materialise(movies, "movies")
     movies = standardise(movies, learn_scale(movies, NUMBERS))
-    # At most the values kept above, and `Other`.
-    for column, values in category_values(movies, list(KEPT_VALUES)).items():
-        movies = one_hot(movies, column, listed(values))
+    movies = one_hot_columns(movies, list(KEPT_VALUES), key=[TITLE])
     binned = movies.withColumn("imdb_score_bins", bins(F.col(SCORE), SCORE_EDGES, SCORE_BINS))
     return drop_columns(binned, [SCORE])

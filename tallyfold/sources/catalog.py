@@ -66,7 +66,7 @@ def movie_catalog(source_dir: str, target_dir: str) -> dict[str, DataLink]:
     return {
         "movies_before": DataLink("csv", f"{source_dir}/movies_before", TEXT_OPTIONS),
         "movies_after": DataLink("csv", f"{source_dir}/movies_after", TEXT_OPTIONS),
-        "movie_scores": DataLink("parquet", f"{target_dir}/movie_scores"),
+        "movie_scores": DataLink("json", f"{target_dir}/movie_scores"),
     }
 
 

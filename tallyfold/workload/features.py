@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 from tallyfold.functions.numeric import bins, round_half_even
 from tallyfold.operators import features
 from tallyfold.operators.aggregates import modes
-from tallyfold.plans import models, movies
+from tallyfold.plans import certificates, models, movies, trees
+from tallyfold.plans.jobs import train_and_score_movies
+from tallyfold.session import scratch_path
+from tallyfold.sources.catalog import Catalog, movie_catalog
 from tallyfold.workload import raw
 from tallyfold.workload.registry import query
 
@@ -45,8 +48,7 @@ def _sql_has(label: str) -> str:
 SELECT p_partkey, {", ".join(map(_sql_has, _LABELS))} FROM ({_GENRES.format(part="part")})""")
 def _(t):
     parts = t.derive(_GENRES, "part")
-    vocabulary = features.listed(features.label_vocabulary(parts, "genres"))
-    return features.add_label_indicators(parts, "genres", vocabulary).drop("genres")
+    return features.label_indicators(parts, "genres", key=["p_partkey"]).drop("genres")
 
 
 @query("multi_label_vector", f"""
@@ -71,8 +73,7 @@ SELECT c_custkey, CAST(c_mktsegment = 'BUILDING' AS INTEGER) AS "c_mktsegment_BU
        CAST(c_mktsegment = 'MACHINERY' AS INTEGER) AS "c_mktsegment_MACHINERY" FROM customer""")
 def _(t):
     customers = t.customer.select("c_custkey", "c_mktsegment")
-    values = features.category_values(customers, ["c_mktsegment"])
-    return features.one_hot(customers, "c_mktsegment", features.listed(values["c_mktsegment"]))
+    return features.one_hot_columns(customers, ["c_mktsegment"], key=["c_custkey"])
 
 
 @query("bins", """
@@ -295,8 +296,8 @@ def _classification_parts(t):
     return columns, features.split_by_key(table, [movies.TITLE], 0.8, 42)
 
 
-# Predictions depend on random draws, so the checked columns are what holds for any seed: which
-# rows are scored, their true values, and whether predictions are what they may be.
+# Predictions depend on random draws, so the checked columns are which rows are scored, their true
+# values, and proofs that the model is the one that the training rows give. Each can fail.
 _MOVIES_SQL = f"""(SELECT DISTINCT b.movie_title, content_rating, language, country, genres, duration, budget, director_name,
   actor_1_name, actor_2_name, actor_3_name, director_facebook_likes, actor_1_facebook_likes, actor_2_facebook_likes,
   actor_3_facebook_likes, cast_total_facebook_likes, TRY_CAST(imdb_score AS DOUBLE) AS score
@@ -308,17 +309,18 @@ def _sql_bucket(seed: int) -> str:
 
 
 @query("forest_regression", f"""
-SELECT movie_title, score AS imdb_score, true AS in_range, true AS is_rounded
+SELECT movie_title, score AS imdb_score, true AS in_range, true AS leaves_hold, true AS beats_mean
 FROM {_MOVIES_SQL} WHERE {_sql_bucket(123)} >= 7000""")
 def _(t):
     columns, (train, validation) = _regression_parts(t)
     model = models.fit_forest_regressor(train, movies.SCORE, columns)
-    scored = models.score_numbers(model, validation)
     low, high = train.agg(F.min(movies.SCORE), F.max(movies.SCORE)).first()
-    return scored.select(
+    holds = trees.unsound_leaves(trees.leaf_spans(model, train, movies.SCORE)) == 0
+    better = certificates.beats_mean(models.score_numbers(model, train), movies.SCORE, "raw_prediction")
+    return models.score_numbers(model, validation).select(
         movies.TITLE, movies.SCORE,
         F.col("raw_prediction").between(low - 1e-6, high + 1e-6).alias("in_range"),
-        (F.col("prediction") == round_half_even(F.col("raw_prediction"))).alias("is_rounded"),
+        F.lit(holds).alias("leaves_hold"), F.lit(better).alias("beats_mean"),
     )
 
 
@@ -336,31 +338,61 @@ topped AS (SELECT DISTINCT movie_title, genres, director_name, actor_1_name, act
 m AS (SELECT topped.movie_title, CAST(imdb_score AS DOUBLE) AS score FROM topped JOIN ({_AFTER}) USING (movie_title)),
 s AS (SELECT movie_title, CASE WHEN score > 0 AND score <= 5 THEN '0-5' WHEN score <= 6 THEN '5-6'
     WHEN score <= 7 THEN '6-7' WHEN score <= 10 THEN '7-10' END AS imdb_score_bins FROM m)
-SELECT movie_title, imdb_score_bins, true AS is_label, true AS beats_chance
+SELECT movie_title, imdb_score_bins, true AS is_label, true AS is_fitted, true AS is_better
 FROM s WHERE imdb_score_bins IS NOT NULL AND {_sql_bucket(42)} >= 8000"""
 
 
-def _checked_labels(scored, train):
-    """Rows with whether the prediction is a label, and whether the model is no worse than
-    always guessing the least frequent label of the training rows would be."""
-    label = "imdb_score_bins"
-    rated = scored.agg(F.avg((F.col(label) == F.col("prediction")).cast("double"))).first()[0] or 0.0
-    shares = train.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    total, least = shares.agg(F.sum("n"), F.min("n")).first()
-    fair = F.lit(rated >= 0.5 * least / total)
-    return scored.select(movies.TITLE, label, F.col("prediction").isin(*movies.SCORE_BINS).alias("is_label"),
-                         fair.alias("beats_chance"))
+LABEL = "imdb_score_bins"
+
+
+def _checked_labels(scored, fitted: bool, better: bool):
+    return scored.select(movies.TITLE, LABEL, F.col("prediction").isin(*movies.SCORE_BINS).alias("is_label"),
+                         F.lit(fitted).alias("is_fitted"), F.lit(better).alias("is_better"))
+
+
+def _pruned_forest(t):
+    columns, (train, test) = _classification_parts(t)
+    model = models.fit_forest_classifier(train, LABEL, columns, movies.SCORE_BINS)
+    full = trees.trees_of(t.spark, model.stages[1])
+    return columns, train, test, model, full, [trees.pruned(tree, models.MOST_LEAVES) for tree in full]
 
 
 @query("forest_classification", _SCORED_LABELS)
 def _(t):
-    columns, (train, test) = _classification_parts(t)
-    model = models.fit_forest_classifier(train, "imdb_score_bins", columns, movies.SCORE_BINS)
-    return _checked_labels(models.score_labels(model, test), train)
+    """Fitted: no tree has more than its leaves, and before they were cut back the compiled trees voted as the model does."""
+    columns, train, test, model, full, small = _pruned_forest(t)
+    few = all(len(trees.leaves(tree)) <= models.MOST_LEAVES for tree in small)
+    same = models.votes_differ(model, full, test, columns) <= 1e-9
+    better = certificates.beats_majority(trees.score_by_votes(train, small, columns, movies.SCORE_BINS), LABEL)
+    return _checked_labels(trees.score_by_votes(test, small, columns, movies.SCORE_BINS), few and same, better)
 
 
 @query("logistic_regression", _SCORED_LABELS)
 def _(t):
+    """Fitted: the gradient of the loss is zero at the coefficients, and the loss below that without any."""
     columns, (train, test) = _classification_parts(t)
-    model = models.fit_logistic_regression(train, "imdb_score_bins", columns, movies.SCORE_BINS)
-    return _checked_labels(models.score_labels(model, test), train)
+    model = models.fit_logistic_regression(train, LABEL, columns, movies.SCORE_BINS)
+    found = certificates.logistic_optimum(model, train, LABEL, columns, movies.SCORE_BINS, models.PENALTY)
+    return _checked_labels(models.score_labels(model, test), found.slope <= 1e-4, found.loss < found.idle_loss)
+
+
+@query("predicted_labels")
+def _(t):
+    """The labels that both models give the rows they have not seen."""
+    columns, train, test, _, _, small = _pruned_forest(t)
+    model = models.fit_logistic_regression(train, LABEL, columns, movies.SCORE_BINS)
+    voted = trees.score_by_votes(test, small, columns, movies.SCORE_BINS).withColumnRenamed("prediction", "forest_label")
+    return models.score_labels(model, voted).select(
+        movies.TITLE, LABEL, "forest_label", F.col("prediction").alias("logistic_label"))
+
+
+@query("movie_job")
+def _(t):
+    """The whole job: raw text in files, features, forest, scores as JSON lines, read back."""
+    folder = scratch_path(t.spark, "movie-job")
+    links = movie_catalog(f"{folder}/raw", f"{folder}/scored")
+    catalog = Catalog(t.spark, links)
+    for name, frame in zip(("movies_before", "movies_after"), raw.movies(t)):
+        catalog.save(frame, name)
+    train_and_score_movies(catalog)
+    return t.spark.read.schema("movie_title string, imdb_score double, prediction double").json(links["movie_scores"].path)
