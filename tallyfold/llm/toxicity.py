@@ -10,11 +10,10 @@ passages, all of which are scored; a text of more than `SECTION` passages has th
 worst section of that length, so a toxic part is not averaged away however long the text around it.
 A logistic curve fitted to the training documents turns evidence into the score.
 
-Only text is an input. The model is fitted on the driver on a bounded sample of labelled
+Only text is an input. The model is fitted on a bounded sample of labelled
 rows: of those that `held_out` does not name and of at most `LONGEST` characters, the `MOST_TOXIC` toxic and
-`MOST_CLEAN` clean ones with the smallest hash of the id. The executors cut their texts and hash their
-n-grams; what reaches the driver are arrays of numbers. Scoring reads every row and whole
-text; the trained model is a table of fixed size.
+`MOST_CLEAN` clean ones with the smallest hash of the id. A task trains on them, so the driver holds
+only the model. Scoring reads every row and whole text; the trained model is a table of fixed size.
 
 Defined cases: a null or empty text, or one without words, gets the score of the bias; labels
 that are null or have no document are left out; without labels of both kinds every
@@ -27,12 +26,12 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
@@ -144,7 +143,7 @@ def _adam(parts: dict[str, np.ndarray], steps: int, rate: float, slopes_of) -> N
 class Sample:
     """Training texts as numbers, in text order.
 
-    `words` holds the words of all passages, as places in the table of distinct words, `sizes` the number of
+    `words` holds the words of all passages as places in the list of distinct words, `sizes` the number of
     words of each passage, `passages` the number of passages of each text. `grams` holds the
     buckets of the distinct words one after the other and `ends` where each word's begin and end.
     """
@@ -157,36 +156,21 @@ class Sample:
     ends: np.ndarray
 
 
-def word_hash(word: str) -> int:
-    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
-
-
-def encoded(text: str | None) -> tuple[bytes, bytes, list[str]]:
-    """The hashes of a text's words by passage, the passages' sizes, and the words."""
-    passages = passages_of(text)
-    words = [w for p in passages for w in p]
-    hashes = np.fromiter(map(word_hash, words), np.uint64, len(words))
-    return hashes.tobytes(), np.array([len(p) for p in passages], np.int32).tobytes(), words
-
-
-def sample_of(rows: list[tuple[bytes, bytes, int]], hashes: np.ndarray, grams: list[bytes]) -> Sample:
-    """The sample of encoded texts (hashes, sizes, label), given the sorted hashes of their words and each one's buckets."""
-    words = np.concatenate([np.searchsorted(hashes, np.frombuffer(r[0], np.uint64)).astype(np.int32) for r in rows])
-    ends = np.append(0, np.cumsum([len(g) // 4 for g in grams])).astype(np.int64)
-    return Sample(words, np.frombuffer(b"".join(r[1] for r in rows), np.int32),
-                  np.array([len(r[1]) // 4 for r in rows]), np.array([r[2] for r in rows], np.float64),
-                  np.frombuffer(b"".join(grams), np.int32), ends)
-
-
-def sample_from_texts(texts: list[str], labels: list[int]) -> Sample:
-    """The sample made here, for texts that are at hand."""
-    rows, known = [], {}
-    for text, label in zip(texts, labels):
-        hashes, sizes, words = encoded(text)
-        known |= {word_hash(w): np.array(features(w), np.int32).tobytes() for w in words}
-        rows.append((hashes, sizes, label))
-    order = sorted(known)
-    return sample_of(rows, np.array(order, np.uint64), [known[h] for h in order])
+def sample_from_texts(texts: Iterable[str], labels: Iterable[int]) -> Sample:
+    places: dict[str, int] = {}
+    words, sizes, passages = array("i"), array("i"), array("i")
+    for text in texts:
+        found = passages_of(text)
+        passages.append(len(found))
+        for passage in found:
+            sizes.append(len(passage))
+            words.extend(places.setdefault(w, len(places)) for w in passage)
+    grams, ends = array("i"), array("q", [0])
+    for word in places:
+        grams.extend(features(word))
+        ends.append(len(grams))
+    held = [np.array(a, kind) for a, kind in ((words, np.int32), (sizes, np.int32), (passages, np.int64))]
+    return Sample(*held, np.array(list(labels), np.float64), np.array(grams, np.int32), np.array(ends, np.int64))
 
 
 def train(sample: Sample) -> Model:
@@ -249,50 +233,31 @@ def training_rows(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text:
     return rows.select("__id", F.col(text).alias("__text"), "__label")
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, **names: str) -> Sample | None:
-    """The training rows as numbers; None without rows of both labels.
+def fit(docs: DataFrame, labels: DataFrame, **names: str) -> Model | None:
+    """A model from the training rows, None without rows of both labels.
 
-    Rows with the same id are all of the sample if there are few, so they are bounded once more
-    by the number of rows.
+    One task reads the sample, which is bounded, trains on it and returns the model, so the driver holds
+    neither texts nor n-grams, and a task that is lost trains again to the same model. Rows that share an id are
+    all of the sample, hence its rows are bounded once more.
     """
-    rows = training_rows(docs, labels, **names)
-    by_id = rows.orderBy("__id", "__text", "__label").limit(MOST_TOXIC + MOST_CLEAN)
-    held = materialise(by_id.select("__id", "__text", "__label"), "toxicity-sample")
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [encoded(t.as_py())[:2] for t in batch.column(1)]
+    rows = training_rows(docs, labels, **names).orderBy("__id", "__text", "__label").limit(MOST_TOXIC + MOST_CLEAN)
+    held = materialise(rows, "toxicity-sample")
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [r for batch in batches for r in zip(*[c.to_pylist() for c in batch.columns])]
+        found.sort(key=lambda r: (str(r[0]), r[1], r[2]))
+        if 0 < sum(r[2] for r in found) < len(found):
+            model = train(sample_from_texts((r[1] for r in found), [r[2] for r in found]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.string()), pa.array([f[0] for f in found], pa.binary()),
-                 pa.array([f[1] for f in found], pa.binary()), batch.column(2).cast(pa.int32())],
-                names=["id", "words", "sizes", "label"])
+                [pa.array([x.astype("<f4").tobytes()], pa.binary()) for x in (model.vectors, model.weights, model.bias)]
+                + [pa.array([x], pa.float64()) for x in (model.slope, model.shift)],
+                names=["vectors", "weights", "bias", "slope", "shift"])
 
-    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            known = {w: None for t in batch.column(1) for w in words_of(t.as_py())}
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.fromiter(map(word_hash, known), np.uint64, len(known)).astype(np.int64)),
-                 pa.array([np.array(features(w), np.int32).tobytes() for w in known], pa.binary())],
-                names=["hash", "grams"])
-
-    table = held.mapInArrow(encode, "id string, words binary, sizes binary, label int").orderBy(
-        "id", "words", "label").toArrow()
-    marks = table["label"].to_pylist()
-    if not 0 < sum(marks) < len(marks):
+    learnt = held.coalesce(1).mapInArrow(learn, "vectors binary, weights binary, bias binary, slope double, shift double").first()
+    if learnt is None:
         return None
-    rows = list(zip(table["words"].to_pylist(), table["sizes"].to_pylist(), marks))
-    del table
-    words = held.mapInArrow(spell, "hash bigint, grams binary").groupBy("hash").agg(F.min("grams").alias("grams")).toArrow()
-    hashes = words["hash"].to_numpy().astype(np.uint64)
-    order = np.argsort(hashes)
-    spelled = words["grams"].take(pa.array(order)).to_pylist()
-    del words
-    return sample_of(rows, hashes[order], spelled)
-
-
-def fit(docs: DataFrame, labels: DataFrame, **names: str) -> Model | None:
-    sample = training_sample(docs, labels, **names)
-    return train(sample) if sample else None
+    vectors, weights, bias = (np.frombuffer(x, "<f4") for x in learnt[:3])
+    return Model(vectors.reshape(BUCKETS, DIMENSIONS), weights.reshape(DIMENSIONS, 2), bias, learnt[3], learnt[4])
 
 
 def score_toxicity(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:

@@ -241,6 +241,50 @@ def test_toxicity_on_rows_held_out(spark):
     assert {r.score for r in untaught} == {0.0}
 
 
+def test_toxicity_training_follows_the_slope_of_the_loss(monkeypatch):
+    """One small step of the descent against differences of the loss, worked out plainly."""
+    monkeypatch.setattr(toxicity, "EPOCHS", 1)
+    monkeypatch.setattr(toxicity, "DECAY", 0.0)
+    texts, labels = ["good day to you all", "awful rotten scum", "a fine day", "rotten awful day"], [0, 1, 0, 1]
+    sample = toxicity.sample_from_texts(texts, labels)
+    rng = np.random.default_rng(toxicity.SEED)
+    vectors = rng.normal(0, 0.1, (toxicity.BUCKETS, toxicity.DIMENSIONS)).astype(np.float32)
+    weights = rng.normal(0, 0.5, (toxicity.DIMENSIONS, 2)).astype(np.float32)
+
+    def loss(v, w):
+        total = 0.0
+        for text, label in zip(texts, labels):
+            mean = sum(v[toxicity.features(x)].astype(float).mean(axis=0) for x in dict.fromkeys(text.split())) / toxicity.PASSAGE
+            logits = mean @ w.astype(float)
+            total -= logits[label] - np.log(np.exp(logits).sum())
+        return total / len(texts)
+
+    trained = toxicity.train(sample)
+    for i, k in np.ndindex(*weights.shape):
+        moved = weights.astype(float)
+        moved[i, k] += 1e-4
+        slope = loss(vectors, moved) - loss(vectors, weights)
+        assert np.sign(trained.weights[i, k] - weights[i, k]) == -np.sign(slope)
+    for bucket in toxicity.features("rotten")[:5]:
+        moved = vectors.astype(float)
+        moved[bucket, 0] += 1e-3
+        slope = loss(moved, weights) - loss(vectors, weights)
+        assert np.sign(trained.vectors[bucket, 0] - vectors[bucket, 0]) == -np.sign(slope)
+
+
+def test_evidence_is_that_of_the_worst_section():
+    rng = np.random.default_rng(1)
+    for n in (1, 5, toxicity.SECTION, toxicity.SECTION + 1, 500):
+        logits = rng.normal(size=n)
+        step, size = toxicity.SECTION // 2, min(n, toxicity.SECTION)
+        starts = {*range(0, n - size + 1, step), n - size}
+        top = max(1, round(size * toxicity.TOP))
+        assert toxicity.evidence(logits) == pytest.approx(max(sorted(logits[s:s + size])[-top:] and
+                                                              float(np.mean(sorted(logits[s:s + size])[-top:])) for s in starts))
+    calm, section = np.full(3000, -3.0), np.full(toxicity.SECTION, 4.0)
+    assert toxicity.evidence(np.concatenate([calm, section, calm])) == pytest.approx(4.0)
+
+
 def test_pipeline_stages_keep_the_columns_of_documents(spark, data_dir):
     docs = spark.read.parquet(f"{data_dir}/documents.parquet")
     counts = [docs.count()]
