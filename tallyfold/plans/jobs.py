@@ -7,16 +7,24 @@ from pyspark.ml import PipelineModel
 from tallyfold.operators.features import split_by_key
 from tallyfold.plans import models, movies
 from tallyfold.plans.dimensions import clean_airports, clean_carriers
-from tallyfold.plans.flights import clean_flights
+from tallyfold.plans.flights import EXPECTED, clean_flights
 from tallyfold.plans.reports import master_flights
 from tallyfold.sources.catalog import Catalog
+from tallyfold.sources.intake import Quality
 
 
 def clean_flight_tables(catalog: Catalog, compression: str = "snappy") -> None:
-    """Read the three raw tables, clean each and save it."""
-    cleaners = (("airports", clean_airports), ("carriers", clean_carriers), ("flights", clean_flights))
-    for name, clean in cleaners:
+    """Read the three raw tables, clean each and save it.
+
+    Missing and unreadable cells of the raw flights are counted while the clean ones are written, and saved as
+    `flight_quality`.
+    """
+    for name, clean in (("airports", clean_airports), ("carriers", clean_carriers)):
         catalog.save(clean(catalog.load(f"raw_{name}")), f"clean_{name}", compression=compression)
+    quality = Quality(EXPECTED)
+    raw = quality.watch(catalog.load("raw_flights"))
+    catalog.save(clean_flights(raw), "clean_flights", compression=compression)
+    catalog.save(quality.table(raw.sparkSession), "flight_quality")
 
 
 def build_master_flights(catalog: Catalog, compression: str = "snappy", **columns: str) -> None:

@@ -57,6 +57,7 @@ def flight_catalog(source_dir: str, target_dir: str) -> dict[str, DataLink]:
         ("clean_airports", "clean_airports"),
         ("clean_carriers", "clean_carriers"),
         ("master_flights", "master_flights"),
+        ("flight_quality", "flight_quality"),
     )}
     return raw | clean
 

@@ -23,6 +23,9 @@ from tallyfold.plans.flights import (
     clean_flights_longhand,
 )
 from tallyfold.plans.stations import clean_stations
+from tallyfold.plans import flights as flight_plans
+from tallyfold.session import materialise
+from tallyfold.sources.intake import Quality
 from tallyfold.workload import raw
 from tallyfold.workload.registry import local, query, utc
 
@@ -378,3 +381,23 @@ SELECT {sql_int("number")} AS number, {sql_int("stands")} AS "Bike Stands",
 FROM ({raw.plain(raw.STATIONS)})""")
 def _(t):
     return clean_stations(raw.stations(t)).withColumn("Last Update", utc("Last Update"))
+
+
+_EXPECTED_SQL = {"date": "TRY_CAST({0} AS DATE)", "smallint": "TRY_CAST(TRY_CAST({0} AS DOUBLE) AS SMALLINT)"}
+
+
+def _sql_quality(column: str) -> str:
+    kind = flight_plans.EXPECTED.get(column)
+    bad = f"count(*) FILTER ({column} IS NOT NULL AND {_EXPECTED_SQL[kind.simpleString()].format(column)} IS NULL)" if kind else "0"
+    return (f"SELECT '{column}' AS \"column\", count(*) AS rows, count(*) - count({column}) AS missing, "
+            f"CAST({bad} AS BIGINT) AS uncastable, CAST(0 AS BIGINT) AS unknown FROM raw_flights")
+
+
+@query("flight_quality", f"""
+WITH raw_flights AS ({raw.plain(raw.FLIGHTS)})
+{" UNION ALL ".join(_sql_quality(c) for c, _, _ in flight_plans.CLEAN_COLUMNS)}""")
+def _(t):
+    """The cells of the raw flights, counted in the pass that writes the clean ones."""
+    quality = Quality(flight_plans.EXPECTED)
+    materialise(flight_plans.clean_flights(quality.watch(raw.flights(t))), "clean-flights")
+    return quality.table(t.spark)

@@ -18,6 +18,7 @@ from tallyfold.sources.catalog import (
     write_json_lines,
     write_parquet,
 )
+from tallyfold.sources.intake import read_checked
 from tallyfold.workload.registry import query
 
 
@@ -308,3 +309,30 @@ def _(t):
     changed = kept.withColumn("o_orderstatus", status).select(*columns).unionByName(twice)
     # Column order does not matter.
     return frame_diff(orders, changed.select(*reversed(columns)))
+
+
+# Lines as files have them: some with a cell too few or too many, some with a quote that is never closed.
+_ODD_LINES = """
+SELECT c_custkey, c_name, c_mktsegment,
+  CASE WHEN c_custkey % 13 = 3 THEN 'quote' WHEN c_custkey % 7 = 1 OR c_custkey % 11 = 2 THEN 'cells' END AS reason,
+  CAST(c_custkey AS STRING) || ';' || c_name ||
+    CASE WHEN c_custkey % 13 = 3 THEN ';"' || c_mktsegment WHEN c_custkey % 7 = 1 THEN ''
+      WHEN c_custkey % 11 = 2 THEN ';' || c_mktsegment || ';more' ELSE ';' || c_mktsegment END AS line
+FROM {customer}"""
+
+
+@query("csv_quarantine", f"""
+WITH lines AS ({_ODD_LINES.format(customer="customer")})
+SELECT CASE WHEN reason IS NULL THEN CAST(c_custkey AS VARCHAR) END AS c_custkey,
+       CASE WHEN reason IS NULL THEN c_name END AS c_name,
+       CASE WHEN reason IS NULL THEN c_mktsegment END AS c_mktsegment,
+       CASE WHEN reason IS NOT NULL THEN line END AS line, reason
+FROM lines""")
+def _(t):
+    """Rows that fit the header, and next to them the lines that do not, with the reason."""
+    path = scratch_path(t.spark, "odd-lines")
+    lines = t.derive(_ODD_LINES, "customer").select(F.col("line").alias("c_custkey;c_name;c_mktsegment"))
+    # One column without quotes, so each file is its header and the lines as they are.
+    lines.write.options(header="true", quote="", sep="\u0001").csv(path)
+    rows, quarantine = read_checked(t.spark, path, separator=";")
+    return rows.unionByName(quarantine, allowMissingColumns=True)
