@@ -24,7 +24,9 @@ _PARTS = re.compile(rf" ?[{_LETTERS}]+|[.,\n]")
 _WIDE = re.compile(r"\s ")
 _AFTER_TEXT = re.compile(r"(?<=\S) ")
 # Pieces and parts that a worker keeps; beyond that, new ones are encoded anew each time.
-KEPT_PIECES, KEPT_PARTS = 800_000, 500_000
+KEPT_PIECES, KEPT_PARTS = 700_000, 400_000
+# Longer ones are never kept, so the worker's tables are bounded in bytes as well.
+LONGEST_KEPT = 64
 
 
 def _byte_letters() -> dict[int, str]:
@@ -76,7 +78,7 @@ class Encoder:
         new = [key for key in keys if key not in known]
         known.rest = dict(zip(new, ids(new)))
         if len(known) < limit:
-            known.update(known.rest)
+            known.update((key, value) for key, value in known.rest.items() if len(key) <= LONGEST_KEPT)
 
     def _encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of words of the model, which needs none of the tokenizer's other steps."""

@@ -103,3 +103,13 @@ def test_empty_store(spark, tmp_path):
     path = f"file://{tmp_path}/store"
     token_store.write_store(frame(spark, []), path, WORD, 49_408)
     assert token_store.read_store(spark, path).isEmpty()
+
+
+def test_long_pieces_are_not_kept():
+    from tallyfold.llm.queries import vocabulary
+    from tallyfold.llm.tokens import LONGEST_KEPT, Encoder
+
+    found = Encoder(vocabulary("byte_bpe_50k.json"), "<u4")
+    texts = ["\u6f22" * 5_000, "a" * 5_000, "plain words " * 50]
+    assert found.encode(texts) == Encoder(vocabulary("byte_bpe_50k.json"), "<u4").encode(texts)
+    assert found._pieces and max(map(len, found._pieces)) <= LONGEST_KEPT
