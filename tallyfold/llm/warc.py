@@ -7,21 +7,30 @@ name the record they belong to in WARC-Concurrent-To. Spark's text writer writes
 files: every record ends with a line feed, so records are lines of the writer, and
 the files are plain WARC 1.0, compressed as a whole.
 
-Reading: each file is read whole and cut by Content-Length, never by looking for a mark in
-a payload. Files hold at most `FILE_PAGES` pages. Transaction assembly then joins
-the records by the identifiers in WARC-Concurrent-To and emits one nested row per capture.
+Files are bounded by bytes: pages of up to `LARGE_PAGE` bytes come at most `FILE_PAGES` to a
+file, larger ones go to files of their own folder, as few to a file as `FILE_BYTES` asks for.
+
+Reading: each file is unpacked as it is read, record by record, and cut by Content-Length, never by
+looking for a mark in a payload. Transaction assembly then groups the records of one
+read by the identifier that they share, that of the response or revisit itself and that in
+WARC-Concurrent-To of the others, and emits one nested row per capture. The page's id
+comes from the metadata record, its address from any of the three, all else from the response.
 
 Defined cases: a null payload is empty; a null address is the empty one; line ends in
 an address are percent-encoded; a null id is written as such and counts as the largest;
-repeated pages are written each, the first as response; a capture without request
-or metadata has null there; an empty table gives no captures; other columns are ignored.
+repeated pages are written each, the first as response; a capture without request, metadata or
+response has null there, so a lost metadata record shows as a page without id and a lost response as a
+page without payload; of records of one kind with the same identifier the smallest counts; an
+empty table gives no captures; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import gzip
+import io
 import re
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,7 +40,10 @@ from tallyfold.operators.joins import keyed_join
 from tallyfold.session import materialise
 
 LEAST_REVISIT = 100
-FILE_PAGES = 1000
+# Pages of at most so many bytes come FILE_PAGES to a file; of larger ones, a file holds FILE_BYTES, or one page.
+FILE_PAGES, LARGE_PAGE, FILE_BYTES = 1000, 2**20, 2**30
+# A batch of records that a worker hands on.
+BATCH_ROWS, BATCH_BYTES = 512, 2**23
 CAPTURED = "2020-01-01T00:00:00Z"
 # Fixed values of the format.
 VERSION, NEWLINE, BLANK = "WARC/1.0", "\r\n", "\r\n\r\n"
@@ -72,13 +84,13 @@ def _capture_id(page_id: Column, rest: Column) -> Column:
     return _text("urn:capture:", F.coalesce(page_id.cast("string"), F.lit("")), ":", rest)
 
 
-def _with_roles(rows: DataFrame) -> DataFrame:
+def _with_roles(rows: DataFrame, repeats: DataFrame, part: str) -> DataFrame:
     """Rows with `revisit`, `main` (their capture's identifier) and `target` (that of the response).
 
-    A response that others refer to is named by its payload, any other capture by a number
+    `part` names the rows that are numbered together. A response that others refer to is named by its payload, any other capture by a number
     of its row. Rows alike in all columns come from one of them, so that exactly one is the response.
     """
-    placed = keyed_join(rows, materialise(_repeats(rows), "warc-repeats"), ["digest"], "left")
+    placed = keyed_join(rows, repeats, ["digest"], "left")
     first = F.col("first")
     leads = F.coalesce(F.col("page_id").eqNullSafe(first["page_id"]) & (F.col("url_hash") == first["url_hash"]), F.lit(False))
     placed = placed.withColumn("leads", first.isNotNull() & leads)
@@ -87,7 +99,7 @@ def _with_roles(rows: DataFrame) -> DataFrame:
     alike = alike.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), first["copies"] - 1)))
     rows = alone.unionByName(alike)
     leads = F.col("leads") & (F.col("copy") == 0)
-    number = F.concat_ws("-", F.monotonically_increasing_id().cast("string"), F.col("copy").cast("string"))
+    number = F.concat_ws("-", F.lit(part), F.monotonically_increasing_id().cast("string"), F.col("copy").cast("string"))
     return rows.withColumns({
         "revisit": first.isNotNull() & ~leads,
         "main": _capture_id(F.col("page_id"), F.when(leads, F.col("digest")).otherwise(number)),
@@ -96,12 +108,25 @@ def _with_roles(rows: DataFrame) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, path: str, id: str = "page_id", url: str = "url", html: str = "html") -> None:
-    """Write the pages to gzip-compressed WARC files in the folder `path`."""
+    """Write the pages to gzip-compressed WARC files in folders of `path`: `pages`, and `large` if there are any."""
     rows = pages.select(
         F.col(id).cast("long").alias("page_id"), F.coalesce(F.col(html), F.lit("")).alias("html"),
         F.replace(F.replace(F.coalesce(F.col(url), F.lit("")), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A")).alias("url"),
     ).withColumns({"digest": F.sha2("html", 256), "url_hash": F.xxhash64("url")})
-    placed = _with_roles(rows)
+    repeats = materialise(_repeats(rows), "warc-repeats")
+    size = F.octet_length(F.col(html))
+    largest = pages.agg(F.max(size)).first()[0] or 0
+    is_large = F.octet_length("html") > LARGE_PAGE
+    parts = [("pages", rows.where(~is_large), FILE_PAGES)]
+    if largest > LARGE_PAGE:
+        parts.append(("large", rows.where(is_large), max(1, FILE_BYTES // largest)))
+    for part, some, per_file in parts:
+        _records(_with_roles(some, repeats, part)).write.options(
+            compression="gzip", lineSep="\n", maxRecordsPerFile=3 * per_file).text(f"{path}/{part}")
+
+
+def _records(placed: DataFrame) -> DataFrame:
+    """The three records of each page as rows of text."""
     main, revisit = F.col("main"), F.col("revisit")
     target = [f"{NEWLINE}WARC-Target-URI: ", F.col("url")]
     together = [f"{NEWLINE}WARC-Concurrent-To: <", main, ">"]
@@ -118,29 +143,34 @@ def write_archives(pages: DataFrame, path: str, id: str = "page_id", url: str =
                        [*target, *together, f"{NEWLINE}Content-Type: application/warc-fields"],
                        _text("page-id: ", F.coalesce(F.col("page_id").cast("string"), F.lit("")), NEWLINE))
     records = F.array(request, F.when(revisit, again).otherwise(response), metadata)
-    placed.select(F.explode(records).alias("value")).write.options(
-        compression="gzip", lineSep="\n", maxRecordsPerFile=3 * FILE_PAGES).text(path)
+    return placed.select(F.explode(records).alias("value"))
 
 
 _HEADER = re.compile(rb"^([^:\r\n]+): *(.*?)\r?$", re.MULTILINE)
-
-
-def cut_records(data: bytes) -> Iterator[tuple]:
-    """(kind, record_id, concurrent_to, refers_to, target_uri, digest, block) of a WARC file."""
-    at = 0
-    while at < len(data):
-        stop = data.index(b"\r\n\r\n", at)
-        head = {k.lower(): v.decode() for k, v in _HEADER.findall(data[at:stop])}
-        start, length = stop + 4, int(head[b"content-length"])
-        fields = [head.get(k) for k in (b"warc-type", b"warc-record-id", b"warc-concurrent-to", b"warc-refers-to",
-                                        b"warc-target-uri", b"warc-payload-digest")]
+_FIELDS = (b"warc-type", b"warc-record-id", b"warc-concurrent-to", b"warc-refers-to", b"warc-target-uri", b"warc-payload-digest")
+
+
+def cut_records(file: BinaryIO) -> Iterator[tuple]:
+    """(kind, record_id, concurrent_to, refers_to, target_uri, digest, block) of a WARC file, one record at a time."""
+    while line := file.readline():
+        lines = []
+        while line.strip():
+            lines.append(line)
+            line = file.readline()
+        if not lines:
+            continue
+        head = {k.lower(): v.decode() for k, v in _HEADER.findall(b"".join(lines))}
+        length = int(head[b"content-length"])
+        block = file.read(length)
+        if len(block) < length:
+            raise ValueError(f"record {head.get(b'warc-record-id')} ends after {len(block)} of {length} bytes")
+        fields = [head.get(k) for k in _FIELDS]
         yield (fields[0], *[f and f.strip("<>") for f in fields[1:4]], fields[4],
-               fields[5] and fields[5].removeprefix("sha256:"), data[start:start + length])
-        at = start + length + 4
+               fields[5] and fields[5].removeprefix("sha256:"), block)
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record of the WARC files in a folder."""
+    """One row per record of the WARC files in a folder and those below it."""
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def batch_of(rows):
@@ -148,16 +178,19 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
         for batch in batches:
             for content in batch.column(0):
-                raw, rows = content.as_buffer().to_pybytes(), []
-                for row in cut_records(gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw):
+                raw, rows, held = pa.BufferReader(content.as_buffer()), [], 0
+                packed = raw.read(2) == b"\x1f\x8b"
+                raw.seek(0)
+                for row in cut_records(io.BufferedReader(gzip.GzipFile(fileobj=raw) if packed else raw, 2**18)):
                     rows.append(row)
-                    if len(rows) == 512:
+                    held += len(row[-1])
+                    if len(rows) == BATCH_ROWS or held > BATCH_BYTES:
                         yield batch_of(rows)
-                        rows = []
+                        rows, held = [], 0
                 if rows:
                     yield batch_of(rows)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    files = spark.read.format("binaryFile").options(pathGlobFilter="part-*", recursiveFileLookup="true").load(path)
     return files.select("content").mapInArrow(records, _RECORD)
 
 
@@ -168,20 +201,23 @@ def _payload(block: Column) -> Column:
 
 
 def assemble(records: DataFrame) -> DataFrame:
-    """One nested row per capture: record_id, target_uri, response, request, metadata.
+    """One nested row per capture: capture, target_uri, response, request, metadata.
 
-    `response` holds kind, refers_to, digest and payload. A record's identifier is
-    unique, so no key is hot.
+    `response` holds kind, refers_to, digest and block, that of a revisit without a payload. One grouping
+    by the transaction's identifier, which three records share, so no key is hot.
     """
-    main = records.where(F.col("kind").isin("response", "revisit")).select(
-        F.col("record_id").alias("capture"), "target_uri",
-        F.struct("kind", "refers_to", "digest", F.col("block").alias("block")).alias("response"))
+    kind = F.col("kind")
+    main = kind.isin("response", "revisit")
+    capture = F.when(main, F.col("record_id")).otherwise(F.coalesce("concurrent_to", "record_id"))
 
-    def concurrent(kind: str) -> DataFrame:
-        part = records.where(F.col("kind") == kind)
-        return part.select(F.col("concurrent_to").alias("capture"), F.struct("record_id", "block").alias(kind))
+    def one(of: Column, *fields: str) -> Column:
+        return F.min(F.when(of, F.struct(*fields)))
 
-    return main.join(concurrent("request"), "capture", "left").join(concurrent("metadata"), "capture", "left")
+    other = kind.isin("request", "metadata")
+    return records.where(main | other).groupBy(capture.alias("capture")).agg(
+        F.min("target_uri").alias("target_uri"), one(main, "kind", "refers_to", "digest", "block").alias("response"),
+        one(kind == "request", "record_id", "block").alias("request"),
+        one(kind == "metadata", "record_id", "block").alias("metadata"))
 
 
 def read_captures(spark: SparkSession, path: str) -> DataFrame:
@@ -194,7 +230,7 @@ def capture_pages(captures: DataFrame) -> DataFrame:
     Payloads of responses are measured as read; a revisit has those of the response it
     refers to. Written once without payloads, as both sides of that look-up need it.
     """
-    page = F.nullif(F.split_part("capture", F.lit(":"), F.lit(3)), F.lit("")).cast("long")
+    page = F.nullif(F.regexp_extract(F.col("metadata.block").cast("string"), r"^page-id: (-?\d+)", 1), F.lit("")).cast("long")
     # The HTTP header has only one-byte characters, so its length in characters is that in bytes.
     payload = _payload(F.col("response.block"))
     read = materialise(captures.select(
@@ -202,8 +238,8 @@ def capture_pages(captures: DataFrame) -> DataFrame:
         F.sha2(payload, 256).alias("payload_digest"), F.col("response.kind").alias("record_type"),
         F.col("response.refers_to").alias("target"),
     ), "warc-captures")
-    plain = read.where("record_type = 'response'").drop("target")
-    found = plain.select(F.col("capture").alias("target"), F.col("page_id").alias("refers_to"),
+    plain = read.where("record_type IS DISTINCT FROM 'revisit'").drop("target")
+    found = plain.where("record_type = 'response'").select(F.col("capture").alias("target"), F.col("page_id").alias("refers_to"),
                          F.col("payload_bytes").alias("full_bytes"), F.col("payload_digest").alias("full_digest"))
     revisits = read.where("record_type = 'revisit'").drop("payload_bytes", "payload_digest")
     resolved = keyed_join(revisits, found, ["target"], "left")

@@ -142,8 +142,36 @@ def test_archives_round_trip(spark, tmp_path, monkeypatch):
         (1, 200, "response", None), (1, 200, "revisit", 1), (4, 200, "revisit", 1), (None, 200, "revisit", 1),
         (3, 0, "response", None), (2, 99, "response", None), (9, 99, "response", None),
         (8, len(PAGES[5][2].encode()), "response", None), (11, len(PAGES[8][2].encode()), "response", None)])
-    for file in (tmp_path / "warc").glob("part-*"):
-        assert gzip.decompress(file.read_bytes()).startswith(b"WARC/1.0\r\n")
+    files = [gzip.decompress(f.read_bytes()) for f in (tmp_path / "warc").rglob("part-*")]
+    assert all(f.startswith(b"WARC/1.0\r\n") and f.count(b"WARC-Type: metadata\r\n") <= 2 for f in files)
+
+
+def test_large_pages_have_files_of_their_own(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "LARGE_PAGE", 150)
+    monkeypatch.setattr(warc, "FILE_BYTES", 500_000)
+    path = f"file://{tmp_path}/warc"
+    warc.write_archives(spark.createDataFrame(PAGES, "page_id long, url string, html string").coalesce(1), path)
+    sizes = [len(gzip.decompress(f.read_bytes())) for f in (tmp_path / "warc/large").glob("part-*")]
+    assert max(sizes) > 500_000 and len(sizes) == sum(len(p[2] or "") > 150 for p in PAGES)
+    found = warc.capture_pages(warc.read_captures(spark, path)).collect()
+    assert sorted((r.record_type, r.payload_bytes) for r in found) == sorted(
+        ("revisit" if i in (1, 6, 7) else "response", len((p[2] or "").encode())) for i, p in enumerate(PAGES))
+
+
+@pytest.mark.parametrize("lost", ["request", "metadata", "response"])
+def test_a_lost_record_shows(spark, tmp_path, lost):
+    path = f"file://{tmp_path}/warc"
+    pages = [(i, f"http://a/{i}", f"page {i} " * 20) for i in range(1, 6)]
+    warc.write_archives(spark.createDataFrame(pages, "page_id long, url string, html string"), path)
+    records = warc.read_records(spark, path)
+    gone = (F.col("kind") == lost) & (F.col("target_uri") == "http://a/3")
+    captures = warc.assemble(records.where(~gone))
+    rows = {r.target_uri: r for r in captures.collect()}
+    assert len(rows) == 5 and [u for u, r in rows.items() if r[lost] is None] == ["http://a/3"]
+    found = sorted((r.page_id or 0, r.payload_bytes or 0, r.record_type) for r in warc.capture_pages(captures).collect())
+    plain = {i: (i, 140, "response") for i in range(1, 6)}
+    plain[3] = {"request": plain[3], "metadata": (0, 140, "response"), "response": (3, 0, None)}[lost]
+    assert found == sorted(plain.values())
 
 
 def test_no_pages_no_captures(spark, tmp_path):
