@@ -2,10 +2,10 @@
 
 Texts are lower-cased (A-Z), cut into pieces at punctuation and line ends and those into words at blanks
 and tabs. Every word begins one window of `ORDER` words, which the lead columns w1 to w4 hold; a
-window that its piece ends is padded with nulls. Only these longest windows are counted. Spark's
-ROLLUP then sums them over ever shorter prefixes, which gives the occurrences of all phrases of
-4, 3, 2 and 1 words, and of all words of a language, in one aggregation: no phrase length is
-exploded or counted by itself.
+window that its piece ends is padded with nulls. Only these longest windows are counted, which gives the
+occurrences of the phrases of 4 words. Spark's ROLLUP then sums them over ever shorter prefixes, which
+gives those of all phrases of 3, 2 and 1 words, and of all words of a language, in one aggregation:
+no phrase length is exploded or counted by itself.
 
 Before that, windows are cut where no frequent phrase can go on. What begins at a word is counted
 by hash, words and pairs first, then what these leave of longer phrases, in tables of cells of which
@@ -255,16 +255,22 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, lang: str = "lang", text:
     """Rows (lang, words, phrase, f) of all phrases of up to `ORDER` words with f >= `least`; words 0: all of the language."""
     texts = plain_texts(docs, lang, text)
     counted = windows(texts, phrase_filter(texts, least)).groupBy("lang", *WORDS).agg(F.sum("n").alias("n"))
-    rolled = counted.rollup("lang", *WORDS).agg(F.sum("n").alias("f"), F.grouping_id().alias("rolled"))
+    # Sums of whole windows are the counts of the longest phrases already, so only shorter prefixes are rolled up
+    # and shuffled again. Both branches read one exchange: their filters need `n`, so none of them moves below it.
+    whole = F.col(WORDS[-1]).isNotNull().cast("long")
+    longest = counted.where(F.col("n") * whole >= least).select(
+        "lang", F.lit(ORDER).alias("words"), F.concat_ws(" ", *WORDS).alias("phrase"), F.col("n").alias("f"))
+    shorter = WORDS[:-1]
+    rolled = counted.rollup("lang", *shorter).agg(F.sum("n").alias("f"), F.grouping_id().alias("rolled"))
     # The lowest bits of the grouping number are ones for the words that are rolled up.
     whole, words = F.lit(False), F.lit(0)
-    for size in range(ORDER + 1):
-        here = F.col("rolled") == 2 ** (ORDER - size) - 1
+    for size in range(ORDER):
+        here = F.col("rolled") == 2 ** (ORDER - 1 - size) - 1
         whole = whole | (here & F.col(WORDS[size - 1]).isNotNull() if size else here)
         words = F.when(here, F.lit(size)).otherwise(words)
     # Prefixes that end in padding are dropped by their columns alone, which Spark does before it sums.
-    found = rolled.where(whole).select("lang", words.alias("words"), F.concat_ws(" ", *WORDS).alias("phrase"), "f")
-    return found.where((F.col("words") == 0) | (F.col("f") >= least))
+    found = rolled.where(whole).select("lang", words.alias("words"), F.concat_ws(" ", *shorter).alias("phrase"), "f")
+    return found.where((F.col("words") == 0) | (F.col("f") >= least)).unionByName(longest)
 
 
 def _quotient(above: Column, below: Column) -> Column:
