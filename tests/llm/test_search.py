@@ -1,15 +1,19 @@
 """Top-k search, near join, WARC, mixing and toxicity against brute force, and the pipeline."""
 
 import gzip
+import hashlib
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tallyfold.llm import mixing, near_join, topk, toxicity, warc
+from tallyfold.llm.queries import vocabulary
 
 VECTORS = "vec_id long, embedding array<float>, score int"
 
@@ -328,3 +332,91 @@ def test_pipeline_stages_keep_the_columns_of_documents(spark, data_dir):
 
 def test_pipeline_runs(spark, data_dir):
     assert corpus_pipeline.run(spark, data_dir).where("ids_crc32 IS NULL OR length < 1").isEmpty()
+
+
+def pipeline_documents(spark, data_dir):
+    """Documents with odd rows, and columns named as those that stages work with."""
+    docs = spark.read.parquet(f"{data_dir}/documents.parquet")
+    odd = spark.createDataFrame([
+        (900_001, None, "en", "web"), (900_002, "", None, "web"), (900_003, "one", None, None), (900_003, "one", None, None),
+        (900_004, "lange " * 20_000, "de", "web"), (None, "no id here", "en", "book")], "doc_id long, text string, lang string, source string")
+    docs = docs.unionByName(odd, allowMissingColumns=True)
+    return docs.withColumns({c: F.concat(F.lit("own "), F.coalesce(F.col("doc_id").cast("string"), F.lit("-")))
+                             for c in ("score", "Tokens", "kept", "predicted", "topic", "class_id")})
+
+
+def test_pipeline_stages_match_plain_python(spark, data_dir):
+    docs = pipeline_documents(spark, data_dir)
+    stages = dict(corpus_pipeline.STAGES)
+
+    def after(name, frame):
+        found = stages[name](spark, frame, data_dir)
+        assert found.columns == frame.columns
+        rows = found.collect()
+        assert all(r["score"] == r["Tokens"] == r["kept"] == f"own {'-' if r.doc_id is None else r.doc_id}" for r in rows)
+        return rows, spark.createDataFrame(rows, frame.schema)
+
+    def ids(rows):
+        return Counter((r.doc_id, r.text) for r in rows)
+
+    # Toxicity: every row whose text the model's scorer puts below one half, and no other.
+    model = toxicity.fit(docs, spark.read.parquet(f"{data_dir}/labels.parquet"))
+    of = model.scorer()
+    rows, calm = after("toxicity", docs)
+    assert ids(rows) == ids(r for r in docs.collect() if of(r.text) < 0.5) and len(rows) < docs.count()
+
+    # Exact copies: the largest id of each text.
+    rows, unlike = after("exact_dedup", calm)
+    largest = {}
+    for r in calm.collect():
+        largest[r.text or ""] = max(largest.get(r.text or "", -1), -1 if r.doc_id is None else r.doc_id)
+    assert Counter((-1 if r.doc_id is None else r.doc_id, r.text or "") for r in rows) == Counter(
+        {(i, t): 1 for t, i in largest.items()})
+
+    # Near copies: the smallest id of each class of texts that share 4 of 5 runs of five words, directly or through others.
+    sets = []
+    for r in rows:
+        w = (r.text or "").lower().split()
+        sets.append({tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))})
+    group = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if group[i] != group[j] and 9 * len(a & sets[j]) >= 4 * (len(a) + len(sets[j])):
+                group = [group[j] if g == group[i] else g for g in group]
+    smallest = {}
+    for g, r in zip(group, rows):
+        smallest[g] = min(smallest.get(g, r), r, key=lambda r: (r.doc_id is None, r.doc_id or 0))
+    rows, single = after("near_dedup", unlike)
+    assert ids(rows) == ids(smallest.values()) and len(rows) < unlike.count()
+
+    # Mixing: each cell keeps the rows whose draw lies below one bound, its probability.
+    rows, _ = after("mixing", single)
+    kept = ids(rows)
+    bounds = defaultdict(lambda: ([0.0], [1.0]))
+    for r in single.collect():
+        n = len(re.findall(mixing.WORD, r.text or ""))
+        kind = next((name for name, below in mixing.KINDS if n < below), mixing.LONGEST_KIND)
+        draw = int(hashlib.md5(f"mix:{'' if r.doc_id is None else r.doc_id}".encode()).hexdigest()[:8], 16) / 2**32
+        bounds[r.source, r.lang, kind][0 if kept[r.doc_id, r.text] else 1].append(draw)
+    assert all(max(below) <= min(above) for below, above in bounds.values())
+    assert 0 < len(rows) < single.count()
+
+    # Packing: the pieces of each document are its ids and the end mark, each once.
+    packed = defaultdict(list)
+    pieces = stages["packing"](spark, single, data_dir).collect()
+    for p in pieces:
+        packed[p.doc_id].append((p.start, bytes(p.ids)))
+    encoder = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
+    for r in single.collect():
+        whole = np.array([*encoder.encode(r.text or "", add_special_tokens=False).ids, 1], "<u4").tobytes()
+        assert b"".join(ids for _, ids in sorted(packed[r.doc_id])) == whole
+    places = sorted((p.sequence_id, p.offset, p.length) for p in pieces)
+    assert all(b[1] == (a[1] + a[2] if a[0] == b[0] else 0) for a, b in zip(places, places[1:]))
+    assert max(o + n for _, o, n in places) <= 2048
+
+
+def test_pipeline_of_nothing(spark, data_dir):
+    docs = spark.read.parquet(f"{data_dir}/documents.parquet").limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        after = stage(spark, docs, data_dir)
+        assert after.isEmpty() and (name == "packing" or after.columns == docs.columns)
