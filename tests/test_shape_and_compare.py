@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyfold.operators import shape
-from tallyfold.operators.compare import assert_same_frames, frame_diff, same_rows, schema_difference
+from tallyfold.operators.compare import assert_same_frames, frame_diff, same_rows, schema_difference, unlike_buckets
 
 def test_drop_and_rename_ignore_absent_names(spark):
     frame = spark.createDataFrame([(1, 2)], "a int, b int")
@@ -59,7 +59,8 @@ def test_diff_matches_a_multiset_count(spark, seed):
     a, b = spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)
     counts = {row: (left.count(row), right.count(row)) for row in {*left, *right}}
     expected = {(*row, n, m) for row, (n, m) in counts.items() if n != m}
-    assert {tuple(r) for r in frame_diff(a, b).collect()} == expected
+    for ways in ({}, {"buckets": 3}, {"by_digest": False}):
+        assert {tuple(r) for r in frame_diff(a, b, **ways).collect()} == expected
     with pytest.raises(AssertionError, match="rows differ"):
         assert_same_frames(a, b)
 
@@ -83,6 +84,27 @@ def test_schema_is_compared_first(spark):
     assert schema_difference(a, b.withColumn("w", F.lit(1)), False) == {("w", "int")}
 
 
+def test_equal_tables_group_no_rows(spark, plan_of):
+    """Sums of buckets shuffle first; rows of unlike buckets alone come to the second aggregation."""
+    left = spark.range(20_000).withColumn("text", F.concat(F.lit("row "), F.col("id")))
+    right = left.repartition(3).select("text", "id")
+    assert unlike_buckets(left, right).isEmpty() and frame_diff(left, right).isEmpty()
+    changed = right.withColumn("text", F.when(F.col("id") == 7, "other").otherwise(F.col("text")))
+    assert 1 <= unlike_buckets(left, changed).count() <= 2
+    assert sorted((r.id, r.text, r.left_rows, r.right_rows) for r in frame_diff(left, changed).collect()) == [
+        (7, "other", 0, 1), (7, "row 7", 1, 0)]
+    plan = plan_of(frame_diff(left, right))
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+
+
+def test_swapped_nulls_and_cells_differ(spark):
+    a = spark.createDataFrame([(None, 1), (2, 3)], "x int, y int")
+    b = spark.createDataFrame([(1, None), (3, 2)], "x int, y int")
+    assert frame_diff(a, b).count() == 4
+    maps = spark.sql("SELECT variant_get(parse_json('1'), '$', 'int') AS v, 1 AS w")
+    assert frame_diff(maps, maps).isEmpty()
+
+
 def test_diff_combines_copies_before_the_shuffle(spark, plan_of):
-    plan = plan_of(frame_diff(spark.range(10), spark.range(9)))
+    plan = plan_of(frame_diff(spark.range(10), spark.range(9), by_digest=False))
     assert plan.index("Exchange") < plan.rindex("HashAggregate")
