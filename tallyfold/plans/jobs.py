@@ -17,14 +17,17 @@ def clean_flight_tables(catalog: Catalog, compression: str = "snappy") -> None:
     """Read the three raw tables, clean each and save it.
 
     Missing and unreadable cells of the raw flights are counted while the clean ones are written, and saved as
-    `flight_quality`.
+    `flight_quality` where the catalog has that dataset.
     """
     for name, clean in (("airports", clean_airports), ("carriers", clean_carriers)):
         catalog.save(clean(catalog.load(f"raw_{name}")), f"clean_{name}", compression=compression)
-    quality = Quality(EXPECTED)
-    raw = quality.watch(catalog.load("raw_flights"))
+    raw, quality = catalog.load("raw_flights"), None
+    if "flight_quality" in catalog:
+        quality = Quality(EXPECTED)
+        raw = quality.watch(raw)
     catalog.save(clean_flights(raw), "clean_flights", compression=compression)
-    catalog.save(quality.table(raw.sparkSession), "flight_quality")
+    if quality:
+        catalog.save(quality.table(raw.sparkSession), "flight_quality")
 
 
 def build_master_flights(catalog: Catalog, compression: str = "snappy", **columns: str) -> None:

@@ -57,11 +57,15 @@ def flight_catalog(source_dir: str, target_dir: str) -> dict[str, DataLink]:
         ("clean_airports", "clean_airports"),
         ("clean_carriers", "clean_carriers"),
         ("master_flights", "master_flights"),
-        ("flight_quality", "flight_quality"),
     )}
     return raw | clean
 
 
+def quality_catalog(target_dir: str) -> dict[str, DataLink]:
+    """Where the flights job saves the quality of the raw cells; joined to its catalog by those who want it."""
+    return {"flight_quality": DataLink("parquet", f"{target_dir}/flight_quality")}
+
+
 def movie_catalog(source_dir: str, target_dir: str) -> dict[str, DataLink]:
     """The datasets of the movies job."""
     return {

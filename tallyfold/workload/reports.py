@@ -10,7 +10,7 @@ from tallyfold.plans import jobs, reports
 from tallyfold.plans.dimensions import clean_airports, clean_carriers
 from tallyfold.plans.flights import CLEAN_NAMES, CLOCK_COLUMNS, clean_flights
 from tallyfold.session import scratch_path
-from tallyfold.sources.catalog import Catalog, flight_catalog
+from tallyfold.sources.catalog import Catalog, flight_catalog, quality_catalog
 from tallyfold.workload import raw
 from tallyfold.workload.cleaning import (
     CLEAN_AIRPORTS_SQL,
@@ -169,7 +169,7 @@ def _(t):
 def _(t):
     # From text files to the saved view, as a user would run it.
     folder = scratch_path(t.spark, "flight-jobs")
-    catalog = Catalog(t.spark, flight_catalog(f"{folder}/raw", f"{folder}/clean"))
+    catalog = Catalog(t.spark, flight_catalog(f"{folder}/raw", f"{folder}/clean") | quality_catalog(f"{folder}/clean"))
     for name, table in (("flights", raw.flights(t)), ("airports", raw.airports(t)), ("carriers", raw.carriers(t))):
         catalog.save(table, f"raw_{name}")
     jobs.clean_flight_tables(catalog)
