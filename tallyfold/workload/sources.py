@@ -18,6 +18,7 @@ from tallyfold.sources.catalog import (
     write_json_lines,
     write_parquet,
 )
+from tallyfold.sources.inference import read_typed
 from tallyfold.sources.intake import read_checked
 from tallyfold.workload.registry import query
 
@@ -336,3 +337,25 @@ def _(t):
     lines.write.options(header="true", quote="", sep="\u0001").csv(path)
     rows, quarantine = read_checked(t.spark, path, separator=";")
     return rows.unionByName(quarantine, allowMissingColumns=True)
+
+
+# Columns whose cells are all of one kind, of two kinds with a wider type in common, of two without, and of none.
+_MIXED_CELLS = """
+SELECT o_orderkey, o_custkey * 10000000000 AS wide, o_orderkey % 2 = 0 AS even, CAST(o_orderdate AS DATE) AS day,
+       CASE WHEN o_orderkey % 3 = 0 THEN '2.5' ELSE CAST(o_orderkey % 3 AS STRING) END AS some_fractions,
+       CASE WHEN o_orderkey % 4 = 0 THEN 'none' ELSE CAST(o_orderkey AS STRING) END AS some_words,
+       CASE WHEN o_orderkey % 5 > 0 THEN CAST(o_orderkey % 5 AS STRING) END AS some_gaps,
+       CAST(NULL AS STRING) AS gaps
+FROM {orders}"""
+
+
+@query("csv_types_one_pass", """
+SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS BIGINT) * 10000000000 AS wide,
+       o_orderkey % 2 = 0 AS even, CAST(o_orderdate AS DATE) AS day,
+       CASE WHEN o_orderkey % 3 = 0 THEN 2.5 ELSE o_orderkey % 3 END::DOUBLE AS some_fractions,
+       CASE WHEN o_orderkey % 4 = 0 THEN 'none' ELSE CAST(o_orderkey AS VARCHAR) END AS some_words,
+       CAST(NULLIF(o_orderkey % 5, 0) AS INTEGER) AS some_gaps, CAST(NULL AS VARCHAR) AS gaps
+FROM orders""")
+def _(t):
+    """Types found while the text is read, instead of by a reading of their own."""
+    return read_typed(t.spark, _as_csv(t, t.derive(_MIXED_CELLS, "orders")), separator=";")
