@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,6 +11,13 @@ from pyspark.sql import types as T
 
 from tallyfold.functions.casting import safe_cast
 
+# Values that a sketch of frequent values follows, and how many of them it lists, the most frequent ones.
+TRACKED, LISTED = 12_000, 2_000
+# Sketches are joined in so many groups before they are joined to one.
+SKETCH_GROUPS = 256
+# Types of which values can be sketched and written into a plan.
+SKETCHED = (T.StringType, T.IntegralType, T.DateType, T.BooleanType, T.DecimalType)
+
 
 def group_sum(
     frame: DataFrame, by: Sequence[str], column: str, name: str,
@@ -31,9 +39,59 @@ def group_count(frame: DataFrame, by: Sequence[str], name: str = "count") -> Dat
     return frame.groupBy(*by).agg(F.count(F.lit(1)).alias(name))
 
 
-def most_frequent(frame: DataFrame, column: str, k: int) -> DataFrame:
-    """The k most frequent non-NULL values with their counts; ties go to the lower value."""
-    counts = group_count(frame.where(F.col(column).isNotNull()), [column])
+def sketch_error(tracked: int = TRACKED) -> float:
+    """By which share of the rows, at most, the sketch's count of a value is too high.
+
+    The sketch of frequent items keeps a table of a power of two of places, three quarters of them in use.
+    """
+    return 3.5 / 2 ** math.ceil(math.log2(tracked / 0.75))
+
+
+def frequent_candidates(frame: DataFrame, kept: Mapping[str, int], tracked: int = TRACKED) -> dict[str, list]:
+    """For columns given as {column: k}, values that hold the k most frequent ones for certain.
+
+    One pass makes a sketch of bounded size per task, joined in two steps. Its count of a value is at most e
+    too high, where e is `sketch_error` times the rows. It lists values it has counted more than e times for certain,
+    up to `LISTED`, the highest first. A value that is not listed thus occurs 2e times at most or, if the list is
+    full, no more often than its last count says. Where the k-th count, less e, is higher, the list holds the k
+    most frequent values, ties included. Columns where that is not so, or whose type has no sketch, are left out.
+    """
+    listed = min(LISTED, tracked)
+    able = [c for c in kept if isinstance(frame.schema[c].dataType, SKETCHED) and 0 < kept[c] < listed]
+    if not able:
+        return {}
+
+    def cells(i: int, name: str) -> Column:
+        return F.expr(f"approx_top_k_accumulate(c{i}, {tracked}) FILTER (WHERE c{i} IS NOT NULL)").alias(name)
+
+    columns = frame.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(able)])
+    part = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("part")
+    parts = columns.withColumn("part", part).groupBy("part").agg(*[
+        figure for i in range(len(able)) for figure in (F.count(f"c{i}").alias(f"n{i}"), cells(i, f"s{i}"))])
+    row = parts.agg(*[figure for i in range(len(able)) for figure in (
+        F.sum(f"n{i}").alias(f"n{i}"),
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(s{i}, {tracked}), {listed})").alias(f"top{i}"))]).first()
+    found = {}
+    for i, column in enumerate(able):
+        top, error = row[f"top{i}"] or [], sketch_error(tracked) * (row[f"n{i}"] or 0)
+        unlisted = max(2 * error, top[-1]["count"] if len(top) == listed else 0)
+        least = top[kept[column] - 1]["count"] - error if len(top) >= kept[column] else 0
+        # A value that is not listed and occurs less than once is none.
+        if least > unlisted or unlisted < 1:
+            # What occurs less often than the k-th value does at least is out of the question.
+            found[column] = [item["item"] for item in top if item["count"] >= least]
+    return found
+
+
+def most_frequent(frame: DataFrame, column: str, k: int, sketch: bool = True) -> DataFrame:
+    """The k most frequent non-NULL values with their counts; ties go to the lower value.
+
+    Where a sketch proves which values can be among them, only these are counted, so the shuffle does not grow
+    with the number of values; else, or without `sketch`, all are.
+    """
+    known = frequent_candidates(frame, {column: k}).get(column) if sketch else None
+    wanted = F.col(column).isNotNull() if known is None else F.col(column).isin(known)
+    counts = group_count(frame.where(wanted), [column])
     return counts.orderBy(F.desc("count"), F.asc(column)).limit(k)
 
 

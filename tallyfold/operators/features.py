@@ -8,7 +8,7 @@ from collections.abc import Collection, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyfold.operators.aggregates import modes, value_counts
+from tallyfold.operators.aggregates import frequent_candidates, modes, value_counts
 from tallyfold.operators.joins import keyed_join, salted_join
 from tallyfold.operators.quantiles import GATHER_ROWS, exact_medians
 from tallyfold.session import materialise
@@ -31,10 +31,14 @@ def keep_most_frequent(
 ) -> DataFrame:
     """Replace all but the k most frequent values of text columns, given as {column: k}.
 
-    Ties go to the lower value; NULL counts as other. One pass counts for all columns.
+    Ties go to the lower value; NULL counts as other. One pass counts for all columns. In columns where a sketch
+    proves which values can be among them, no others are counted.
     """
     ranked = Window.partitionBy("column").orderBy(F.desc("count"), "value")
-    best = value_counts(frame, list(kept)).withColumn("rank", F.row_number().over(ranked))
+    texts = frame.select(*[F.col(c).cast("string").alias(c) for c in kept])
+    known = frequent_candidates(texts, kept)
+    texts = texts.withColumns({c: F.when(F.col(c).isin(values), F.col(c)) for c, values in known.items()})
+    best = value_counts(texts, list(kept)).withColumn("rank", F.row_number().over(ranked))
     wanted = F.lit(0)
     for column, k in kept.items():
         wanted = F.when(F.col("column") == column, F.lit(k)).otherwise(wanted)

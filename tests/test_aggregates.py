@@ -96,3 +96,48 @@ def test_exact_median_by_narrowing(spark):
 def test_exact_median_of_nothing_and_of_nan(spark):
     frame = spark.createDataFrame([(None, float("nan")), (None, 2.0), (None, 4.0)], "a double, b double")
     assert exact_medians(frame, ["a", "b"]) == {"a": None, "b": 3.0}
+
+
+def skewed(spark, rows=40_000):
+    """Value i < 30 occurs about 1/(i + 2)^2 of the time, all other values once."""
+    rank = F.floor(1 / F.sqrt((F.pmod(F.xxhash64("id"), F.lit(100_003)) + 1) / 100_003.0)).cast("int")
+    return spark.range(rows).select(
+        F.when(rank < 30, F.concat(F.lit("v"), rank)).otherwise(F.concat(F.lit("rare"), "id")).alias("v"),
+        F.when(F.col("id") % 7 > 0, F.col("id") % 7).alias("n"), "id")
+
+
+def test_frequent_values_are_proved_by_a_sketch(spark):
+    frame = skewed(spark)
+    for k in (1, 5, 10):
+        found = aggregates.frequent_candidates(frame, {"v": k, "n": k, "id": k})
+        exact = [r["v"] for r in aggregates.most_frequent(frame, "v", k, sketch=False).collect()]
+        assert set(exact) <= set(found["v"]) and len(found["v"]) < 40
+        # Where all values occur once, none can be proved to be frequent.
+        assert "id" not in found and len(found.get("n", [None] * 6)) == 6
+        plain, proved = (aggregates.most_frequent(frame, "v", k, sketch=s) for s in (False, True))
+        assert [tuple(r) for r in proved.collect()] == [tuple(r) for r in plain.collect()]
+        # The other values do not reach the shuffle.
+        sent = proved._jdf.queryExecution().optimizedPlan().toString()
+        assert "Filter" in sent and all(v in sent for v in found["v"][:3])
+    top = aggregates.most_frequent(frame, "id", 3)
+    assert [tuple(r) for r in top.collect()] == [(0, 1), (1, 1), (2, 1)]
+
+
+def test_a_sketch_without_room_proves_nothing_wrong(spark):
+    frame = skewed(spark, 5_000)
+    exact = [r["v"] for r in aggregates.most_frequent(frame, "v", 8, sketch=False).collect()]
+    for tracked in (12, 24, 96, 384, 3_072):
+        found = aggregates.frequent_candidates(frame, {"v": 8}, tracked).get("v")
+        assert found is None or set(exact) <= set(found)
+
+
+def test_frequent_values_of_odd_columns(spark):
+    empty = spark.createDataFrame([], "v string, d double, a array<int>")
+    assert aggregates.most_frequent(empty, "v", 3).collect() == []
+    nulls = spark.createDataFrame([(None, 1.0, [1])] * 3, empty.schema)
+    assert aggregates.most_frequent(nulls, "v", 3).collect() == []
+    assert [tuple(r) for r in aggregates.most_frequent(nulls, "d", 3).collect()] == [(1.0, 3)]
+    assert [tuple(r) for r in aggregates.most_frequent(nulls, "a", 3).collect()] == [([1], 3)]
+    assert aggregates.frequent_candidates(nulls, {"d": 1, "a": 1}) == {}
+    named = spark.createDataFrame([("x",), ("x",), ("y",)], "`odd.name` string").withColumnRenamed("odd.name", "s0")
+    assert [tuple(r) for r in aggregates.most_frequent(named, "s0", 1).collect()] == [("x", 2)]
