@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyfold.functions.casting import safe_cast
+from tallyfold.session import materialise
 
 # Values that a sketch of frequent values follows, and how many of them it lists, the most frequent ones.
 TRACKED, LISTED = 12_000, 2_000
@@ -68,12 +69,18 @@ def frequent_candidates(frame: DataFrame, kept: Mapping[str, int], tracked: int
     part = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("part")
     parts = columns.withColumn("part", part).groupBy("part").agg(*[
         figure for i in range(len(able)) for figure in (F.count(f"c{i}").alias(f"n{i}"), cells(i, f"s{i}"))])
-    row = parts.agg(*[figure for i in range(len(able)) for figure in (
-        F.sum(f"n{i}").alias(f"n{i}"),
-        F.expr(f"approx_top_k_estimate(approx_top_k_combine(s{i}, {tracked}), {listed})").alias(f"top{i}"))]).first()
+    # Sketches without values have no type and join with none, so columns that hold any are found out first.
+    parts = materialise(parts, "sketches")
+    rows = parts.agg(*[F.sum(f"n{i}") for i in range(len(able))]).first()
+    full = [i for i in range(len(able)) if rows[i]]
+    if not full:
+        return dict.fromkeys(able, [])
+    row = parts.agg(*[F.expr(
+        f"approx_top_k_estimate(approx_top_k_combine(s{i}, {tracked}) FILTER (WHERE n{i} > 0), {listed})").alias(f"top{i}")
+        for i in full]).first()
     found = {}
     for i, column in enumerate(able):
-        top, error = row[f"top{i}"] or [], sketch_error(tracked) * (row[f"n{i}"] or 0)
+        top, error = row[f"top{i}"] if i in full else [], sketch_error(tracked) * (rows[i] or 0)
         unlisted = max(2 * error, top[-1]["count"] if len(top) == listed else 0)
         least = top[kept[column] - 1]["count"] - error if len(top) >= kept[column] else 0
         # A value that is not listed and occurs less than once is none.
