@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
 from collections.abc import Mapping
 from typing import NamedTuple
 
@@ -11,12 +13,29 @@ from pyspark.sql import DataFrame, SparkSession
 TEXT_OPTIONS = {"header": "true", "inferSchema": "false"}
 
 
+# Bytes of stored data that a bucket should hold.
+BUCKET_BYTES = 128 * 1024 * 1024
+
+
+class Buckets(NamedTuple):
+    """Rows dealt by the hash of key columns over a fixed number of files, each sorted by these."""
+
+    number: int
+    by: tuple[str, ...]
+
+
 class DataLink(NamedTuple):
-    """Format, location (any Hadoop path: file, hdfs, s3a, ...) and reader options."""
+    """Format, location (any Hadoop path: file, hdfs, s3a, ...), reader options, and buckets if it has any."""
 
     format: str
     path: str
     options: Mapping[str, str] = {}
+    buckets: Buckets | None = None
+
+
+def buckets_for(stored_bytes: int, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """Number of buckets for a table of some size, a power of two, so that tables of other sizes fit to it."""
+    return 2 ** max(0, math.ceil(math.log2(max(1, stored_bytes) / bucket_bytes)))
 
 
 class Catalog:
@@ -36,12 +55,40 @@ class Catalog:
 
     def load(self, name: str) -> DataFrame:
         link = self.link(name)
+        if link.buckets:
+            return self._spark.table(self._table(name))
         return self._spark.read.format(link.format).options(**link.options).load(str(link.path))
 
     def save(self, frame: DataFrame, name: str, mode: str = "overwrite", **options) -> None:
+        """Write a dataset. One with buckets is dealt by their keys once, one file per bucket.
+
+        Bucketed datasets that have the same number of buckets join on their keys without a shuffle. All rows
+        of a key are in one bucket, so keys should be of no hot column.
+        """
         link = self.link(name)
-        writer = frame.write.format(link.format).mode(mode)
-        writer.options(**{**link.options, **options}).save(str(link.path))
+        if not link.buckets:
+            writer = frame.write.format(link.format).mode(mode)
+            writer.options(**{**link.options, **options}).save(str(link.path))
+            return
+        number, keys = link.buckets
+        # The exchange deals by the hash that buckets go by, so that each task writes one bucket.
+        writer = frame.repartition(number, *keys).write.format(link.format).mode(mode).options(**{**link.options, **options})
+        writer.bucketBy(number, *keys).sortBy(*keys).option("path", str(link.path)).saveAsTable(self._table_name(name))
+
+    def _table_name(self, name: str) -> str:
+        return f"{name}_{hashlib.sha256(str(self.link(name).path).encode()).hexdigest()[:16]}"
+
+    def _table(self, name: str) -> str:
+        """The table over a bucketed dataset. A session that has none, such as a later one, gets it from the files."""
+        link, table = self.link(name), self._table_name(name)
+        if not self._spark.catalog.tableExists(table):
+            columns = self._spark.read.format(link.format).options(**link.options).load(str(link.path)).schema
+            keys = ", ".join(f"`{k}`" for k in link.buckets.by)
+            fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
+            path = str(link.path).replace("'", "\\'")
+            self._spark.sql(f"CREATE TABLE {table} ({fields}) USING {link.format} CLUSTERED BY ({keys}) "
+                            f"SORTED BY ({keys}) INTO {link.buckets.number} BUCKETS LOCATION '{path}'")
+        return table
 
 
 def flight_catalog(source_dir: str, target_dir: str) -> dict[str, DataLink]:

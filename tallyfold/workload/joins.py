@@ -13,6 +13,8 @@ from tallyfold.operators.joins import (
 from tallyfold.operators.overlap import overlap_join
 from tallyfold.plans.dimensions import clean_carriers
 from tallyfold.plans.offices import offices_with_reigns
+from tallyfold.session import scratch_path
+from tallyfold.sources.catalog import Buckets, Catalog, DataLink, buckets_for
 from tallyfold.workload import raw
 from tallyfold.workload.cleaning import CLEAN_CARRIERS_SQL
 from tallyfold.workload.registry import query
@@ -153,6 +155,24 @@ def _(t):
     return view.drop("l_partkey", "l_suppkey")
 
 
+@query("star_view_bucketed", """
+SELECT l_orderkey, l_linenumber, l_quantity, o_orderdate, o_orderpriority, s_name AS supplier
+FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN supplier ON l_suppkey = s_suppkey""")
+def _(t):
+    """Lines and orders saved in buckets of the order's key, then joined where they lie."""
+    buckets = max(32, buckets_for(max(estimated_bytes(t.lineitem), estimated_bytes(t.orders))))
+    folder = scratch_path(t.spark, "buckets")
+    catalog = Catalog(t.spark, {
+        "lines": DataLink("parquet", f"{folder}/lines", {}, Buckets(buckets, ("l_orderkey",))),
+        "orders": DataLink("parquet", f"{folder}/orders", {}, Buckets(buckets, ("o_orderkey",))),
+    })
+    catalog.save(t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_suppkey"), "lines")
+    catalog.save(t.orders.select("o_orderkey", "o_orderdate", "o_orderpriority"), "orders")
+    view = attach_dimension(catalog.load("lines"), catalog.load("orders"), "l_orderkey", "o_orderkey",
+                            {c: c for c in ("o_orderdate", "o_orderpriority")}, broadcast_bytes=0, check=False)
+    return attach_dimension(view, t.supplier, "l_suppkey", "s_suppkey", {"s_name": "supplier"}, check=False).drop("l_suppkey")
+
+
 _VALID_AT_SQL = f"""
 SELECT l_orderkey, l_linenumber, l_partkey, ship_code, CAST(l_shipdate AS DATE) AS day, CARRIER_NAME AS carrier_name
 FROM (SELECT *, 'C' || CAST(l_suppkey % 21 AS STRING) AS ship_code FROM lineitem)

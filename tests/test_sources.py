@@ -5,10 +5,13 @@ from pyspark.sql import functions as F
 
 from tallyfold.operators.compare import assert_same_frames
 from tallyfold.session import scratch_path
+from tallyfold.operators.joins import attach_dimension
 from tallyfold.sources.catalog import (
     TEXT_OPTIONS,
+    Buckets,
     Catalog,
     DataLink,
+    buckets_for,
     flight_catalog,
     read_text_table,
     write_json_lines,
@@ -96,3 +99,50 @@ def test_scratch_path_is_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         assert a.startswith(shared)
+
+
+@pytest.fixture
+def bucketed(spark, tmp_path):
+    catalog = Catalog(spark, {
+        "facts": DataLink("parquet", f"file://{tmp_path}/facts", {}, Buckets(8, ("k",))),
+        "sides": DataLink("parquet", f"file://{tmp_path}/sides", {}, Buckets(8, ("key",))),
+    })
+    catalog.save(spark.range(2000).select((F.col("id") % 300).alias("k"), "id"), "facts")
+    catalog.save(spark.range(0, 600, 2).select(F.col("id").alias("key"), F.concat(F.lit("s"), "id").alias("name")), "sides")
+    return catalog
+
+
+def test_bucketed_datasets_join_where_they_lie(spark, bucketed, tmp_path, plan_of, monkeypatch):
+    files = list((tmp_path / "facts").glob("*.parquet"))
+    assert 0 < len(files) <= 8
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        facts, sides = bucketed.load("facts"), bucketed.load("sides")
+        view = attach_dimension(facts, sides, "k", "key", {"name": "name"}, broadcast_bytes=0, check=False)
+        plan = plan_of(view)
+        assert "SortMergeJoin" in plan and "Exchange" not in plan and "Bucketed: true" in plan
+        assert sorted(map(tuple, view.collect()), key=lambda r: r[1]) == [
+            (i % 300, i, f"s{i % 300}" if i % 2 == 0 else None) for i in range(2000)]
+        # A total by the key needs no shuffle either.
+        assert "Exchange" not in plan_of(facts.groupBy("k").count())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_session_without_the_table_reads_the_files(spark, bucketed, plan_of):
+    rows = sorted(map(tuple, bucketed.load("sides").collect()))
+    spark.sql(f"DROP TABLE {bucketed._table_name('sides')}")
+    again = bucketed.load("sides")
+    assert sorted(map(tuple, again.collect())) == rows and "Bucketed" in plan_of(again)
+    assert "Exchange" not in plan_of(again.groupBy("key").count())
+    # Saving goes on as before, with the table and without it.
+    for drop in (False, True):
+        if drop:
+            spark.sql(f"DROP TABLE {bucketed._table_name('sides')}")
+        bucketed.save(spark.range(5).select(F.col("id").alias("key"), F.lit("x").alias("name")), "sides")
+        assert bucketed.load("sides").count() == 5
+
+
+def test_number_of_buckets():
+    assert [buckets_for(n, 100) for n in (0, 1, 100, 101, 250, 401)] == [1, 1, 1, 2, 4, 8]
