@@ -35,10 +35,13 @@ def build_session(app_name: str = "tallyfold", master: str | None = None, **extr
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate tables, on storage that all executors share.
 
-    The cluster names it in `spark.checkpoint.dir`. Where that is unset, as in tests, a
-    folder beside the session's warehouse tables is used, which executors share as well.
+    The cluster names it in `spark.checkpoint.dir`. Where that is unset and all runs on one machine, as in
+    tests, a folder beside the session's warehouse tables is used; on a cluster that may be a disk that
+    other machines do not see, so there the setting must be made.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.conf.get("spark.master", "").startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch").rstrip("/")
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyfold.operators.compare import assert_same_frames
-from tallyfold.session import scratch_path
+from tallyfold.session import scratch_path, shared_folder
 from tallyfold.operators.joins import attach_dimension
 from tallyfold.sources.catalog import (
     TEXT_OPTIONS,
@@ -146,3 +146,14 @@ def test_a_session_without_the_table_reads_the_files(spark, bucketed, plan_of):
 
 def test_number_of_buckets():
     assert [buckets_for(n, 100) for n in (0, 1, 100, 101, 250, 401)] == [1, 1, 1, 2, 4, 8]
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    class Session:
+        def __init__(self, **conf):
+            self.conf = {name.replace("__", "."): value for name, value in conf.items()}
+
+    assert shared_folder(Session(spark__master="yarn", spark__checkpoint__dir="hdfs://x/y/")) == "hdfs://x/y"
+    assert shared_folder(Session(spark__master="local[2]", spark__sql__warehouse__dir="file:/w")) == "file:/w/scratch"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Session(spark__master="yarn", spark__sql__warehouse__dir="file:/w"))
