@@ -32,7 +32,8 @@ from tallyfold.session import materialise
 
 # Up to this many rows on the right, each left row is simply compared with all of them.
 COMPARE_ROWS = 64
-# Leaves are about four for each row on the right, between these powers of two.
+# Leaves are about four for each row on the right, between these powers of two. With equality keys of which
+# none has more than COMPARE_ROWS rows on the right, there are only as many as the fullest key has rows.
 LEAST_DEPTH, MOST_DEPTH = 6, 28
 # A right row is at most at two nodes per level as a range and at one as a point.
 NODES_PER_LEVEL = 3
@@ -82,6 +83,12 @@ def _cuts(sides) -> tuple[list[float], int]:
     return sorted({*(row["cuts"] or []), row["low"] or 0.0, row["high"] or 0.0}), row["rows"]
 
 
+def _fullest_key(frame: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of the key that has most of them; a key with a NULL meets nothing."""
+    rows = frame.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    return rows.agg(F.max("rows")).first()[0] or 0
+
+
 def _with_leaf(frame: DataFrame, name: str, leaf: str, open_leaf: int, cuts: list[float],
                leaves: int) -> DataFrame:
     """Add the leaf of a bound: the piece it lies in, and its place within the piece.
@@ -197,7 +204,13 @@ def overlap_join(
 
     cuts, rows = _cuts([(left, left_range), (right, right_range)])
     if depth is None:
-        depth = max(LEAST_DEPTH, min(MOST_DEPTH, math.ceil(math.log2(max(rows, 1))) + 2))
+        # Every level is a copy of each row in the shuffle. Where keys leave a row few others to be compared with, however
+        # their ranges lie, levels save less than they cost.
+        fullest = _fullest_key(right, [r for _, r in by]) if by else rows
+        if by and fullest <= COMPARE_ROWS:
+            depth = math.ceil(math.log2(max(fullest, 1)))
+        else:
+            depth = max(LEAST_DEPTH, min(MOST_DEPTH, math.ceil(math.log2(max(rows, 1))) + 2))
     leaves = 1 << depth
     # What is broadcast is a right row for each of its nodes.
     small = is_small(right, broadcast_bytes // (NODES_PER_LEVEL * (depth + 1)))

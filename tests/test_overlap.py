@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -149,6 +150,28 @@ def test_equality_keys_beside_the_ranges(spark, tmp_path, how, broadcast_bytes):
     assert_same_frames(actual, expected, False)
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("per_key, deepest", [(1, 0), (3, 2), (64, 6)])
+def test_keys_of_few_rows_need_few_levels(spark, plan_of, how, per_key, deepest):
+    rng = random.Random(per_key)
+    left = [(i, None if i % 9 == 0 else i % 5, *r[1:]) for i, r in enumerate(random_ranges(rng, 150, 1000, 60))]
+    # Keys 3 and 4 have no row, and a NULL key has more rows than any other but meets nothing.
+    keys = [k for k in range(3) for _ in range(per_key - (k == 1))] + [None] * 200
+    right = [(j, k, *r[1:]) for j, (k, r) in enumerate(zip(keys, random_ranges(rng, len(keys), 1000, 60)))]
+    l, r = spark.createDataFrame(left, "i int, k int, a int, b int"), spark.createDataFrame(right, "j int, m int, c int, d int")
+    expected = []
+    for x in left:
+        hits = brute([(x[0], x[2], x[3])], [(y[0], y[2], y[3]) for y in right if y[1] is not None and y[1] == x[1]], "inner")
+        expected += [(*x, h[3], x[1], h[4], h[5]) for h in hits]
+        if how == "left" and not hits:
+            expected.append((*x, None, None, None, None))
+    actual = overlap_join(l, r, ("a", "b"), ("c", "d"), how, "tree", by=[("k", "m")])
+    assert_same_frames(actual, spark.createDataFrame(expected, "i int, k int, a int, b int, j int, m int, c int, d int"),
+                       check_nullability=False)
+    levels = re.findall(r"shiftright\(.*?, (\d+)\)", plan_of(actual))
+    assert max(map(int, levels), default=0) <= deepest
+
+
 def test_empty_sides(spark):
     l, r = frames(spark, [(1, 1, 2)], [(1, 1, 2)])
     none = r.where("j > 5")
