@@ -9,6 +9,8 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyfold.session import whole_number_timestamps
+
 # House rule for delimited text: every column arrives as a string and is cast later.
 TEXT_OPTIONS = {"header": "true", "inferSchema": "false"}
 
@@ -65,6 +67,10 @@ class Catalog:
         Bucketed datasets that have the same number of buckets join on their keys without a shuffle. All rows
         of a key are in one bucket, so keys should be of no hot column.
         """
+        with whole_number_timestamps(self._spark):
+            self._write(frame, name, mode, **options)
+
+    def _write(self, frame: DataFrame, name: str, mode: str, **options) -> None:
         link = self.link(name)
         if not link.buckets:
             writer = frame.write.format(link.format).mode(mode)

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyfold.session import adopt
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -34,7 +36,7 @@ def query(name: str, sql: str | None = None):
     def register(build: Callable[[Tables], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"query {name!r} exists")
-        QUERIES[name] = lambda spark, folder: build(Tables(spark, folder))
+        QUERIES[name] = lambda spark, folder: build(Tables(adopt(spark), folder))
         if sql is not None:
             ORACLES[name] = sql
         return build
