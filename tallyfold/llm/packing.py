@@ -27,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from tallyfold.llm.tokens import encoder
+from tallyfold.llm.worker import give_back
 
 CAPACITY = 2048
 END_ID = 1
@@ -122,6 +123,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: st
                         packer.add(doc_id, start, ids[4 * start:4 * (start + length)], tokens)
                         start += length
                 yield packer.take()
+            give_back()
         packer.finish()
         yield packer.take()
 

@@ -14,6 +14,8 @@ import re
 
 import numpy as np
 
+from tallyfold.llm.worker import held
+
 # Letters that every version of Unicode takes for letters.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 # A piece that may be cut around each run of plain letters, and each of its parts is then
@@ -105,11 +107,6 @@ class Encoder:
         return [b"".join(map(fetch, pieces)) for pieces in cut]
 
 
-_ENCODERS: dict[tuple[str, str], Encoder] = {}
-
-
 def encoder(path: str, dtype: str = "<u4") -> Encoder:
-    """The worker's encoder for a vocabulary; it outlives the task, with what it has met."""
-    if (path, dtype) not in _ENCODERS:
-        _ENCODERS[path, dtype] = Encoder(path, dtype)
-    return _ENCODERS[path, dtype]
+    """The worker's encoder for a vocabulary; it outlives the task, with what it has met, until the worker does other work."""
+    return held((path, dtype), lambda: Encoder(path, dtype))

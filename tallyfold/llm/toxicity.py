@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
+from tallyfold.llm.worker import drop_held, give_back
 from tallyfold.session import materialise
 
 MOST_TOXIC, MOST_CLEAN, LONGEST = 3_000, 6_000, 40_000
@@ -48,6 +49,8 @@ KEPT_WORDS = 300_000
 PARTS = 64
 # Words longer than this are not kept in the worker's table.
 LONG_WORD = 64
+# Words, or places of words, that a step of training takes at a time.
+BLOCK = 2**16
 _WORDS = re.compile(r"[^\W_]+")
 
 
@@ -173,23 +176,38 @@ def sample_from_texts(texts: Iterable[str], labels: Iterable[int]) -> Sample:
     return Sample(*held, np.array(list(labels), np.float64), np.array(grams, np.int32), np.array(ends, np.int64))
 
 
+def _blocks(n: int) -> Iterator[tuple[int, int]]:
+    return ((a, min(n, a + BLOCK)) for a in range(0, n, BLOCK))
+
+
 def train(sample: Sample) -> Model:
-    """Full-batch descent on the cross-entropy of the softmax over passages, then of the curve over texts."""
-    word, gram, starts, sizes = sample.words, sample.grams, sample.ends[:-1], np.diff(sample.ends)
+    """Full-batch descent on the cross-entropy of the softmax over passages, then of the curve over texts.
+
+    Sums over words and n-grams are made block by block, in their order, so beside the sample only a block is held.
+    """
+    word, gram, ends, sizes = sample.words, sample.grams, sample.ends, np.diff(sample.ends)
     passage = np.repeat(np.arange(len(sample.sizes), dtype=np.int32), sample.sizes)
     text_of = np.repeat(np.arange(len(sample.passages)), sample.passages)
     y, by_text = sample.labels[text_of], sample.labels
 
     def logits(parts):
         across = parts["weights"][:, 1] - parts["weights"][:, 0]
-        by_word = np.add.reduceat((parts["vectors"] @ across)[gram], starts) / sizes
-        return np.bincount(passage, by_word[word], len(y)) / PASSAGE + (parts["bias"][1] - parts["bias"][0])
+        by_bucket, by_word, by_passage = parts["vectors"] @ across, np.empty(len(sizes)), np.zeros(len(y))
+        for a, b in _blocks(len(sizes)):
+            by_word[a:b] = np.add.reduceat(by_bucket[gram[ends[a]:ends[b]]], ends[a:b] - ends[a]) / sizes[a:b]
+        for a, b in _blocks(len(word)):
+            np.add.at(by_passage, passage[a:b], by_word[word[a:b]])
+        return by_passage / PASSAGE + (parts["bias"][1] - parts["bias"][0])
 
     def slopes(parts):
         across = parts["weights"][:, 1] - parts["weights"][:, 0]
         error = (1 / (1 + np.exp(-np.clip(logits(parts), -60, 60))) - y) / len(y)
-        word_error = np.bincount(word, error[passage], len(sizes)) / PASSAGE / sizes
-        bucket_error = np.bincount(gram, np.repeat(word_error, sizes), BUCKETS)
+        word_error, bucket_error = np.zeros(len(sizes)), np.zeros(BUCKETS)
+        for a, b in _blocks(len(word)):
+            np.add.at(word_error, word[a:b], error[passage[a:b]])
+        word_error = word_error / PASSAGE / sizes
+        for a, b in _blocks(len(sizes)):
+            np.add.at(bucket_error, gram[ends[a]:ends[b]], np.repeat(word_error[a:b], sizes[a:b]))
         toward = parts["vectors"].T @ bucket_error
         return {"vectors": np.outer(bucket_error, across).astype(np.float32) + np.float32(DECAY) * parts["vectors"],
                 "weights": np.stack([-toward, toward], 1).astype(np.float32),
@@ -244,14 +262,21 @@ def fit(docs: DataFrame, labels: DataFrame, **names: str) -> Model | None:
     held = materialise(rows, "toxicity-sample")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_held()
         found = [r for batch in batches for r in zip(*[c.to_pylist() for c in batch.columns])]
         found.sort(key=lambda r: (str(r[0]), r[1], r[2]))
         if 0 < sum(r[2] for r in found) < len(found):
-            model = train(sample_from_texts((r[1] for r in found), [r[2] for r in found]))
+            sample = sample_from_texts((r[1] for r in found), [r[2] for r in found])
+            found.clear()
+            give_back()
+            model = train(sample)
+            del sample
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x.astype("<f4").tobytes()], pa.binary()) for x in (model.vectors, model.weights, model.bias)]
                 + [pa.array([x], pa.float64()) for x in (model.slope, model.shift)],
                 names=["vectors", "weights", "bias", "slope", "shift"])
+            del model
+            give_back()
 
     learnt = held.coalesce(1).mapInArrow(learn, "vectors binary, weights binary, bias binary, slope double, shift double").first()
     if learnt is None:
@@ -267,10 +292,13 @@ def score_toxicity(docs: DataFrame, model: Model | None, text: str = "text") ->
     at, names = kept.columns.index(text), [*kept.columns, "score", "predicted"]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_held()
         of = model.scorer() if model else (lambda _: 0.0)
         for batch in batches:
             scores = np.array([of(t.as_py()) for t in batch.column(at)], np.float64)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))], names=names)
+        del of
+        give_back()
 
     return kept.mapInArrow(score, schema)

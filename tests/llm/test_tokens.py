@@ -113,3 +113,57 @@ def test_long_pieces_are_not_kept():
     texts = ["\u6f22" * 5_000, "a" * 5_000, "plain words " * 50]
     assert found.encode(texts) == Encoder(vocabulary("byte_bpe_50k.json"), "<u4").encode(texts)
     assert found._pieces and max(map(len, found._pieces)) <= LONGEST_KEPT
+
+
+def test_other_work_drops_what_a_worker_holds():
+    import weakref
+
+    import pyarrow as pa
+    from pyspark.sql.types import LongType, StructField, StructType, StringType
+
+    from tallyfold.llm import toxicity
+    from tallyfold.llm.tokens import encoder
+
+    class Rows:
+        schema = StructType([StructField("doc_id", LongType()), StructField("text", StringType())])
+        columns = schema.names
+
+        def drop(self, *names):
+            return self
+
+        def mapInArrow(self, work, schema):
+            return work
+
+    kept = weakref.ref(encoder(BYTE))
+    assert encoder(BYTE) is kept()
+    scored = list(toxicity.score_toxicity(Rows(), None)(iter([pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["a"]})])))
+    assert scored[0].num_rows == 1
+    assert kept() is None
+    kept = weakref.ref(encoder(BYTE))
+    encoder(WORD)
+    assert kept() is None
+
+
+def test_training_holds_a_block_beside_its_sample(monkeypatch):
+    import tracemalloc
+
+    from tallyfold.llm import toxicity
+
+    rng = random.Random(1)
+    monkeypatch.setattr(toxicity, "BUCKETS", 2**12)
+    texts = [" ".join(f"{rng.randrange(10**9):x}" for _ in range(300)) for _ in range(300)]
+    sample = toxicity.sample_from_texts(texts, [i % 2 for i in range(len(texts))])
+    monkeypatch.setattr(toxicity, "EPOCHS", 2)
+
+    def trained(block):
+        monkeypatch.setattr(toxicity, "BLOCK", block)
+        tracemalloc.start()
+        model = toxicity.train(sample)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return model, peak
+
+    (small, less), (whole, more) = trained(2**10), trained(2**40)
+    assert np.array_equal(small.vectors, whole.vectors) and np.array_equal(small.weights, whole.weights)
+    assert (small.slope, small.shift) == (whole.slope, whole.shift)
+    assert less < 0.8 * more
