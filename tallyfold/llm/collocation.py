@@ -22,7 +22,8 @@ A candidate inside a longer one with 100 f(longer) >= 80 a is dropped. Products
 nothing overflows.
 
 A worker holds the ids of a buffer of `BUFFER` words at most, and one text. What is counted in the
-buffer is combined before the shuffle, so a hot line or word is one row per buffer.
+buffer is combined before the shuffle, so a hot line or word counts once per buffer. Windows cross it as
+compressed blocks, one for each range of first pairs that a buffer has.
 
 Defined cases: a null text is empty; a null language is `und`, as is that name itself; a text without
 words has no windows; repeated rows count each; an empty table gives no rows; other columns of
@@ -37,6 +38,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,6 +55,10 @@ BUFFER = 500_000
 CHARACTERS_PER_CELL, FEWEST_CELLS, MOST_CELLS = 24, 2**18, 2**26
 # Cells of one row of the exchange.
 RANGE = 2**14
+# Parts in which the windows of a buffer are exchanged.
+RANGES = 2**8
+# Blocks that a worker reads at a time.
+BLOCKS = 2**8
 # A word, or the mark that a piece ends.
 TOKEN = re.compile(r"[.,;:!?\n-\r]|[^ \t.,;:!?\n-\r]+")
 ENDS = tuple(".,;:!?\n\x0b\x0c\r")
@@ -219,43 +225,85 @@ def phrase_filter(texts: DataFrame, least: int = LEAST) -> Filter:
 
 
 def windows(texts: DataFrame, known: Filter) -> DataFrame:
-    """Rows (lang, w1 to w4, n): the longest windows, padded with nulls where they are cut, with how often they occur."""
+    """Rows (lang, phrase, n): the longest windows, up to where they are cut, with how often they occur; '' if nothing is left.
+
+    The exchange has one row for the windows of a buffer in one of `RANGES` ranges, sorted and compressed. A
+    window is in the same range in all buffers, so after it Spark sums up all of its rows in one task.
+    """
     cells = known.cells
     bits = texts.sparkSession.sparkContext.broadcast({o: b.tobytes() for o, b in known.bits.items()})
-    names = ["lang", *WORDS, "n"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rule = Filter(cells, bits.value)
+        codec = pa.Codec("zstd")
         for lang, words, ids in _buffers(batches):
             begins = ids > 0
-            columns = []
-            for step, (_, good) in enumerate(rule.prefixes(lang, words, ids)):
+            columns, dealt = [], np.zeros(len(ids), np.uint16)
+            for step, (hashes, good) in enumerate(rule.prefixes(lang, words, ids)):
                 later = np.zeros_like(ids)
                 later[:len(ids) - step] = ids[step:]
                 columns.append(np.where(good, later, 0)[begins])
+                if step < 2:
+                    dealt[good] = cells_of(hashes[good], RANGES)
             first, last = ((columns[i].astype(np.int64) << 32) | columns[i + 1] for i in (0, 2))
             order = np.lexsort((last, first))
             first, last = first[order], last[order]
             starts = np.flatnonzero(np.append(True, (first[1:] != first[:-1]) | (last[1:] != last[:-1])))[:len(first)]
             n = np.diff(np.append(starts, len(first)))
-            dictionary = pa.array(words, pa.string())
+            dealt = dealt[begins][order][starts]
+            by_range = np.argsort(dealt, kind="stable")
+            first, last, n, dealt = first[starts][by_range], last[starts][by_range], n[by_range], dealt[by_range]
+            # A window of padding alone is an empty first word, since a join of nulls alone has no row.
+            heads, dictionary = (pa.array([pad, *words[1:]], pa.string()) for pad in ("", None))
             low = np.int64(0xFFFFFFFF)
-            found = [first[starts] >> 32, first[starts] & low, last[starts] >> 32, last[starts] & low]
-            for at in range(0, len(starts), 20_000):
-                some = slice(at, at + 20_000)
+            later = [dictionary.take(pa.array(f)) for f in (first & low, last >> 32, last & low)]
+            phrases = pc.binary_join_element_wise(heads.take(pa.array(first >> 32)), *later, " ", null_handling="skip")
+            phrases = phrases.cast(pa.large_string())
+            ends = np.frombuffer(phrases.buffers()[1], np.int64)[:len(phrases) + 1]
+            letters = memoryview(phrases.buffers()[2] or b"")
+            edges = np.flatnonzero(np.append(True, dealt[1:] != dealt[:-1]))[:len(dealt)]
+            blocks = []
+            for a, b in zip(edges, np.append(edges[1:], len(dealt))):
+                numbers = np.concatenate([np.diff(ends[a:b + 1]), n[a:b]]).astype("<u4").tobytes()
+                blocks.append((b - a, len(numbers) + ends[b] - ends[a], numbers + letters[ends[a]:ends[b]]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(dealt[edges], pa.int32()), pa.array([lang] * len(blocks), pa.string()),
+                 *[pa.array([block[i] for block in blocks], pa.int64()) for i in (0, 1)],
+                 pa.array([codec.compress(block[2], asbytes=True) for block in blocks], pa.binary())],
+                names=["range", "lang", "rows", "size", "block"])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd")
+        for batch in batches:
+            for at in range(0, batch.num_rows, BLOCKS):
+                part = batch.slice(at, BLOCKS)
+                rows, sizes, blocks = (part.column(i).to_pylist() for i in (2, 3, 4))
+                lengths, counts, letters = [], [], []
+                for of, size, block in zip(rows, sizes, blocks):
+                    whole = codec.decompress(block, size, asbytes=True)
+                    numbers = np.frombuffer(whole, "<u4", 2 * of)
+                    lengths.append(numbers[:of])
+                    counts.append(numbers[of:])
+                    letters.append(whole[8 * of:])
+                ends = np.cumsum(np.concatenate([[0], *lengths]), dtype=np.int64)
+                phrases = pa.LargeStringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends), pa.py_buffer(b"".join(letters)))
+                langs = part.column(1).take(pa.array(np.repeat(np.arange(len(rows)), rows)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(n[some]), pa.string()),
-                     *[dictionary.take(pa.array(f[some])) for f in found], pa.array(n[some], pa.int64())], names=names)
+                    [langs, phrases.cast(pa.string()), pa.array(np.concatenate(counts), pa.int64())],
+                    names=["lang", "phrase", "n"])
 
-    schema = "lang string, " + ", ".join(f"{w} string" for w in WORDS) + ", n bigint"
-    return texts.mapInArrow(count, schema)
+    rows = texts.mapInArrow(count, "range int, lang string, rows bigint, size bigint, block binary")
+    return rows.repartition("range").mapInArrow(read, "lang string, phrase string, n bigint")
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST, lang: str = "lang", text: str = "text") -> DataFrame:
     """Rows (lang, words, phrase, f) of all phrases of up to `ORDER` words with f >= `least`; words 0: all of the language."""
     texts = plain_texts(docs, lang, text)
-    counted = windows(texts, phrase_filter(texts, least)).groupBy("lang", *WORDS).agg(F.sum("n").alias("n"))
-    rolled = counted.rollup("lang", *WORDS).agg(F.sum("n").alias("f"), F.grouping_id().alias("rolled"))
+    counted = windows(texts, phrase_filter(texts, least)).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    parts = F.split(F.when(F.col("phrase") != "", F.col("phrase")), " ", -1)
+    padded = counted.select("lang", "n", parts.alias("parts")).select(
+        "lang", *[F.get("parts", F.lit(i)).alias(w) for i, w in enumerate(WORDS)], "n")
+    rolled = padded.rollup("lang", *WORDS).agg(F.sum("n").alias("f"), F.grouping_id().alias("rolled"))
     # The lowest bits of the grouping number are ones for the words that are rolled up.
     whole, words = F.lit(False), F.lit(0)
     for size in range(ORDER + 1):

@@ -77,6 +77,24 @@ def test_collocations_do_not_depend_on_buffers_or_cells(spark, monkeypatch):
     assert {tuple(r) for r in collocation.phrase_counts(docs, 4).collect()} == expected
 
 
+def test_windows_are_exchanged_in_blocks(spark):
+    docs = spark.createDataFrame(corpus(200, 6), DOCS).repartition(4)
+    found = collocation.windows(collocation.plain_texts(docs), collocation.Filter(2**10, {}))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(range") == 1
+    tasks = found.withColumn("task", F.spark_partition_id()).groupBy("lang", "phrase").agg(F.count_distinct("task").alias("tasks"))
+    assert tasks.agg(F.max("tasks")).first()[0] == 1
+    # As many words as all windows stand for, those cut to nothing included.
+    every = [w for _, t, _, _ in corpus(200, 6) for w in re.findall(r"[^ \t.,;:!?\n-\r]+", t or "")]
+    assert found.agg(F.sum("n")).first()[0] == len(every)
+
+
+def test_blocks_hold_windows_of_padding_alone(spark):
+    docs = spark.createDataFrame([(1, "a b c. a", "en", "s")], DOCS)
+    none = collocation.Filter(2**10, {1: bytes(2**7)})
+    assert [tuple(r) for r in collocation.windows(collocation.plain_texts(docs), none).collect()] == [("en", "", 4)]
+
+
 def test_scores_beyond_64_bits(spark):
     row = spark.range(1).select(F.lit(9 * 10**18).alias("a"), F.lit(9 * 10**18).alias("l"), F.lit(9 * 10**18).alias("r"))
     assert row.select(collocation.score_of("a", "l", "r")).first()[0] == 1_000_000
