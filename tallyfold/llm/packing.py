@@ -33,7 +33,6 @@ CAPACITY = 2048
 END_ID = 1
 # A piece is cut further if its place would stay empty by more than this share of it.
 WASTE = 64
-ROWS = 256
 SCHEMA = ("doc_id long, start long, length long, doc_tokens long, "
           "sequence_id long, offset long, ids binary")
 _ARROW = pa.schema([(n, pa.int64()) for n in ("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset")]
@@ -111,12 +110,12 @@ def pack_documents(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: st
     end = end_id.to_bytes(4, "little")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer).encode_parts
         packer = HarmonicPacker(TaskContext.get().partitionId() << 36, capacity)
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                part = batch.slice(at, ROWS)
-                for doc_id, ids in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist())):
+            doc_ids = iter(batch.column(0).to_pylist())
+            for part in encode(batch.column(1)):
+                for ids, doc_id in zip(part, doc_ids):
                     ids += end
                     tokens, start = len(ids) // 4, 0
                     for length in cut_lengths(tokens, capacity):

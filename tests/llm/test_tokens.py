@@ -167,3 +167,46 @@ def test_training_holds_a_block_beside_its_sample(monkeypatch):
     assert np.array_equal(small.vectors, whole.vectors) and np.array_equal(small.weights, whole.weights)
     assert (small.slope, small.shift) == (whole.slope, whole.shift)
     assert less < 0.8 * more
+
+
+def _distinct_words(n):
+    return ["".join("abcdefghijklmnop"[i >> 4 * k & 15] for k in range(5)) for i in range(n)]
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_a_worker_keeps_a_bounded_number_of_ids(path):
+    found = Encoder(path)
+    words = _distinct_words(260_000)
+    for at in range(0, len(words), 20_000):
+        some = words[at:at + 20_000]
+        found.encode([" ".join(some), ", ".join(some), " ".join(w + "!?" for w in some)])
+    assert sum(len(x) for x in vars(found).values() if isinstance(x, dict) and x is not found._letters) <= 200_000
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_a_word_is_encoded_once_whatever_marks_end_it(path, monkeypatch):
+    found, words = Encoder(path), _distinct_words(500)
+    texts = ["x " + " ".join(w + mark for w in words) for mark in ("", ".", "##", "!!", ",%%", "_")]
+    seen = []
+    plain = found._encode
+    monkeypatch.setattr(found, "_encode", lambda pieces: seen.extend(pieces) or plain(pieces))
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in found.encode(texts)] == [library(path, t) for t in texts]
+    assert len(seen) < 20
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_parts_of_a_column_have_the_ids_of_its_rows(path, monkeypatch):
+    import pyarrow as pa
+
+    from tallyfold.llm import tokens
+
+    rows = [None, "", "plain words", "two  spaces \n here", "word!\n", " a", "Ärger. so\nweiter", "a" * 500, *texts()[0][1:], None]
+    monkeypatch.setattr(tokens, "PART_BYTES", 100)
+    column = pa.array(["before", *rows], pa.string()).slice(1)
+    parts = list(ENCODERS[path][0].encode_parts(column))
+    assert len(parts) > 3
+    assert [np.frombuffer(ids, "<u4").tolist() for part in parts for ids in part] == [library(path, t or "") for t in rows]
+    assert list(ENCODERS[path][0].encode_parts(column.slice(0, 0))) == []
+    assert ENCODERS[path][0].encode([]) == []
+    large = column.cast(pa.large_string())
+    assert ENCODERS[path][0].encode(large) == ENCODERS[path][0].encode(column)
