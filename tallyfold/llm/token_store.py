@@ -41,7 +41,6 @@ DICTIONARY_BYTES = 64 * 1024
 BLOCK_BYTES = 4 * 1024 * 1024
 BLOCK_DOCS = 4096
 LEVEL = 3
-ROWS = 256
 _BLOCKS = pa.schema([
     ("shard", pa.int32()), ("block", pa.int32()), ("dictionary", pa.string()),
     ("first_id", pa.int64()), ("last_id", pa.int64()), ("tokens", pa.int64()),
@@ -81,7 +80,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, vocabulary: int,
         .coalesce(1).write.parquet(f"{path}/dictionary")
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(tokenizer, dtype).encode, np.array([end_id], dtype).tobytes()
+        encode, end = encoder(tokenizer, dtype).encode_parts, np.array([end_id], dtype).tobytes()
         width = np.dtype(dtype).itemsize
         compress = zstandard.ZstdCompressor(level=LEVEL, **_dictionary(raw)).compress
         shard, block, held = TaskContext.get().partitionId(), 0, []
@@ -95,9 +94,9 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, vocabulary: int,
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, _BLOCKS)], schema=_BLOCKS)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                part = batch.slice(at, ROWS)
-                for doc_id, ids in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist())):
+            doc_ids = iter(batch.column(0).to_pylist())
+            for part in encode(batch.column(1)):
+                for ids, doc_id in zip(part, doc_ids):
                     ids += end
                     frame = compress(ids)
                     held.append((doc_id, len(ids) // width, frame))
