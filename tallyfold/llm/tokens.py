@@ -140,8 +140,11 @@ class Encoder:
             first, *others = _AFTER_TEXT.split(text)
             # The space belongs to the piece it begins.
             cut.append([first, *[" " + piece for piece in others]])
-        pieces = list(set().union(*cut))
-        fetch = dict(zip(pieces, self._piece_ids(pieces))).__getitem__
+        pieces = set().union(*cut)
+        spaced, others = [p for p in pieces if p[:1] == " "], [p for p in pieces if p[:1] != " "]
+        known = dict(zip(others, self._piece_ids(others)))
+        known |= zip(spaced, self._distinct_ids(pa.array([p[1:] for p in spaced], pa.string())).to_numpy(zero_copy_only=False))
+        fetch = known.__getitem__
         return [b"".join(map(fetch, pieces)) for pieces in cut]
 
     def encode(self, texts: list[str | None] | pa.Array) -> list[bytes]:

@@ -210,3 +210,14 @@ def test_parts_of_a_column_have_the_ids_of_its_rows(path, monkeypatch):
     assert ENCODERS[path][0].encode([]) == []
     large = column.cast(pa.large_string())
     assert ENCODERS[path][0].encode(large) == ENCODERS[path][0].encode(column)
+
+
+@pytest.mark.parametrize("gap", ["  ", "\n    ", "\n\n ", " \t ", "\u3000 "])
+def test_words_between_wide_gaps_are_encoded_once(gap, monkeypatch):
+    found, words = Encoder(BYTE), _distinct_words(500)
+    texts = [f"x{gap}y " + " ".join(w + mark for w in words) + gap for mark in ("", ".", "##", "!!", ",%%")]
+    seen = []
+    plain = found._encode
+    monkeypatch.setattr(found, "_encode", lambda pieces: seen.extend(pieces) or plain(pieces))
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in found.encode(texts)] == [library(BYTE, t) for t in texts]
+    assert len(seen) < 30
