@@ -17,7 +17,9 @@ Sampling draws a number from a hash of the id, so a run repeats and a larger tar
 what a smaller one kept.
 
 Texts are read twice, once to count words into cells and once to decide; only cells are
-shuffled, after counts are combined on the map side. A hot source is a few cells.
+shuffled, after counts are combined on the map side. A hot source is a few cells. The many
+steps on the cells need no shuffle while these are few: each exchange costs the driver a thread
+for a minute, and a round has three of them.
 
 Defined cases: a null source, language or topic is a value of its own; a text without words
 weighs one token, so that every document has a cell with weight; targets of values that do not occur
@@ -33,7 +35,7 @@ import warnings
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyfold.operators.joins import keyed_join
+from tallyfold.operators.joins import is_small, keyed_join
 from tallyfold.session import materialise
 
 DIMENSIONS = ("source", "lang", "topic")
@@ -44,8 +46,11 @@ WORD = r"[^ \t\r\n]+"
 # Fixed values of the query's topics: kinds of text by words, and where each ends.
 KINDS = (("note", 50), ("page", 400), ("article", 2000))
 LONGEST_KIND = "book"
-# Two rounds are written at a time, which keeps plans short.
+# Two rounds are written at a time, which keeps plans short; of few cells, so many times two, as they need no exchange.
 ROUNDS_PER_WRITE = 2
+MARKS = 3
+# Cells whose files take up to so many bytes, some 100,000 of them, are read as one partition; more stay spread.
+FEW_BYTES = 2 * 1024 * 1024
 # Share of the sample that cells may lack because they run out of tokens.
 UNMET = 0.01
 # Raking within what cells have ends when all margins are this near their goals, as a share
@@ -74,10 +79,20 @@ def _attach(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return left.join(right, left[key].eqNullSafe(right["__key"])).drop("__key")
 
 
-def tempered_targets(cells: DataFrame, dimension: str, temper: float = TEMPER) -> DataFrame:
-    """Target weights of a dimension's values: the shares present, tempered."""
+def _few(cells: DataFrame) -> bool:
+    return is_small(cells, FEW_BYTES)
+
+
+def _stored(cells: DataFrame) -> DataFrame:
+    """The cells, written; few are read as one partition, on which windows, sums and joins need no exchange."""
+    stored = materialise(cells, "mix-cells")
+    return stored.coalesce(1) if _few(stored) else stored
+
+
+def tempered_targets(cells: DataFrame, dimension: str, temper: float = TEMPER, total: int | None = None) -> DataFrame:
+    """Target weights of a dimension's values: the shares present, tempered. `total` is the cells' tokens, if known."""
     present = cells.groupBy(dimension).agg(F.sum("tokens").alias("tokens"))
-    total = cells.agg(F.sum("tokens")).first()[0] or 1
+    total = total or cells.agg(F.sum("tokens")).first()[0] or 1
     share = F.col("tokens") / F.lit(float(total))
     return present.select(dimension, F.pow(share, F.lit(temper)).alias("target"))
 
@@ -85,20 +100,22 @@ def tempered_targets(cells: DataFrame, dimension: str, temper: float = TEMPER) -
 def _with_targets(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
     """Cells with the target share of each of their values; shares of values that occur sum to one."""
     for d in DIMENSIONS:
-        there = _attach(cells.select(d).distinct(), targets[d].select(d, "target"), d)
-        total = there.agg(F.sum("target")).first()[0] or 1.0
-        cells = _attach(cells, there.select(d, (F.col("target") / F.lit(float(total))).alias(f"target_{d}")), d)
+        wanted = targets[d].select(d, F.col("target").alias(f"target_{d}"))
+        total = _attach(cells.select(d).distinct(), wanted, d).agg(F.sum(f"target_{d}")).first()[0] or 1.0
+        # Written each time: the next values are looked up among the cells that are left, and would join all over again.
+        cells = _stored(_attach(cells, wanted, d).withColumn(f"target_{d}", F.col(f"target_{d}") / F.lit(float(total))))
     return cells
 
 
 def _raked(cells: DataFrame, targets: dict[str, DataFrame], rounds: int) -> DataFrame:
-    raked = materialise(_with_targets(cells, targets).withColumn("weight", F.col("tokens").cast("double")), "mix-cells")
+    raked = _with_targets(cells, targets).withColumn("weight", F.col("tokens").cast("double"))
+    per_write = ROUNDS_PER_WRITE * MARKS if _few(raked) else ROUNDS_PER_WRITE
     for round in range(rounds):
         for d in DIMENSIONS:
             present = F.sum("weight").over(Window.partitionBy(d))
             raked = raked.withColumn("weight", F.col("weight") * F.col(f"target_{d}") / present)
-        if round % ROUNDS_PER_WRITE == ROUNDS_PER_WRITE - 1 or round == rounds - 1:
-            raked = materialise(raked, "mix-cells")
+        if round % per_write == per_write - 1 or round == rounds - 1:
+            raked = _stored(raked)
     return raked
 
 
@@ -153,17 +170,22 @@ def _goal_scale(cells: DataFrame, dimension: str, total: float) -> float:
         scale = higher
 
 
+def _off(held: Column) -> Column:
+    """How far the values of a cell are from their goals, as a share of the goal, if cells hold `held`."""
+    off = []
+    for d in DIMENSIONS:
+        present = F.sum(held).over(Window.partitionBy(d))
+        off.append(F.coalesce(F.try_divide(F.abs(present - F.col(f"goal_{d}")), F.col(f"goal_{d}")), F.lit(0.0)))
+    return F.greatest(*off)
+
+
 def margin_error(cells: DataFrame, held: Column | None = None) -> float:
     """The largest distance from its goal of what a value holds, as a share of the goal.
 
     A cell holds its weight, but no more than it has, or `held`.
     """
     held = F.least("weight", "tokens") if held is None else held
-    off = []
-    for d in DIMENSIONS:
-        present = F.sum(held).over(Window.partitionBy(d))
-        off.append(F.coalesce(F.try_divide(F.abs(present - F.col(f"goal_{d}")), F.col(f"goal_{d}")), F.lit(0.0)))
-    return cells.select(F.greatest(*off).alias("off")).agg(F.max("off")).first()[0] or 0.0
+    return cells.select(_off(held).alias("off")).agg(F.max("off")).first()[0] or 0.0
 
 
 def rake_within(cells: DataFrame, targets: dict[str, DataFrame], unmet: float = UNMET, rounds: int = ROUNDS) -> DataFrame:
@@ -179,18 +201,26 @@ def rake_within(cells: DataFrame, targets: dict[str, DataFrame], unmet: float =
         present = F.sum("tokens").over(Window.partitionBy(d))
         cells = cells.withColumn(f"goal_{d}", F.least(present.cast("double"), F.col(f"target_{d}") * F.lit(_goal_scale(cells, d, total))))
     sum_of_weights = cells.agg(F.sum("weight")).first()[0] or 1.0
-    cells = materialise(cells.withColumn("weight", F.col("weight") * F.lit(total / sum_of_weights)), "mix-cells")
-    off = margin_error(cells)
-    for done in range(0, MOST_ROUNDS, ROUNDS_PER_WRITE):
-        if off <= TOLERANCE:
-            break
-        for d in DIMENSIONS * ROUNDS_PER_WRITE:
-            held = F.sum(F.least("weight", "tokens")).over(Window.partitionBy(d))
-            cells = cells.withColumn("weight", F.col("weight") * F.coalesce(F.try_divide(F.col(f"goal_{d}"), held), F.lit(1.0)))
-        cells = materialise(cells, "mix-cells")
-        before, off = off, margin_error(cells)
-        if done >= rounds and off > 0.99 * before:
-            break
+    cells = _stored(cells.withColumn("weight", F.col("weight") * F.lit(total / sum_of_weights)))
+    off, done, stuck = margin_error(cells), 0, False
+    while off > TOLERANCE and done < MOST_ROUNDS and not stuck:
+        kept = cells.columns
+        marks = range(MARKS if _few(cells) else 1)
+        for i in marks:
+            for d in DIMENSIONS * ROUNDS_PER_WRITE:
+                held = F.sum(F.least("weight", "tokens")).over(Window.partitionBy(d))
+                cells = cells.withColumn("weight", F.col("weight") * F.coalesce(F.try_divide(F.col(f"goal_{d}"), held), F.lit(1.0)))
+            cells = cells.withColumns({f"weight_{i}": F.col("weight"), f"off_{i}": _off(F.least("weight", "tokens"))})
+        cells = _stored(cells)
+        found = cells.agg(*[F.max(f"off_{i}") for i in marks]).first()
+        # The weights of the first mark that ends the raking, else of the last.
+        for i in marks:
+            before, off = off, found[i] or 0.0
+            stuck = done >= rounds and off > 0.99 * before
+            done += ROUNDS_PER_WRITE
+            if off <= TOLERANCE or done >= MOST_ROUNDS or stuck:
+                break
+        cells = cells.withColumn("weight", F.col(f"weight_{i}")).select(*kept)
     if off > TOLERANCE:
         warnings.warn(f"targets contradict each other: a margin stays {off:.2%} off its goal", stacklevel=2)
     return cells.select(*DIMENSIONS, (F.least("weight", "tokens") / F.col("tokens")).alias("probability"))
@@ -215,9 +245,11 @@ def mix_documents(docs: DataFrame, topic: Column | None = None, targets: dict[st
     words = word_count(text)
     counted = plain.withColumns({"topic": topic if topic is not None else kind_of(words),
                                  "tokens": F.greatest(words, F.lit(1)).cast("long")})
-    cells = materialise(counted.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "mix-cells")
-    wanted = targets or {d: tempered_targets(cells, d, temper) for d in DIMENSIONS}
-    found = calibrated(rake(cells, wanted, rounds)) if unmet is None else rake_within(cells, wanted, unmet, rounds)
+    cells = _stored(counted.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")))
+    if not targets:
+        total = cells.agg(F.sum("tokens")).first()[0] or 1
+        targets = {d: tempered_targets(cells, d, temper, total) for d in DIMENSIONS}
+    found = calibrated(rake(cells, targets, rounds)) if unmet is None else rake_within(cells, targets, unmet, rounds)
     chances = materialise(found, "mix-chances")
     joined = keyed_join(counted, chances, list(DIMENSIONS), "left", null_safe=True)
     return joined.withColumn("kept", uniform(id) < F.col("probability"))

@@ -14,6 +14,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from tallyfold.llm import mixing, near_join, topk, toxicity, warc
 from tallyfold.llm.queries import vocabulary
+from tallyfold.session import materialise
 
 VECTORS = "vec_id long, embedding array<float>, score int"
 
@@ -222,6 +223,36 @@ def test_contradicting_targets_are_told(spark):
         mixing.rake_within(cells, targets, rounds=2)
 
 
+@pytest.mark.filterwarnings("ignore:targets contradict")
+def test_few_cells_are_raked_without_exchanges(spark, plan_of, monkeypatch):
+    plans = []
+
+    def seen(frame, label):
+        plans.append(plan_of(frame))
+        return materialise(frame, label)
+
+    monkeypatch.setattr(mixing, "materialise", seen)
+    monkeypatch.setattr(mixing, "MOST_ROUNDS", 16)
+    rng = random.Random(4)
+    rows = [(a, b, c, rng.randint(1, 9) ** 5) for a in ["a", "b", "c", None] for b in ["en", "de", None] for c in ["note", "page"]
+            if rng.random() < 0.8]
+    cells = spark.createDataFrame(rows, "source string, lang string, topic string, tokens long")
+    targets = {d: mixing.tempered_targets(cells, d, 0.5) for d in mixing.DIMENSIONS}
+
+    def found():
+        plans.clear()
+        return {tuple(r[:3]): r.probability for r in mixing.rake_within(cells, targets).collect()}
+
+    few = found()
+    assert len(few) == len(rows) and any("Window" in p for p in plans)
+    assert not any("Window" in p and "Exchange" in p for p in plans)
+    written = len(plans)
+    # Many cells stay spread, and are raked to the same mark.
+    monkeypatch.setattr(mixing, "FEW_BYTES", 0)
+    assert few == pytest.approx(found(), rel=1e-9)
+    assert any("Window" in p and "Exchange" in p for p in plans) and written < len(plans)
+
+
 def test_mixing_keeps_rows_and_draws_by_probability(spark):
     docs = mixed_documents(spark)
     rows = mixing.mix_documents(docs).collect()
