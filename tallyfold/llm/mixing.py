@@ -49,7 +49,7 @@ LONGEST_KIND = "book"
 # Two rounds are written at a time, which keeps plans short; of few cells, so many times two, as they need no exchange.
 ROUNDS_PER_WRITE = 2
 MARKS = 3
-# Cells whose files take up to so many bytes, some 100,000 of them, are read as one partition; more stay spread.
+# Cells whose files take up to so many bytes are read as one partition; more stay spread.
 FEW_BYTES = 2 * 1024 * 1024
 # Share of the sample that cells may lack because they run out of tokens.
 UNMET = 0.01
