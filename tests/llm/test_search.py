@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -56,6 +57,46 @@ def test_top_k_of_few_or_none(spark):
     assert topk.top_k(none, none).isEmpty()
 
 
+def test_top_k_neither_broadcasts_nor_copies_blocks(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(0, 0.2, 4)], 1) for i in range(60)]
+    quantised = topk.quantised(spark.createDataFrame(rows, VECTORS))
+    found = topk.top_k(quantised, quantised.where("vec_id % 5 = 0"))
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Broadcast" not in plan and "Generate" not in plan
+
+
+@pytest.mark.parametrize("scale", [3, 2_000, 20_000_000, 900_000_000])
+def test_search_of_shards_is_exact_at_every_scale(monkeypatch, scale):
+    # Small numbers are summed as float32, larger ones as float64 and int64; there are ties, and repeated ids.
+    monkeypatch.setattr(topk, "STRIDE", 16)
+    rng = np.random.default_rng(scale)
+    queries = rng.integers(-scale, scale + 1, (30, 24)) * rng.integers(0, 2, (30, 24))
+    shards = [(rng.integers(0, 200, n), rng.integers(-s, s + 1, (n, w))) for n, w, s in
+              ((100, 24, scale), (1, 30, scale), (90, 20, 2), (200, 24, scale), (7, 1, 1))]
+    best = None
+    for ids, vectors in shards:
+        best = topk.search_shard(queries, np.arange(30), vectors, ids, 5, best)
+    wide = np.vstack([np.pad(v[:, :24], ((0, 0), (0, 24 - min(24, v.shape[1])))) for _, v in shards]).tolist()
+    all_ids = np.concatenate([ids for ids, _ in shards]).tolist()
+    for q, query in enumerate(queries.tolist()):
+        scores = sorted((-sum(a * b for a, b in zip(query, v)), i) for v, i in zip(wide, all_ids) if i != q)[:5]
+        mine = best.rows == q
+        assert [(-s, i) for s, i in zip(best.scores[mine].tolist(), best.ids[mine].tolist())] == scores
+
+
+def test_blocks_of_vectors_are_bounded_by_their_values(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK_VALUES", 100)
+    rows = [(i, [0.5] * (90 if i == 7 else i % 9), 1) for i in range(50)]
+    vectors = topk.quantised(spark.createDataFrame(rows, VECTORS))
+    blocks = topk._blocks(vectors, 20, 50, 2, "held").toArrow().to_pylist()
+    matrices = [topk._matrix([pa.scalar(b[f"held_{c}"]) for c in ("ids", "sizes", "kind", "v")]) for b in blocks]
+    assert sorted(np.concatenate([ids for ids, _ in matrices]).tolist()) == list(range(50))
+    assert all(m.size <= 100 and len(m) <= 20 for _, m in matrices)
+    assert sum(m.sum() for _, m in matrices) == 128 * (90 + sum(i % 9 for i in range(50) if i != 7))
+
+
 def near_documents():
     rng = random.Random(5)
     words = [f"w{i}" for i in range(400)]
