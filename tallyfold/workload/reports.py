@@ -165,13 +165,17 @@ def _(t):
     return _shown(master(t))
 
 
+# The raw text is by far the largest table of the job. Compressed text cannot be split, so its files are kept small.
+_TEXT = {"compression": "gzip", "zlib.compress.level": "THREE", "maxRecordsPerFile": 1_000_000}
+
+
 @query("flight_jobs", _MASTER_SQL)
 def _(t):
     # From text files to the saved view, as a user would run it.
     folder = scratch_path(t.spark, "flight-jobs")
     catalog = Catalog(t.spark, flight_catalog(f"{folder}/raw", f"{folder}/clean") | quality_catalog(f"{folder}/clean"))
     for name, table in (("flights", raw.flights(t)), ("airports", raw.airports(t)), ("carriers", raw.carriers(t))):
-        catalog.save(table, f"raw_{name}")
+        catalog.save(table, f"raw_{name}", **_TEXT)
     jobs.clean_flight_tables(catalog)
     jobs.build_master_flights(catalog)
     return _shown(catalog.load("master_flights"))

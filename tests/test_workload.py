@@ -1,5 +1,6 @@
 """Every registered query against its SQL, as the driver does."""
 
+import gzip
 import sys
 from pathlib import Path
 
@@ -10,7 +11,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 
 import __spark_entry__ as contract  # noqa: E402
 from check_queries import compare  # noqa: E402
-from tallyfold.workload import ORACLES, QUERIES  # noqa: E402
+from tallyfold.workload import ORACLES, QUERIES, raw, reports  # noqa: E402
+from tallyfold.workload.registry import Tables  # noqa: E402
 
 
 
@@ -53,6 +55,25 @@ def test_query_matches_sql_and_stays_in_the_jvm(spark, db, data_dir, plan_of, na
     assert compare(frame, db.sql(ORACLES[name])) == ""
 
 
+def test_flight_jobs_keeps_its_raw_text_compressed_and_whole(spark, tmp_path, monkeypatch):
+    spark.range(3000).selectExpr(
+        "id AS l_orderkey", "id % 70 AS l_partkey", "id % 30 AS l_suppkey", "CAST(id % 7 AS INT) AS l_linenumber",
+        "timestamp_seconds(700000000 + id * 86400) AS l_shipdate").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(70).selectExpr("id AS p_partkey", "concat('part ', id) AS p_name", "'brand' AS p_brand").write.parquet(f"{tmp_path}/part.parquet")
+    spark.range(30).selectExpr("id AS s_suppkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    monkeypatch.setattr(reports, "scratch_path", lambda spark, label: f"{tmp_path}/job")
+    assert QUERIES["flight_jobs"](spark, str(tmp_path)).count() == 3000
+    tables = Tables(spark, str(tmp_path))
+    for name, stored, table in (("flights", "flights", raw.flights(tables)), ("airports", "airports.csv", raw.airports(tables))):
+        stored = tmp_path / "job" / "raw" / stored
+        files = [f for f in stored.iterdir() if f.name.startswith("part-")]
+        assert files and all(f.name.endswith(".csv.gz") for f in files)
+        text = spark.read.options(header="true", nullValue="null").csv(str(stored))
+        assert sorted(map(str, text.collect())) == sorted(map(str, table.collect())), name
+        if name == "flights":
+            assert sum(f.stat().st_size for f in files) < sum(len(gzip.decompress(f.read_bytes())) for f in files) / 2
+
+
 def test_the_contract_lists_every_query():
     assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
